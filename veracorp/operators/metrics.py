@@ -6,23 +6,28 @@ at most k*k rows, so the heavy part is one partial-aggregated count.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def confusion(preds: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
-    return preds.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(
+def confusion(preds: DataFrame, truth: str = "truth", pred: str = "pred", keys: Sequence[str] = ()) -> DataFrame:
+    return preds.groupBy(*keys, F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(
         F.count(F.lit(1)).alias("cnt"))
 
 
-def per_class_report(preds: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
+def per_class_report(preds: DataFrame, truth: str = "truth", pred: str = "pred",
+                     keys: Sequence[str] = ()) -> DataFrame:
     """precision / recall / f1 / support per class over labels seen in truth or pred (0 on 0/0)."""
-    cm = confusion(preds, truth, pred)
-    tp = cm.where(F.col("truth") == F.col("pred")).select(F.col("truth").alias("cls"), F.col("cnt").alias("tp"))
-    sup = cm.groupBy(F.col("truth").alias("cls")).agg(F.sum("cnt").alias("support"))
-    npred = cm.groupBy(F.col("pred").alias("cls")).agg(F.sum("cnt").alias("npred"))
-    classes = sup.select("cls").union(npred.select("cls")).distinct()
-    r = (classes.join(tp, "cls", "left").join(sup, "cls", "left").join(npred, "cls", "left")
+    keys = list(keys)
+    cm = confusion(preds, truth, pred, keys)
+    tp = cm.where(F.col("truth") == F.col("pred")).select(*keys, F.col("truth").alias("cls"), F.col("cnt").alias("tp"))
+    sup = cm.groupBy(*keys, F.col("truth").alias("cls")).agg(F.sum("cnt").alias("support"))
+    npred = cm.groupBy(*keys, F.col("pred").alias("cls")).agg(F.sum("cnt").alias("npred"))
+    classes = sup.select(*keys, "cls").union(npred.select(*keys, "cls")).distinct()
+    on = keys + ["cls"]
+    r = (classes.join(tp, on, "left").join(sup, on, "left").join(npred, on, "left")
          .fillna(0, ["tp", "support", "npred"]))
     p = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(F.lit(0.0))
     rc = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
@@ -30,21 +35,23 @@ def per_class_report(preds: DataFrame, truth: str = "truth", pred: str = "pred")
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
                 ).otherwise(F.lit(0.0))
-    return r.withColumn("f1", f1).select(F.col("cls").alias("label"), "precision", "recall", "f1",
+    return r.withColumn("f1", f1).select(*keys, F.col("cls").alias("label"), "precision", "recall", "f1",
                                          F.col("support").cast("long").alias("support"))
 
 
-def summary_metrics(preds: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
-    """One row: accuracy and support-weighted precision / recall / f1."""
-    rep = per_class_report(preds, truth, pred)
-    acc = confusion(preds, truth, pred).agg(
+def summary_metrics(preds: DataFrame, truth: str = "truth", pred: str = "pred",
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """One row per key: accuracy and support-weighted precision / recall / f1."""
+    keys = list(keys)
+    rep = per_class_report(preds, truth, pred, keys)
+    acc = confusion(preds, truth, pred, keys).groupBy(*keys).agg(
         (F.sum(F.when(F.col("truth") == F.col("pred"), F.col("cnt")).otherwise(0)) / F.sum("cnt")).alias("accuracy"),
         F.lit(1).alias("_one"))
-    w = rep.agg((F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-                (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
-                (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_score"),
-                F.lit(1).alias("_one"))
-    return acc.join(w, "_one").drop("_one")
+    w = rep.groupBy(*keys).agg((F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
+                               (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
+                               (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_score"),
+                               F.lit(1).alias("_one"))
+    return acc.join(w, keys + ["_one"]).drop("_one")
 
 
 def metrics_long(preds: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:

@@ -8,6 +8,7 @@ from veracorp.operators import metrics as ME
 from veracorp.operators import ngram as NG
 from veracorp.plans.base import combined, round6
 from veracorp.plans.queries import lm_split
+from veracorp.session import cut_lineage
 
 REGISTRY = {}
 
@@ -24,7 +25,7 @@ def _L(c):
 
 
 def _split(spark, sf):
-    s = lm_split(spark, sf)
+    s = cut_lineage(lm_split(spark, sf))
     return s.where(~F.col("is_test")), s.where(F.col("is_test"))
 
 
@@ -84,7 +85,7 @@ def q_g8(spark, sf):
 
 def _lm_preds(spark, sf):
     m, test = _model(spark, sf)
-    return m.predict(test).join(test.select("doc_id", F.col("label").alias("truth")), "doc_id")
+    return cut_lineage(m.predict(test)).join(test.select("doc_id", F.col("label").alias("truth")), "doc_id")
 
 
 @query("G9_lm_predictions")
