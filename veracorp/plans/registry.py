@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+MODULES = ("queries_lm", "queries_models", "queries_ml", "queries_more", "queries_lake", "queries_io",
+           "queries_w2v", "queries_serving")
+ORACLE_MODULES = ("oracle_lm", "oracle_models", "oracle_more", "oracle_serving")
+
 
 def all_queries():
     from veracorp.plans import queries
     mods = []
-    for name in ("queries_lm", "queries_models", "queries_more"):
+    for name in MODULES:
         try:
             mods.append(__import__(f"veracorp.plans.{name}", fromlist=["REGISTRY"]))
         except ModuleNotFoundError as e:
@@ -21,7 +25,7 @@ def all_queries():
 def all_oracles():
     from veracorp.plans import oracle
     out = dict(oracle.SQL)
-    for name in ("oracle_lm", "oracle_models", "oracle_more"):
+    for name in ORACLE_MODULES:
         try:
             m = __import__(f"veracorp.plans.{name}", fromlist=["SQL"])
         except ModuleNotFoundError as e:
