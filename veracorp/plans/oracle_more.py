@@ -40,3 +40,32 @@ SELECT a.n AS row_count, CAST(a.nulls AS BIGINT) AS null_cells,
   a.n - d.distinct_rows AS duplicate_rows, a.nulls / (a.n * 5.0) > 0.1 AS high_null_warning,
   a.n - d.distinct_rows > 0 AS duplicate_warning
 FROM a, d"""
+
+# --- sources ---------------------------------------------------------------------
+
+from veracorp.functions import patterns as _P  # noqa: E402
+from veracorp.plans.oracle import SQL as _BASE_SQL, rr as _rr  # noqa: E402
+
+_COLL = f"trim({_rr('text', _P.WS_RUN, ' ')})"
+
+SQL["S1_csv_scan"] = with_base() + "SELECT doc_id, md5(text) AS text_md5, label FROM combined"
+SQL["S3_parquet_scan"] = with_base() + "SELECT doc_id, label FROM combined"
+SQL["S4_json_scan"] = SQL["S1_csv_scan"]
+SQL["S2_tsv_scan"] = with_base() + f"""
+SELECT label, CAST(2016 AS BIGINT) AS year, md5({_COLL}) AS text_md5 FROM combined WHERE label IN ('Real', 'Fake')"""
+SQL["S6_file_name_labels"] = with_base() + f"""
+SELECT label, CAST(year AS BIGINT) AS year, md5({_COLL}) AS text_md5 FROM combined WHERE label IN ('Real', 'Fake')"""
+SQL["S7_covid_labels"] = with_base() + f"""
+SELECT label, CAST(2020 AS BIGINT) AS year, md5({_COLL}) AS text_md5 FROM combined WHERE label IN ('Real', 'Fake')"""
+SQL["S8_first_existing_file"] = with_base() + f"""
+SELECT label, CAST(year AS BIGINT) AS year, md5({_COLL}) AS text_md5 FROM combined"""
+SQL["S9_combined_sources"] = with_base(f"""
+src AS (
+  SELECT 'LIAR' AS source_id, 0 AS rnk, label, {_COLL} AS t, doc_id FROM combined WHERE label IN ('Real', 'Fake')
+  UNION ALL SELECT 'ISOT', 1, label, {_COLL}, doc_id FROM combined WHERE label IN ('Real', 'Fake')
+  UNION ALL SELECT 'COVID-19', 2, label, {_COLL}, doc_id FROM combined WHERE label IN ('Real', 'Fake')
+  UNION ALL SELECT 'SelfBuilt', 3, label, {_COLL}, doc_id FROM combined)""") + """
+SELECT source_id, label, count(*) AS cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY rnk, doc_id) AS rn FROM src WHERE length(t) > 0) WHERE rn = 1
+GROUP BY source_id, label"""
+SQL["S15_json_report"] = _BASE_SQL["A3_reliability_report"]
