@@ -69,3 +69,7 @@ SELECT source_id, label, count(*) AS cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY t ORDER BY rnk, doc_id) AS rn FROM src WHERE length(t) > 0) WHERE rn = 1
 GROUP BY source_id, label"""
 SQL["S15_json_report"] = _BASE_SQL["A3_reliability_report"]
+
+SQL["M15_standardize"] = """
+SELECT event_id, round((value - avg(value) OVER ()) / CASE WHEN stddev_pop(value) OVER () = 0 THEN 1.0
+  ELSE stddev_pop(value) OVER () END, 6) AS z_value FROM events"""
