@@ -73,3 +73,26 @@ SQL["S15_json_report"] = _BASE_SQL["A3_reliability_report"]
 SQL["M15_standardize"] = """
 SELECT event_id, round((value - avg(value) OVER ()) / CASE WHEN stddev_pop(value) OVER () = 0 THEN 1.0
   ELSE stddev_pop(value) OVER () END, 6) AS z_value FROM events"""
+
+# --- serving ---------------------------------------------------------------------
+
+from veracorp.functions import lexicon as _L  # noqa: E402
+from veracorp.plans.oracle import clean as _clean, lst as _lst  # noqa: E402
+
+_CS = _lst(_L.DOMAIN_STOPWORDS)
+SQL["V1_preprocess_clean_split"] = f"""
+SELECT request_id,
+  array_to_string(list_filter(t, lambda x: NOT list_contains({_CS}, lower(x))), ' ') AS tokens,
+  array_to_string(list_filter(t, lambda x: list_contains({_CS}, lower(x))), ' ') AS removed_stopwords
+FROM (SELECT item_id AS request_id,
+        list_filter(regexp_split_to_array({_clean('text')}, '[{_P.WS_CHARS}]+'), lambda x: x <> '') AS t
+      FROM benchmark)"""
+
+SQL["V6_request_validation"] = """
+SELECT conv_id * 1000 + turn AS request_id, reason IS NULL AS accepted, reason FROM (
+  SELECT conv_id, turn, CASE WHEN text IS NULL THEN 'missing_text' WHEN length(text) < 10 THEN 'text_too_short'
+    WHEN length(text) > 10000 THEN 'text_too_long' END AS reason FROM conversations)"""
+
+SQL["V6_batch_validation"] = """
+SELECT conv_id AS batch_id, count(*) AS n_texts, count(*) BETWEEN 1 AND 100 AS accepted
+FROM conversations GROUP BY conv_id"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 MODULES = ("queries_lm", "queries_models", "queries_ml", "queries_more", "queries_lake", "queries_io",
-           "queries_w2v", "queries_serving")
+           "queries_w2v", "queries_serving", "stages")
 ORACLE_MODULES = ("oracle_lm", "oracle_models", "oracle_more", "oracle_serving")
 
 
