@@ -96,3 +96,33 @@ SELECT conv_id * 1000 + turn AS request_id, reason IS NULL AS accepted, reason F
 SQL["V6_batch_validation"] = """
 SELECT conv_id AS batch_id, count(*) AS n_texts, count(*) BETWEEN 1 AND 100 AS accepted
 FROM conversations GROUP BY conv_id"""
+
+# --- vector arithmetic on the embeddings table ------------------------------------------
+
+_EMB = """
+ex AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS pos
+       FROM embeddings),
+cent AS (SELECT label, pos, avg(x) AS x FROM ex GROUP BY label, pos)"""
+
+SQL["F12_label_centroids"] = "WITH " + _EMB.strip() + """
+SELECT CAST(label AS BIGINT) AS label, CAST(pos - 1 AS BIGINT) AS pos, round(x, 6) AS value FROM cent"""
+
+SQL["F10_centroid_neighbours"] = "WITH " + _EMB.strip() + """,
+dots AS (SELECT c.label AS probe, e.vec_id, sum(e.x * c.x) AS d FROM ex e JOIN cent c ON e.pos = c.pos GROUP BY ALL),
+vn AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM ex GROUP BY vec_id),
+cn AS (SELECT label, sqrt(sum(x * x)) AS n FROM cent GROUP BY label),
+sim AS (SELECT d.probe, d.vec_id, CASE WHEN vn.n > 0 AND cn.n > 0 THEN d.d / (vn.n * cn.n) END AS similarity
+        FROM dots d JOIN vn ON vn.vec_id = d.vec_id JOIN cn ON cn.label = d.probe
+        WHERE CAST(d.vec_id AS VARCHAR) <> CAST(d.probe AS VARCHAR))
+SELECT CAST(probe AS BIGINT) AS label, rank, vec_id, round(similarity, 6) AS similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY probe ORDER BY similarity DESC NULLS LAST, vec_id) AS rank FROM sim)
+WHERE rank <= 5"""
+
+SQL["F11_pair_similarity"] = """
+WITH ex AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS pos
+            FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS next_id, sum(a.x * b.x) AS d FROM ex a JOIN ex b
+      ON b.vec_id = a.vec_id + 1 AND a.pos = b.pos GROUP BY ALL),
+n AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM ex GROUP BY vec_id)
+SELECT d.vec_id, d.next_id, round(CASE WHEN n1.n > 0 AND n2.n > 0 THEN d.d / (n1.n * n2.n) END, 6) AS similarity
+FROM d JOIN n n1 ON n1.vec_id = d.vec_id JOIN n n2 ON n2.vec_id = d.next_id"""
