@@ -11,23 +11,24 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from veracorp.functions.stemmers import lemma_rules, porter, snowball
 
 METHODS = ("porter", "snowball", "wordnet")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _porter(s: pd.Series) -> pd.Series:
     return s.map(porter)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _snowball(s: pd.Series) -> pd.Series:
     return s.map(snowball)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _lemma(s: pd.Series) -> pd.Series:
     return s.map(lemma_rules)
 
