@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from veracorp.functions.text import word_tokens, word_tokens_2plus
 
 
-def term_frequencies(df: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
-    """(id, term, tf): explode + hash aggregate keyed by (doc, term), so hot terms spread by doc."""
-    return (df.select(F.col(id_col), F.explode(tokens).alias("term"))
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+def term_frequencies(df: DataFrame, tokens: Column, id_col: str = "doc_id", carry=()) -> DataFrame:
+    """(id, [carry...], term, tf): explode + hash aggregate keyed by (doc, term), so hot terms spread by doc.
+
+    ``carry`` keeps per-document columns (e.g. the label) so later branches
+    share this one subtree (and its exchange) instead of joining back.
+    """
+    return (df.select(F.col(id_col), *carry, F.explode(tokens).alias("term"))
+            .groupBy(id_col, *carry, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def top_vocabulary(tf: DataFrame, max_features: int | None) -> DataFrame:
@@ -39,7 +43,8 @@ def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def bow(df: DataFrame, text: str = "cleaned_text", max_features: int = 5000,
         id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:                    # F1
-    tf = term_frequencies(df, word_tokens(F.col(text)), id_col)
+    carry = ("label",) if "label" in df.columns else ()
+    tf = term_frequencies(df, word_tokens(F.col(text)), id_col, carry)
     vocab = top_vocabulary(tf, max_features)
     return restrict_to_vocabulary(tf, vocab), vocab
 
@@ -48,8 +53,9 @@ def top_terms_per_class(tf: DataFrame, labels: DataFrame, top_n: int = 30,
                         id_col: str = "doc_id") -> DataFrame:                      # F2
     """Top terms per class by summed count; ``row_number() <= n`` plans a partial
     WindowGroupLimit before the shuffle, so only n rows per class leave each task."""
-    sums = (tf.join(labels.select(id_col, "label"), id_col)
-            .groupBy("label", "term").agg(F.sum("tf").alias("cnt")))
+    if "label" not in tf.columns:
+        tf = tf.join(labels.select(id_col, "label"), id_col)
+    sums = tf.groupBy("label", "term").agg(F.sum("tf").alias("cnt"))
     w = Window.partitionBy("label").orderBy(F.desc("cnt"), F.asc("term"))
     return sums.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
 
@@ -107,7 +113,8 @@ def discriminative_terms(weights: DataFrame, labels: DataFrame, top_n: int = 15,
                       - F.when(F.lit(n_all) - F.col("n_c") > 0,
                                (F.col("tot") - F.coalesce(F.col("s"), F.lit(0.0))) / (F.lit(n_all) - F.col("n_c")))
                       .otherwise(F.lit(0.0))).alias("score")))
-    w = Window.partitionBy("label").orderBy(F.desc("score"), F.asc("term"))
+    # float ties: rank on the score rounded to 9 places, then the term
+    w = Window.partitionBy("label").orderBy(F.desc(F.round("score", 9)), F.asc("term"))
     return score.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
 
 
@@ -148,5 +155,5 @@ def cosine_top_k(qvec: DataFrame, dvec: DataFrame, k: int, q_id: str = "query_id
             q_id, F.explode(F.array(*[F.lit(v) for v in low])).alias(d_id))
         zeros = lows.join(scores.select(q_id, d_id), [q_id, d_id], "left_anti").withColumn("score", F.lit(0.0))
         scores = scores.unionByName(zeros)
-    w = Window.partitionBy(q_id).orderBy(F.desc("score"), F.asc(d_id))
+    w = Window.partitionBy(q_id).orderBy(F.desc(F.round("score", 9)), F.asc(d_id))
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from veracorp.functions.lexicon import KN_DISCOUNT, LM_END, LM_PROB_FLOOR, LM_START
 from veracorp.functions.text import whitespace_tokens
+from veracorp.session import cut_lineage
 
 
 def lm_tokens(text: str | Column = "text") -> Column:
@@ -45,15 +46,18 @@ def extract_ngrams(df: DataFrame, n: int, min_count: int = 1, text: str = "text"
 class NGramModel:
     """Per-class n-gram counts."""
 
-    def __init__(self, train: DataFrame, n: int = 3, text: str = "text", label: str = "label"):
+    def __init__(self, train: DataFrame, n: int = 3, text: str = "text", label: str = "label",
+                 materialize: bool = True):
         self.n = n
         g = ngrams(train.withColumnRenamed(label, "label"), n, lm_tokens(text), keep=("label",))
         self.ngram_counts = g.groupBy("label", "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("c"))
-        self.ctx_counts = g.groupBy("label", "ctx").agg(F.count(F.lit(1)).alias("ctot"))
-        # unigram count of the final token; distinct contexts before it = n-gram rows ending in it
-        uni = g.groupBy("label", "tok").agg(F.count(F.lit(1)).alias("uni"))
-        cont = self.ngram_counts.groupBy("label", "tok").agg(F.count(F.lit(1)).alias("U"))
-        self.tok_stats = uni.join(cont, ["label", "tok"])
+        if materialize:
+            self.ngram_counts = cut_lineage(self.ngram_counts)
+        # context totals, unigram count of the final token and distinct contexts before it
+        # all derive from the (much smaller) distinct n-gram table: one pass over the text
+        self.ctx_counts = self.ngram_counts.groupBy("label", "ctx").agg(F.sum("c").alias("ctot"))
+        self.tok_stats = self.ngram_counts.groupBy("label", "tok").agg(F.sum("c").alias("uni"),
+                                                                        F.count(F.lit(1)).alias("U"))
         self.class_stats = (self.tok_stats.groupBy("label")
                             .agg(F.count(F.lit(1)).alias("V"), F.sum("uni").alias("N"))
                             .join(self.ngram_counts.groupBy("label").agg(F.count(F.lit(1)).alias("unique_ngrams")),

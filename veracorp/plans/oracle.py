@@ -344,7 +344,7 @@ sc AS (
       THEN (tot.tot - coalesce(per.s, 0.0)) / ((SELECT sum(n_c) FROM cc) - cc.n_c) ELSE 0.0 END AS score
   FROM tot CROSS JOIN cc LEFT JOIN per ON per.label = cc.label AND per.term = tot.term)""") + """
 SELECT label, rank, term, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, term) AS rank FROM sc) WHERE rank <= 15"""
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(score, 9) DESC, term) AS rank FROM sc) WHERE rank <= 15"""
 
 
 def _retrieval_sql(queries_cte: str, k: int, extra_select: str, join_extra: str) -> str:
@@ -359,7 +359,7 @@ lowdocs AS (SELECT doc_id FROM processed ORDER BY doc_id LIMIT {2 * k}),
 fill AS (SELECT qs.query_id, l.doc_id, 0.0 AS score FROM qs CROSS JOIN lowdocs l
          WHERE NOT EXISTS (SELECT 1 FROM sc WHERE sc.query_id = qs.query_id AND sc.doc_id = l.doc_id)),
 allsc AS (SELECT * FROM sc UNION ALL SELECT * FROM fill),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank
         FROM allsc) WHERE rank <= {k})""") + f"""
 SELECT top.query_id, top.rank, top.doc_id, round(top.score, 6) AS {extra_select} FROM top {join_extra}"""
 
