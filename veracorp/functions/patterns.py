@@ -19,6 +19,9 @@ NON_WS_RUN = "[^" + WS_CHARS + "]+"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 WORD_RUN = WORD_CHAR + "+"
 EDGE_WS = r"\A[" + WS_CHARS + r"]+|[" + WS_CHARS + r"]+\z"
+# The same whitespace set as literal characters (for character-set trimming).
+WS_LITERAL = ("\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+              + "\u2028\u2029\u202f\u205f\u3000")
 
 HTML_TAG = r"<[^>]+>"
 URL = r"http[s]?://" + NON_WS_RUN + r"|www\." + NON_WS_RUN

@@ -55,8 +55,8 @@ def squash_whitespace(col) -> Column:              # T8 / T26
 
 
 def strip_edges(col) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), P.EDGE_WS, "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace (linear character-set trim)."""
+    return F.btrim(_c(col), F.lit(P.WS_LITERAL))
 
 
 def clean_text(col) -> Column:                     # T9

@@ -17,7 +17,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan a driver table.
+
+    A Parquet file with a single row group is read by one task, which would
+    serialise all per-row work before the first shuffle.  When the scan yields
+    fewer partitions than the cluster's parallelism, the rows are spread
+    round-robin; a large input (many files / row groups) is left as scanned.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
 
 
 def label_expr(toxic="toxic", quality="quality"):
