@@ -135,7 +135,7 @@ def q_d9(spark, sf):
 
 
 def lm_split(spark, sf):
-    df = combined(spark, sf)
+    df = cut_lineage(combined(spark, sf))     # read by the count, the histogram and the flag pass
     n = df.count()
     return C.stratified_split(df, test_size=None, test_rows=C.lm_test_rows(n))
 

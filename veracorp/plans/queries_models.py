@@ -29,7 +29,7 @@ def _L(c):
 
 def nb_setup(spark, sf):
     """Split, train-fitted BoW vocabulary (2+ char tokens, top 5,000), fitted NB."""
-    s = cut_lineage(C.stratified_split(processed(spark, sf), test_size=0.2))
+    s = cut_lineage(C.stratified_split(cut_lineage(processed(spark, sf)), test_size=0.2))
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     tf_train = FE.term_frequencies(train, word_tokens_2plus(F.col("cleaned_text")))
     vocab = FE.top_vocabulary(tf_train, 5000)
