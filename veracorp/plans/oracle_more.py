@@ -126,3 +126,7 @@ d AS (SELECT a.vec_id, b.vec_id AS next_id, sum(a.x * b.x) AS d FROM ex a JOIN e
 n AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM ex GROUP BY vec_id)
 SELECT d.vec_id, d.next_id, round(CASE WHEN n1.n > 0 AND n2.n > 0 THEN d.d / (n1.n * n2.n) END, 6) AS similarity
 FROM d JOIN n n1 ON n1.vec_id = d.vec_id JOIN n n2 ON n2.vec_id = d.next_id"""
+
+SQL["P4_drop_null_rows"] = with_base() + "SELECT doc_id, label FROM raw WHERE text IS NOT NULL AND label IS NOT NULL"
+
+SQL["S14_parquet_sink"] = with_base() + "SELECT doc_id, label, md5(cleaned_text) AS cleaned_md5 FROM processed"

@@ -173,3 +173,48 @@ def standardize(df, cols):
 def q_m15(spark, sf):
     ev = table(spark, sf, "events")
     return ev.select("event_id", *standardize(ev, ["value"])).select("event_id", round6("z_value").alias("z_value"))
+
+
+# --- ids covered inside larger queries, registered on their own ----------------------
+
+@query("P4_drop_null_rows")
+def q_p4(spark, sf):
+    from veracorp.plans.base import raw
+    r = raw(spark, sf)
+    return r.na.drop(subset=["text", "label"]).select("doc_id", "label")
+
+
+@query("D3_record_dedup")
+def q_d3(spark, sf):
+    from veracorp.plans.base import combined
+    from veracorp.sources import feeds as FD
+    root = shared_dir(spark, "records")
+    FD.land_feed(combined(spark, sf), f"{root}/items")
+    rec = FD.feed_records(spark, f"{root}/items", limit=1_000_000_000)      # no per-feed cap: all items
+    return FD.deduplicate_records(rec).select("source", "ord", F.md5("text").alias("text_md5"))
+
+
+@query("S14_parquet_sink")
+def q_s14(spark, sf):
+    from veracorp.sources import files as FS
+    root = shared_dir(spark, "parquet-sink")
+    p = processed(spark, sf).select("doc_id", "label", "cleaned_text")
+    FS.write_table(p, f"{root}/processed.parquet")
+    back = FS.read_table(spark, f"{root}/processed.parquet")
+    return back.select("doc_id", "label", F.md5("cleaned_text").alias("cleaned_md5"))
+
+
+@query("M10_polynomial_features")
+def q_m10(spark, sf):
+    from pyspark.ml.feature import PolynomialExpansion
+    from veracorp.plans.queries_ml import _pca, lr_context
+    ctx = lr_context(spark, sf)
+    tr, _, _ = _pca(ctx)
+    tr = cut_lineage(tr)
+    out = None
+    for d in (1, 2, 3):
+        x = PolynomialExpansion(degree=d, inputCol="xy", outputCol="poly").transform(tr)
+        size = F.udf(lambda v: v.size, "long")
+        part = x.select("doc_id", F.lit(d).cast("long").alias("degree"), size("poly").alias("width"))
+        out = part if out is None else out.unionByName(part)
+    return out
