@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracorp.functions.text import word_tokens, word_tokens_2plus
+from veracorp.session import cut_lineage
 
 
 def term_frequencies(df: DataFrame, tokens: Column, id_col: str = "doc_id", carry=()) -> DataFrame:
@@ -42,9 +43,12 @@ def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def bow(df: DataFrame, text: str = "cleaned_text", max_features: int = 5000,
-        id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:                    # F1
+        id_col: str = "doc_id", materialize: bool = False) -> tuple[DataFrame, DataFrame]:   # F1
+    """``materialize`` checkpoints the tf table, which feeds both the vocabulary and the result."""
     carry = ("label",) if "label" in df.columns else ()
     tf = term_frequencies(df, word_tokens(F.col(text)), id_col, carry)
+    if materialize:
+        tf = cut_lineage(tf)
     vocab = top_vocabulary(tf, max_features)
     return restrict_to_vocabulary(tf, vocab), vocab
 
@@ -68,7 +72,8 @@ def idf_column(n_docs: Column, df_col: Column, variant: str) -> Column:
 
 def tfidf(df: DataFrame, text: str = "cleaned_text", variant: str = "standard",
           max_features: int | None = 5000, id_col: str = "doc_id",
-          vocab: DataFrame | None = None, n_docs: int | None = None) -> tuple[DataFrame, DataFrame]:  # F3-F5
+          vocab: DataFrame | None = None, n_docs: int | None = None,
+          materialize: bool = False) -> tuple[DataFrame, DataFrame]:                         # F3-F5
     """L2-normalised TF-IDF long table and the fitted (term, idf) table.
 
     variant: standard ln(n/df)+1; smooth ln((1+n)/(1+df))+1; sublinear = smooth
@@ -76,6 +81,8 @@ def tfidf(df: DataFrame, text: str = "cleaned_text", variant: str = "standard",
     vocabulary term.
     """
     tf = term_frequencies(df, word_tokens_2plus(F.col(text)), id_col)
+    if materialize:
+        tf = cut_lineage(tf)      # feeds the vocabulary, the document frequencies and the weights
     if vocab is None:
         vocab = top_vocabulary(tf, max_features)
         if n_docs is None:

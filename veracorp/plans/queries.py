@@ -344,14 +344,14 @@ def q_t27(spark, sf):
 @query("F1_bow_vocabulary")
 def q_f1(spark, sf):
     p = processed(spark, sf)
-    _, vocab = FE.bow(p, "cleaned_text", 5000)
+    _, vocab = FE.bow(p, "cleaned_text", 5000, materialize=True)
     return vocab.select("term", _long("total").alias("total"))
 
 
 @query("F2_top_bow_terms")
 def q_f2(spark, sf):
     p = processed(spark, sf)
-    tf, _ = FE.bow(p, "cleaned_text", 5000)
+    tf, _ = FE.bow(p, "cleaned_text", 5000, materialize=True)
     return FE.top_terms_per_class(tf, p, 30).select("label", _long("rank").alias("rank"), "term",
                                                     _long("cnt").alias("cnt"))
 
@@ -359,7 +359,7 @@ def q_f2(spark, sf):
 def _tfidf_query(variant):
     def q(spark, sf):
         p = cut_lineage(processed(spark, sf))
-        w, _ = FE.tfidf(p, "cleaned_text", variant, 5000)
+        w, _ = FE.tfidf(p, "cleaned_text", variant, 5000, materialize=True)
         return w.select("doc_id", "term", round6("weight").alias("weight"))
     return q
 
@@ -372,7 +372,7 @@ REGISTRY["F5_tfidf_sublinear"] = _tfidf_query("sublinear")
 def _discriminative_query(variant):
     def q(spark, sf):
         p = cut_lineage(processed(spark, sf))
-        w, _ = FE.tfidf(p, "cleaned_text", variant, 5000)
+        w, _ = FE.tfidf(p, "cleaned_text", variant, 5000, materialize=True)
         return FE.discriminative_terms(w, p, 15).select(
             "label", _long("rank").alias("rank"), "term", round6("score").alias("score"))
     return q
@@ -386,7 +386,7 @@ REGISTRY["F6_discriminative_sublinear"] = _discriminative_query("sublinear")
 @query("F7_cosine_retrieval")
 def q_f7(spark, sf):
     p = cut_lineage(processed(spark, sf))
-    w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000)
+    w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000, materialize=True)
     queries = C.first_rows(p, 10).select(F.col("doc_id").alias("query_id"), "cleaned_text")
     qv = FE.query_vectors(queries, idf, "cleaned_text", "sublinear")
     top = FE.cosine_top_k(qv, w, 3, fill_docs=p, query_ids=queries.select("query_id"))
@@ -406,7 +406,7 @@ def q_f15(spark, sf):
 @query("V5_retrieve_similar")
 def q_v5(spark, sf):
     p = cut_lineage(processed(spark, sf))
-    w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000)
+    w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000, materialize=True)
     bench = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
                                                  T.clean_text(F.col("text")).alias("cleaned_text"))
     qv = FE.query_vectors(bench, idf, "cleaned_text", "sublinear")
