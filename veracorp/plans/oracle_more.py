@@ -130,3 +130,18 @@ FROM d JOIN n n1 ON n1.vec_id = d.vec_id JOIN n n2 ON n2.vec_id = d.next_id"""
 SQL["P4_drop_null_rows"] = with_base() + "SELECT doc_id, label FROM raw WHERE text IS NOT NULL AND label IS NOT NULL"
 
 SQL["S14_parquet_sink"] = with_base() + "SELECT doc_id, label, md5(cleaned_text) AS cleaned_md5 FROM processed"
+
+from veracorp.plans.oracle import hkey as _hkey, words as _words  # noqa: E402
+
+SQL["T10_cleaning_samples"] = with_base(f"""
+s AS (SELECT doc_id, text, {_clean('text')} AS after FROM combined ORDER BY {_hkey()} LIMIT 200)""") + """
+SELECT doc_id, substr(text, 1, 200) AS before, substr(after, 1, 200) AS after, CAST(length(text) AS BIGINT) AS before_len,
+  CAST(length(after) AS BIGINT) AS after_len FROM s"""
+
+SQL["F1_bow_stats"] = with_base(f"""
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (
+  SELECT doc_id, unnest({_words('cleaned_text')}) AS term FROM processed) GROUP BY doc_id, term),
+vocab AS (SELECT term, sum(tf) AS total FROM tf GROUP BY term ORDER BY total DESC, term LIMIT 5000)""") + """
+SELECT (SELECT count(*) FROM processed) AS n_docs, (SELECT count(*) FROM vocab) AS vocab_size, count(*) AS nnz,
+  round(1.0 - count(*) / ((SELECT count(*) FROM processed) * (SELECT count(*) FROM vocab)), 6) AS sparsity
+FROM tf WHERE term IN (SELECT term FROM vocab)"""

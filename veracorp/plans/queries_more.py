@@ -218,3 +218,25 @@ def q_m10(spark, sf):
         part = x.select("doc_id", F.lit(d).cast("long").alias("degree"), size("poly").alias("width"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("T10_cleaning_samples")
+def q_t10s(spark, sf):
+    """The audited sample rows: first 200 characters before / after cleaning and both lengths."""
+    from veracorp.plans.base import combined
+    s = C.hash_sample(combined(spark, sf), 200)
+    after = T.clean_text(F.col("text"))
+    return s.select("doc_id", F.substring("text", 1, 200).alias("before"), F.substring(after, 1, 200).alias("after"),
+                    _L(F.length("text")).alias("before_len"), _L(F.length(after)).alias("after_len"))
+
+
+@query("F1_bow_stats")
+def q_f1s(spark, sf):
+    """Shape, sparsity and vocabulary size of the bag-of-words matrix (top 5,000 terms)."""
+    from veracorp.operators import features as FE
+    p = cut_lineage(processed(spark, sf))
+    n = p.count()
+    tf, vocab = FE.bow(p, "cleaned_text", 5000, materialize=True)
+    v = vocab.count()
+    return FE.sparsity(tf.withColumnRenamed("tf", "weight"), n, v).select(
+        "n_docs", "vocab_size", _L("nnz").alias("nnz"), round6("sparsity").alias("sparsity"))
