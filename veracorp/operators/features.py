@@ -15,6 +15,9 @@ from veracorp.functions.text import word_tokens, word_tokens_2plus
 from veracorp.session import cut_lineage
 
 
+BROADCAST_ROWS = 2_000_000   # size bound for broadcasting a checked small side
+
+
 def term_frequencies(df: DataFrame, tokens: Column, id_col: str = "doc_id", carry=()) -> DataFrame:
     """(id, [carry...], term, tf): explode + hash aggregate keyed by (doc, term), so hot terms spread by doc.
 
@@ -152,7 +155,13 @@ def cosine_top_k(qvec: DataFrame, dvec: DataFrame, k: int, q_id: str = "query_id
     """
     q = qvec.select(F.col(q_id), "term", F.col("weight").alias("qw"))
     d = dvec.select(F.col(d_id), "term", F.col("weight").alias("dw"))
-    scores = q.join(d, "term").groupBy(q_id, d_id).agg(F.sum(F.col("qw") * F.col("dw")).alias("score"))
+    # A request batch is bounded (<= 100 texts), so its term table is small: when a
+    # count confirms it, broadcast it and stream the postings (no shuffle of the
+    # postings, and a hot term cannot pile into one reducer); otherwise leave the
+    # join to AQE (runtime broadcast or skew split).
+    if q.count() <= BROADCAST_ROWS:
+        q = F.broadcast(q)
+    scores = d.join(q, "term").groupBy(q_id, d_id).agg(F.sum(F.col("qw") * F.col("dw")).alias("score"))
     if fill_docs is not None:
         # candidates with score 0: the 2k lowest doc ids (at most 40 ids for k <= 20,
         # a bounded list), minus docs the query already scored

@@ -15,6 +15,8 @@ from veracorp.functions.lexicon import KN_DISCOUNT, LM_END, LM_PROB_FLOOR, LM_ST
 from veracorp.functions.text import whitespace_tokens
 from veracorp.session import cut_lineage
 
+BROADCAST_ROWS = 2_000_000   # size bound for broadcasting a checked small side
+
 
 def lm_tokens(text: str | Column = "text") -> Column:
     """``text.lower().split()``."""
@@ -74,10 +76,19 @@ class NGramModel:
         g = ngrams(docs, self.n, lm_tokens(text), keep=(id_col,))
         g = g.groupBy(id_col, "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("m"))
         cls = self.classes()
+        counts, ctx, tok = self.ngram_counts.select("label", "ngram", "c"), self.ctx_counts, self.tok_stats
+        # The held-out set is bounded (<= 100 documents): when a count confirms its
+        # n-gram table is small, its keys are broadcast to filter the model tables
+        # map-side (semi joins), so the model is never shuffled for scoring.
+        g = cut_lineage(g)
+        if g.count() <= BROADCAST_ROWS:
+            counts = counts.join(F.broadcast(g.select("ngram").distinct()), "ngram", "left_semi")
+            ctx = ctx.join(F.broadcast(g.select("ctx").distinct()), "ctx", "left_semi")
+            tok = tok.join(F.broadcast(g.select("tok").distinct()), "tok", "left_semi")
         g = g.select("*", F.explode(F.array(*[F.lit(c) for c in cls])).alias("label"))
-        return (g.join(self.ngram_counts.select("label", "ngram", "c"), ["label", "ngram"], "left")
-                .join(self.ctx_counts, ["label", "ctx"], "left")
-                .join(self.tok_stats, ["label", "tok"], "left")
+        return (g.join(counts, ["label", "ngram"], "left")
+                .join(ctx, ["label", "ctx"], "left")
+                .join(tok, ["label", "tok"], "left")
                 .join(F.broadcast(self.class_stats.select("label", "V", "N")), "label")   # one row per class
                 .fillna(0, ["c", "ctot", "uni", "U"]))
 
