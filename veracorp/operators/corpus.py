@@ -63,12 +63,12 @@ def combine(df: DataFrame) -> DataFrame:
 
 
 def duplicate_stats(before: DataFrame, after: DataFrame) -> DataFrame:    # D2 rate
-    b = before.agg(F.count(F.lit(1)).alias("initial_size"), F.lit(1).alias("_one"))
-    a = after.agg(F.count(F.lit(1)).alias("final_size"), F.lit(1).alias("_one"))
-    return (b.join(a, "_one").drop("_one")
-            .withColumn("duplicate_rate", F.when(F.col("initial_size") > 0,
-                                                 (F.col("initial_size") - F.col("final_size"))
-                                                 / F.col("initial_size") * 100.0).otherwise(0.0)))
+    """initial / final size and duplicate rate (%); the final size is a scalar from one count."""
+    final = after.count()
+    return before.agg(F.count(F.lit(1)).alias("initial_size")).select(
+        "initial_size", F.lit(final).cast("long").alias("final_size"),
+        F.when(F.col("initial_size") > 0, (F.col("initial_size") - F.lit(final)) / F.col("initial_size") * 100.0)
+        .otherwise(0.0).alias("duplicate_rate"))
 
 
 def with_hash_order(df: DataFrame, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
@@ -178,8 +178,9 @@ def corpus_summary(before: DataFrame, after: DataFrame) -> DataFrame:     # A1 (
                   F.count_distinct("label").alias("num_classes"),
                   F.count_distinct("source_id").alias("num_sources"),
                   F.avg(F.length("text")).alias("avg_text_length"))
-    d = duplicate_stats(before, after).select("initial_size", "duplicate_rate", F.lit(1).alias("_one"))
-    return a.withColumn("_one", F.lit(1)).join(d, "_one").drop("_one")
+    d = duplicate_stats(before, after).first()          # one row of scalars
+    return a.select("*", F.lit(d["initial_size"]).cast("long").alias("initial_size"),
+                    F.lit(float(d["duplicate_rate"])).alias("duplicate_rate"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:                   # A4

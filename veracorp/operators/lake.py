@@ -165,10 +165,10 @@ def integrity_report(df: DataFrame) -> DataFrame:
     cols = df.columns
     nulls = [F.count_if(F.col(c).isNull()) for c in cols]
     total_nulls = sum(nulls[1:], nulls[0])
-    a = df.agg(F.count(F.lit(1)).alias("row_count"), total_nulls.alias("null_cells"), F.lit(1).alias("_one"))
     # duplicates: hash aggregate on the whole row (partial aggregation collapses hot copies)
-    d = df.groupBy(*cols).count().agg(F.sum(F.col("count") - 1).alias("duplicate_rows"), F.lit(1).alias("_one"))
-    r = a.join(d, "_one").drop("_one")
+    dup = df.groupBy(*cols).count().agg(F.sum(F.col("count") - 1)).first()[0] or 0
+    r = df.agg(F.count(F.lit(1)).alias("row_count"), total_nulls.alias("null_cells")).withColumn(
+        "duplicate_rows", F.lit(int(dup)).cast("long"))
     ratio = F.when(F.col("row_count") > 0, F.col("null_cells") / (F.col("row_count") * len(cols))).otherwise(0.0)
     return r.select("row_count", F.col("null_cells").cast("long").alias("null_cells"), ratio.alias("null_ratio"),
                     F.coalesce(F.col("duplicate_rows"), F.lit(0)).cast("long").alias("duplicate_rows"),

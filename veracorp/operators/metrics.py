@@ -41,17 +41,18 @@ def per_class_report(preds: DataFrame, truth: str = "truth", pred: str = "pred",
 
 def summary_metrics(preds: DataFrame, truth: str = "truth", pred: str = "pred",
                     keys: Sequence[str] = ()) -> DataFrame:
-    """One row per key: accuracy and support-weighted precision / recall / f1."""
+    """One row per key: accuracy and support-weighted precision / recall / f1.
+
+    Accuracy is sum(tp) / N, which is the support-weighted recall, so one
+    aggregate over the per-class report gives all four numbers.
+    """
     keys = list(keys)
     rep = per_class_report(preds, truth, pred, keys)
-    acc = confusion(preds, truth, pred, keys).groupBy(*keys).agg(
-        (F.sum(F.when(F.col("truth") == F.col("pred"), F.col("cnt")).otherwise(0)) / F.sum("cnt")).alias("accuracy"),
-        F.lit(1).alias("_one"))
-    w = rep.groupBy(*keys).agg((F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-                               (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
-                               (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_score"),
-                               F.lit(1).alias("_one"))
-    return acc.join(w, keys + ["_one"]).drop("_one")
+    n = F.sum("support")
+    return rep.groupBy(*keys).agg((F.sum(F.col("recall") * F.col("support")) / n).alias("accuracy"),
+                                  (F.sum(F.col("precision") * F.col("support")) / n).alias("precision"),
+                                  (F.sum(F.col("recall") * F.col("support")) / n).alias("recall"),
+                                  (F.sum(F.col("f1") * F.col("support")) / n).alias("f1_score"))
 
 
 def metrics_long(preds: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:

@@ -154,13 +154,15 @@ def q_m11(spark, sf):
             trd.select("doc_id", F.col("label").alias("truth")), "doc_id")
         pte = LN.multinomial_predict(idx, m, ted, features="features_poly").join(
             ted.select("doc_id", F.col("label").alias("truth")), "doc_id")
-        a = ME.summary_metrics(ptr).select(F.col("accuracy").alias("train_accuracy"), F.lit(1).alias("_one"))
-        b = ME.summary_metrics(pte).select(F.col("accuracy").alias("test_accuracy"), "f1_score", F.lit(1).alias("_one"))
-        row = a.join(b, "_one").drop("_one").select(
-            F.lit(d).cast("long").alias("degree"), round6("train_accuracy").alias("train_accuracy"),
-            round6("test_accuracy").alias("test_accuracy"), round6("f1_score").alias("f1_score"),
-            F.lit(width).cast("long").alias("feature_space_size"),
-            F.lit((v + 2) * (v + 1) // 2).cast("long").alias("degree_2_full_feature_space_size"))
+        a = ME.summary_metrics(ptr).first()
+        b = ME.summary_metrics(pte).first()
+        row = spark.createDataFrame(
+            [(d, float(a["accuracy"]), float(b["accuracy"]), float(b["f1_score"]), int(width),
+              int((v + 2) * (v + 1) // 2))],
+            "degree long, train_accuracy double, test_accuracy double, f1_score double, "
+            "feature_space_size long, degree_2_full_feature_space_size long").select(
+            "degree", round6("train_accuracy").alias("train_accuracy"), round6("test_accuracy").alias("test_accuracy"),
+            round6("f1_score").alias("f1_score"), "feature_space_size", "degree_2_full_feature_space_size")
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veracorp.functions import lexicon as L
@@ -74,13 +75,12 @@ def q_m2p(spark, sf):
 def q_m3(spark, sf):
     p = nb_predictions(spark, sf, L.NB_ALPHAS)
     s = ME.summary_metrics(p, keys=["alpha"])
-    # best alpha = first maximum of weighted F1 in grid order
+    # best alpha = first maximum of weighted F1 in grid order (a window over the 6-row grid table)
     order = F.array_position(F.array(*[F.lit(float(a)) for a in L.NB_ALPHAS]), F.col("alpha"))
-    best = s.agg(F.min(F.struct(F.negative("f1_score"), order.alias("o"), F.col("alpha"))).alias("b")) \
-        .select(F.col("b.alpha").alias("best_alpha"), F.lit(1).alias("_one"))
-    return (s.withColumn("_one", F.lit(1)).join(best, "_one")
+    w = Window.orderBy(F.desc("f1_score"), order)
+    return (s.withColumn("is_best", F.row_number().over(w) == 1)
             .select(round6("alpha").alias("alpha"), round6("accuracy").alias("accuracy"),
-                    round6("f1_score").alias("f1_score"), (F.col("alpha") == F.col("best_alpha")).alias("is_best")))
+                    round6("f1_score").alias("f1_score"), "is_best"))
 
 
 @query("M7_nb_evaluation")
