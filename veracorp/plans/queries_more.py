@@ -214,8 +214,9 @@ def q_m10(spark, sf):
     out = None
     for d in (1, 2, 3):
         x = PolynomialExpansion(degree=d, inputCol="xy", outputCol="poly").transform(tr)
-        size = F.udf(lambda v: v.size, "long")
-        part = x.select("doc_id", F.lit(d).cast("long").alias("degree"), size("poly").alias("width"))
+        from pyspark.ml.functions import vector_to_array
+        part = x.select("doc_id", F.lit(d).cast("long").alias("degree"),
+                        F.size(vector_to_array("poly")).cast("long").alias("width"))
         out = part if out is None else out.unionByName(part)
     return out
 

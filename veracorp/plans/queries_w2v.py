@@ -134,7 +134,8 @@ def _families(spark, sf):
 @query("F13_concatenated_features")
 def q_f13(spark, sf):
     f = _families(spark, sf)
-    size = F.udf(lambda v: v.size, "long")
+    def size(c):
+        return F.size(vector_to_array(c)).cast("long")
     return f["train"].unionByName(f["test"]).select("doc_id", size("tfidf").alias("tfidf_dim"),
                                                     size("w2v").alias("w2v_dim"), size("concat").alias("concat_dim"))
 
