@@ -90,3 +90,26 @@ def test_feed_caps(spark):
     r = all_queries()["S10_feed_items"](spark, SF_SMALL)
     per = r.groupBy("source").count().collect()
     assert per and all(x["count"] <= 20 for x in per)
+
+
+def test_parse_date_layouts(spark):
+    from veracorp.sources.files import parse_date
+    rows = [("Tue, 27 Apr 2026 10:00:00 +0500",), ("2021-03-04",), ("December 31, 2017",),
+            ("2020-05-06T07:08:09+00:00",), ("not a date",)]
+    df = spark.createDataFrame(rows, "d string")
+    got = [r[0] for r in df.select(F.year(parse_date(F.col("d")))).collect()]
+    assert got == [2026, 2021, 2017, 2020, None]
+
+
+def test_year_from_first_parseable_column(spark):
+    from veracorp.sources.files import year_from_dates
+    df = spark.createDataFrame([("junk", "2019-01-01"), ("junk2", "2020-02-02")], "date string, published_at string")
+    assert [r[0] for r in df.select(year_from_dates(df, ("date", "published_at"))).collect()] == [2019, 2020]
+
+
+def test_label_normalisation(spark):
+    from veracorp.functions import lexicon as L
+    from veracorp.operators.corpus import normalize_label
+    df = spark.createDataFrame([(" Half-True ",), ("pants-fire",), ("unknown",), (None,)], "l string")
+    got = [r[0] for r in df.select(normalize_label(F.col("l"), L.LABEL_MAP_SIX_WAY)).collect()]
+    assert got == ["Real", "Fake", None, None]
