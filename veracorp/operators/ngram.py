@@ -57,7 +57,8 @@ class NGramModel:
             self.ngram_counts = cut_lineage(self.ngram_counts)
         # context totals, unigram count of the final token and distinct contexts before it
         # all derive from the (much smaller) distinct n-gram table: one pass over the text
-        self.ctx_counts = self.ngram_counts.groupBy("label", "ctx").agg(F.sum("c").alias("ctot"))
+        self.ctx_counts = self.ngram_counts.groupBy("label", "ctx").agg(F.sum("c").alias("ctot"),
+                                                                        F.count(F.lit(1)).alias("n1p"))
         self.tok_stats = self.ngram_counts.groupBy("label", "tok").agg(F.sum("c").alias("uni"),
                                                                         F.count(F.lit(1)).alias("U"))
         self.class_stats = (self.tok_stats.groupBy("label")
@@ -89,15 +90,21 @@ class NGramModel:
         return (g.join(counts, ["label", "ngram"], "left")
                 .join(ctx, ["label", "ctx"], "left")
                 .join(tok, ["label", "tok"], "left")
-                .join(F.broadcast(self.class_stats.select("label", "V", "N")), "label")   # one row per class
-                .fillna(0, ["c", "ctot", "uni", "U"]))
+                .join(F.broadcast(self.class_stats.select("label", "V", "N", "unique_ngrams")), "label")
+                .fillna(0, ["c", "ctot", "n1p", "uni", "U"]))       # (class_stats: one row per class)
 
     def probability(self, method: str = "kneser-ney", k: float = 1.0) -> Column:
         c, C, V, N = F.col("c"), F.col("ctot"), F.col("V"), F.col("N")
         if method == "laplace":                                                     # G4
             den = C + F.lit(k) * V
             return F.when(den == 0, 1.0 / V).otherwise((c + F.lit(k)) / den)
-        d = F.lit(KN_DISCOUNT)                                                       # G5 (as coded)
+        d = F.lit(KN_DISCOUNT)
+        if method == "interpolated_kn" and self.n > 1:                              # published formula
+            # P(w|ctx) = max(c - d, 0)/C + d * N1+(ctx .)/C * N1+(. w)/N1+(. .); unseen context -> P_cont(w)
+            p_cont = F.col("U") / F.col("unique_ngrams")
+            return F.when(C == 0, p_cont).otherwise(
+                F.greatest(c - d, F.lit(0.0)) / C + d * F.col("n1p") / C * p_cont)
+        # G5 as coded in the reference
         first = F.greatest(c - d, F.lit(0.0)) / C
         if self.n > 1:
             first = first + (d / C) * F.col("U") * F.col("uni") / N

@@ -37,7 +37,7 @@ def _grams(src: str, n: int, keys: str, name: str) -> str:
 
 _MODEL = _LM_SPLIT + "," + _grams("train", 3, "label", "tg") + """,
 ng AS (SELECT label, ngram, ctx, tok, count(*) AS c FROM tg GROUP BY ALL),
-cx AS (SELECT label, ctx, count(*) AS ctot FROM tg GROUP BY ALL),
+cx AS (SELECT label, ctx, count(*) AS ctot, count(DISTINCT tok) AS n1p FROM tg GROUP BY ALL),
 ts AS (SELECT u.label, u.tok, u.uni, k.U FROM (SELECT label, tok, count(*) AS uni FROM tg GROUP BY ALL) u
        JOIN (SELECT label, tok, count(*) AS U FROM ng GROUP BY ALL) k ON u.label = k.label AND u.tok = k.tok),
 cs AS (SELECT label, count(*) AS V, sum(uni) AS N FROM ts GROUP BY label)"""
@@ -47,7 +47,8 @@ def _scored() -> str:
     return _grams("test", 3, "doc_id", "eg") + """,
 em AS (SELECT doc_id, ngram, ctx, tok, count(*) AS m FROM eg GROUP BY ALL),
 sc AS (
-  SELECT e.doc_id, cs.label, e.m, coalesce(ng.c, 0) AS c, coalesce(cx.ctot, 0) AS ctot,
+  SELECT e.doc_id, cs.label, e.m, coalesce(ng.c, 0) AS c, coalesce(cx.ctot, 0) AS ctot, coalesce(cx.n1p, 0) AS n1p,
+    (SELECT count(*) FROM ng WHERE ng.label = cs.label) AS uniq,
     coalesce(ts.uni, 0) AS uni, coalesce(ts.U, 0) AS U, cs.V, cs.N
   FROM em e CROSS JOIN cs
   LEFT JOIN ng ON ng.label = cs.label AND ng.ngram = e.ngram
@@ -78,6 +79,11 @@ SQL["G4_laplace_perplexity"] = with_base(_MODEL, _scored()) + \
 SQL["G5_kn_perplexity"] = with_base(_MODEL, _scored()) + \
     f"SELECT doc_id, label, round(perplexity, 6) AS perplexity FROM ({_ppl(_KN, 'doc_id, label')})"
 
+_IKN = ("CASE WHEN ctot = 0 THEN U / uniq ELSE greatest(c - 0.75, 0.0) / ctot + 0.75 * n1p / ctot * U / uniq END")
+
+SQL["G5_interpolated_kn_perplexity"] = with_base(_MODEL, _scored()) + \
+    f"SELECT doc_id, label, round(ln(perplexity), 9) AS log_perplexity FROM ({_ppl(_IKN, 'doc_id, label')})"
+
 SQL["G6_corpus_perplexity"] = with_base(_MODEL, _scored()) + \
     f"SELECT label, round(perplexity, 6) AS perplexity FROM ({_ppl(_KN, 'label')})"
 
