@@ -11,6 +11,22 @@ FIXED VALUES: the patterns below reproduce the cleaning and tokenising rules.
 
 # --- Fixed values -----------------------------------------------------------
 
+# The rules as published, in Python regex syntax, in the order they are applied:
+#   html tags            <[^>]+>                                   -> " "
+#   urls                 http[s]?://\S+|www\.\S+                   -> " [URL] "
+#   emails               [a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}  -> " [EMAIL] "
+#   mentions             @\w+                                      -> " [MENTION] "
+#   hashtags             #(\w+)                                    -> " \1 "
+#   repeated punctuation ([!?.,])\1{1,}                            -> "\1"
+#   emoji                [\U0001F300-\U0001FAFF\U00002700-\U000027BF\U000024C2-\U0001F251]+  -> " "
+#   whitespace           \s+                                       -> " ", then strip, then lower
+#   regex tokens         [A-Za-z]+(?:'[A-Za-z]+)?|\d+|(?:\[URL\]|\[EMAIL\]|\[MENTION\])
+#   reference words      [A-Za-z]+(?:'[A-Za-z]+)?
+#   bag-of-words tokens  (?u)\b\w+\b        TF-IDF tokens  (?u)\b\w\w+\b
+#   contractions         \b\w+'\w+\b        lower words  [a-z]+
+#   code-switch words    \b(yaar|acha|nahi|kya|hai|hain|magar|lekin|awam|hukumat)\b
+# Below, the same rules in the engine-neutral dialect (Unicode classes spelled out).
+
 # Characters Python treats as whitespace.
 WS_CHARS = (r"\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
