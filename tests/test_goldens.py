@@ -83,3 +83,17 @@ def test_dedup_keeps_first(spark):
         .withColumn("row_ord", F.col("doc_id"))
     got = sorted((r["doc_id"], r["text"]) for r in C.dedup_first(df).collect())
     assert got == [(1, "same"), (2, "other")]
+
+
+def test_kn_mass_after_context(spark):
+    """Mass after context 'a' over the vocabulary: 0.75 as coded, 1.0 interpolated."""
+    train = spark.createDataFrame([("L", "a b"), ("L", "a c")], "label string, text string")
+    m = NGramModel(train, n=2)
+    docs = spark.createDataFrame([(1, "a a"), (2, "a b"), (3, "a c"), (4, "a")], "doc_id long, text string")
+    s = m.scored_ngrams(docs).where(F.col("ctx") == "a").dropDuplicates(["ngram"])
+    coded = s.agg(F.sum(m.probability("kneser-ney"))).first()[0]
+    interp = s.agg(F.sum(m.probability("interpolated_kn"))).first()[0]
+    assert coded == pytest.approx(0.75)
+    assert interp == pytest.approx(1.0)
+    probs = {r["tok"]: r["p"] for r in s.select("tok", m.probability("kneser-ney").alias("p")).collect()}
+    assert probs == pytest.approx({"a": 0.125, "b": 0.1875, "c": 0.1875, "<END>": 0.25})

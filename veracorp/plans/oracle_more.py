@@ -145,3 +145,26 @@ vocab AS (SELECT term, sum(tf) AS total FROM tf GROUP BY term ORDER BY total DES
 SELECT (SELECT count(*) FROM processed) AS n_docs, (SELECT count(*) FROM vocab) AS vocab_size, count(*) AS nnz,
   round(1.0 - count(*) / ((SELECT count(*) FROM processed) * (SELECT count(*) FROM vocab)), 6) AS sparsity
 FROM tf WHERE term IN (SELECT term FROM vocab)"""
+
+# --- record dedup, feature widths --------------------------------------------------------
+
+from veracorp.plans.oracle_models import _NB  # noqa: E402
+
+_SQ = lambda e: f"trim({_rr(e, _P.WS_RUN, ' ')})"
+
+SQL["D3_record_dedup"] = with_base(f"""
+it AS (SELECT source_id AS source, doc_id AS ord, split_part(text, chr(10), 1) AS t1, text FROM combined),
+it2 AS (SELECT source, ord, {_SQ('t1')} AS title, {_SQ('substr(text, length(t1) + 2)')} AS descr FROM it),
+rec AS (SELECT source, ord, {_SQ(_rr("title || '. ' || descr", '^[. ]+|[. ]+$', ''))} AS t FROM it2
+        WHERE length(title) > 0 OR length(descr) > 0),
+d AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY ord) AS rn FROM rec WHERE length(t) > 0)""") + """
+SELECT source, ord, md5(t) AS text_md5 FROM d WHERE rn = 1"""
+
+SQL["M10_polynomial_features"] = with_base(_NB) + """
+SELECT doc_id, CAST(d AS BIGINT) AS degree, CAST(CASE d WHEN 1 THEN 2 WHEN 2 THEN 5 ELSE 9 END AS BIGINT) AS width
+FROM train, (SELECT unnest([1, 2, 3]) AS d) g"""
+
+SQL["F13_concatenated_features"] = with_base(_NB, """
+vocab4k AS (SELECT term FROM tf_tr GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 4000)""") + """
+SELECT s.doc_id, v.n AS tfidf_dim, CAST(200 AS BIGINT) AS w2v_dim, v.n + 200 AS concat_dim
+FROM split s, (SELECT count(*) AS n FROM vocab4k) v"""
