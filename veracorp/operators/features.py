@@ -12,10 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracorp.functions.text import word_tokens, word_tokens_2plus
-from veracorp.session import cut_lineage
-
-
-BROADCAST_ROWS = 2_000_000   # size bound for broadcasting a checked small side
+from veracorp.session import broadcast_if_small, cut_lineage
 
 
 def term_frequencies(df: DataFrame, tokens: Column, id_col: str = "doc_id", carry=()) -> DataFrame:
@@ -159,8 +156,7 @@ def cosine_top_k(qvec: DataFrame, dvec: DataFrame, k: int, q_id: str = "query_id
     # count confirms it, broadcast it and stream the postings (no shuffle of the
     # postings, and a hot term cannot pile into one reducer); otherwise leave the
     # join to AQE (runtime broadcast or skew split).
-    if q.count() <= BROADCAST_ROWS:
-        q = F.broadcast(q)
+    q = broadcast_if_small(q)
     scores = d.join(q, "term").groupBy(q_id, d_id).agg(F.sum(F.col("qw") * F.col("dw")).alias("score"))
     if fill_docs is not None:
         # candidates with score 0: the 2k lowest doc ids (at most 40 ids for k <= 20,

@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 
 from veracorp.functions.lexicon import KN_DISCOUNT, LM_END, LM_PROB_FLOOR, LM_START
 from veracorp.functions.text import whitespace_tokens
-from veracorp.session import cut_lineage
-
-BROADCAST_ROWS = 2_000_000   # size bound for broadcasting a checked small side
+from veracorp.session import BROADCAST_ROWS, cut_lineage
 
 
 def lm_tokens(text: str | Column = "text") -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from veracorp.functions.stemmers import lemma_rules, porter, snowball
+from veracorp.session import broadcast_if_small
 
 METHODS = ("porter", "snowball", "wordnet")
 
@@ -51,7 +52,7 @@ def normalize_long(tokens_long: DataFrame, method: str, col: str = "token") -> D
     """Replace ``col`` in a long (doc, pos, token) table by its normalised form."""
     if method in (None, "none"):
         return tokens_long
-    m = vocabulary_map(tokens_long, method, col)
+    m = broadcast_if_small(vocabulary_map(tokens_long, method, col))
     return tokens_long.join(m, col).withColumn(col, F.col("norm")).drop("norm")
 
 

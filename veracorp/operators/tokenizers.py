@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracorp.functions import lexicon as L
+from veracorp.session import broadcast_if_small
 from veracorp.functions import patterns as P
 from veracorp.functions.text import (kept_tokens, regex_tokens, removed_tokens, treebank_tokens,
                                      whitespace_tokens)
@@ -39,7 +40,7 @@ def compare_tokenizers(sample: DataFrame, corpus: DataFrame, text: str = "cleane
         F.size(F.filter("marks", lambda w: F.array_contains(lowered, w))).alias("mark_kept"))
     # out-of-vocabulary alphabetic tokens: anti join with the reference vocabulary
     alpha = stacked.select("tokenizer", "doc_id", F.explode(lowered).alias("term")).where(F.col("term").rlike(r"^\p{L}+$"))
-    oov = alpha.join(vocab, "term", "left_anti").groupBy("tokenizer").agg(F.count(F.lit(1)).alias("oov"))
+    oov = alpha.join(broadcast_if_small(vocab), "term", "left_anti").groupBy("tokenizer").agg(F.count(F.lit(1)).alias("oov"))
     agg = per_doc.groupBy("tokenizer").agg(
         F.avg("n").alias("avg_tokens_per_doc"), F.sum("n").alias("total_tokens"),
         F.sum("contr_cases").alias("cc"), F.sum("contr_kept").alias("ck"),

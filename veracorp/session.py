@@ -70,3 +70,32 @@ def cut_lineage(df):
     """Materialise a DataFrame in the shared checkpoint folder (reliable checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Size bound (rows) for broadcasting a side whose size is checked at run time.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_ROWS, materialize: bool = True):
+    """Broadcast ``df`` when a count proves it small; otherwise leave the join to AQE
+    (runtime broadcast or skew-partition splitting).  Used for vocabulary-sized
+    tables joined to token occurrences, where a hot token would otherwise pile
+    its occurrences into one reducer.  ``materialize`` checkpoints the table
+    first so the count and the join do not compute it twice."""
+    from pyspark.sql import functions as F
+    if materialize:
+        df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle sizing for a cluster run: start with enough partitions for
+    ~256 MiB each (AQE coalesces small ones and splits skewed ones)."""
+    parts = max(cores * 2, min(200_000, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+    }
