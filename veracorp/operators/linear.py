@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ELASTIC = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}
+TOL = 1e-4          # the reference solver's default stopping tolerance
 
 
 @F.udf(VectorUDT())
@@ -64,7 +65,7 @@ def fit_ovr(train: DataFrame, classes: Sequence[str], regularization: str = "l2"
         b = balanced_binary_weight(b, "y")
         lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight",
                                 regParam=1.0 / (C * n), elasticNetParam=ELASTIC[regularization],
-                                standardization=True, maxIter=max_iter, family="binomial")
+                                standardization=True, maxIter=max_iter, tol=TOL, family="binomial")
         models[cls] = lr.fit(b)
     return models
 
@@ -117,7 +118,7 @@ def fit_multinomial(train: DataFrame, C: float = 1.0, balanced: bool = True, sta
     from pyspark.ml.feature import StringIndexer
     idx = StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc").fit(train)
     lr = LogisticRegression(featuresCol=features, labelCol="y", weightCol="weight", regParam=1.0 / (C * n),
-                            elasticNetParam=0.0, standardization=standardize, maxIter=max_iter,
+                            elasticNetParam=0.0, standardization=standardize, maxIter=max_iter, tol=TOL,
                             family="multinomial")
     return idx, lr.fit(idx.transform(train))
 
