@@ -103,7 +103,9 @@ def q_m7c(spark, sf):
 @query("M8_nb_roc_auc")
 def q_m8(spark, sf):
     nb, tf_test, test = nb_setup(spark, sf)
-    probs = nb.predict_proba(tf_test, test).join(test.select("doc_id", F.col("label").alias("truth")), "doc_id")
+    # the probability table feeds several AUC branches: materialise it once
+    probs = cut_lineage(nb.predict_proba(tf_test, test).join(test.select("doc_id", F.col("label").alias("truth")),
+                                                             "doc_id"))
     return ME.ovr_auc(probs, "truth", "label", "prob").select(
         "label", round6("auc").alias("auc"), _L("n_thresholds").alias("n_thresholds"))
 
