@@ -17,6 +17,8 @@ distributed passes instead:
    boundary bucket of each group is ranked by a window.
 
 The result is exact, and no task ever holds more than one bucket's rows.
+The input is read by the histogram pass and by the flag pass, so callers pass
+a materialised input (a table scan or a checkpoint), not a long lineage.
 """
 
 from __future__ import annotations

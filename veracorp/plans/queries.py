@@ -103,7 +103,7 @@ def q_d2r(spark, sf):
 
 @query("D4_balanced_sample")
 def q_d4(spark, sf):
-    return C.balanced_sample(combined(spark, sf), target=300).select("doc_id", "label")
+    return C.balanced_sample(cut_lineage(combined(spark, sf)), target=300).select("doc_id", "label")
 
 
 @query("D5_imbalance_check")
@@ -115,7 +115,7 @@ def q_d5(spark, sf):
 
 @query("D6_undersample")
 def q_d6(spark, sf):
-    return C.undersample(combined(spark, sf)).select("doc_id", "label")
+    return C.undersample(cut_lineage(combined(spark, sf))).select("doc_id", "label")
 
 
 @query("D7_class_weights")
@@ -131,7 +131,7 @@ def q_d8(spark, sf):
 
 @query("D9_stratified_split")
 def q_d9(spark, sf):
-    return C.stratified_split(combined(spark, sf), test_size=0.2).select("doc_id", "label", "is_test")
+    return C.stratified_split(cut_lineage(combined(spark, sf)), test_size=0.2).select("doc_id", "label", "is_test")
 
 
 def lm_split(spark, sf):
