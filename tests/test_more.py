@@ -113,3 +113,13 @@ def test_label_normalisation(spark):
     df = spark.createDataFrame([(" Half-True ",), ("pants-fire",), ("unknown",), (None,)], "l string")
     got = [r[0] for r in df.select(normalize_label(F.col("l"), L.LABEL_MAP_SIX_WAY)).collect()]
     assert got == ["Real", "Fake", None, None]
+
+
+def test_scoring_stream_and_feed_dedup_stream(spark):
+    q = all_queries()
+    st2 = q["ST2_scoring_stream"](spark, SF_SMALL)
+    rows = st2.collect()
+    assert rows and {r["prediction"] for r in rows} <= {"Real", "Fake", "Satire"}
+    assert len({r["request_id"] for r in rows}) == len(rows)          # each landed doc scored once
+    st3 = q["ST3_feed_dedup_stream"](spark, SF_SMALL)
+    assert st3.count() == st3.select("text").distinct().count()       # no duplicate text survives
