@@ -123,3 +123,10 @@ def test_scoring_stream_and_feed_dedup_stream(spark):
     assert len({r["request_id"] for r in rows}) == len(rows)          # each landed doc scored once
     st3 = q["ST3_feed_dedup_stream"](spark, SF_SMALL)
     assert st3.count() == st3.select("text").distinct().count()       # no duplicate text survives
+
+
+def test_integrity_report_counts(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "id long, v string")
+    r = LK.integrity_report(df).first()
+    assert (r["row_count"], r["null_cells"], r["duplicate_rows"]) == (5, 2, 2)
+    assert r["null_ratio"] == pytest.approx(0.2) and r["high_null_warning"] and r["duplicate_warning"]
