@@ -215,18 +215,21 @@ def source_scorecards(df: DataFrame) -> DataFrame:                         # A2
     (source, label) for the class balance; both are partial-aggregated, so a
     source holding a third of all rows costs no more than any other.
     """
-    per_class = (df.groupBy("source_id", "label").agg(F.count(F.lit(1)).alias("cnt"))
-                 .groupBy("source_id").agg(F.max("cnt").alias("max_cls"), F.min("cnt").alias("min_cls"),
-                                           F.count(F.lit(1)).alias("n_cls")))
-    length = F.length(F.coalesce(F.col("text"), F.lit("")))
-    stats = df.groupBy("source_id").agg(
-        F.count(F.lit(1)).alias("sample_count"),
-        F.avg("year").alias("avg_year"),
-        F.min("year").alias("year_min"),
-        F.max("year").alias("year_max"),
-        F.avg(length).alias("len_mean"),
-        F.stddev_pop(length).alias("len_std"))
-    s = stats.join(per_class, "source_id")
+    # One pass: partial-aggregated (source, class) cells carry algebraic sums, rolled up per source.
+    length = F.length(F.coalesce(F.col("text"), F.lit(""))).cast("double")
+    cells = df.groupBy("source_id", "label").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum(length).alias("sl"), F.sum(length * length).alias("sl2"),
+        F.sum("year").alias("sy"), F.count("year").alias("ny"), F.min("year").alias("ymin"),
+        F.max("year").alias("ymax"))
+    s = cells.groupBy("source_id").agg(
+        F.sum("cnt").alias("sample_count"), F.max("cnt").alias("max_cls"), F.min("cnt").alias("min_cls"),
+        F.count(F.lit(1)).alias("n_cls"), F.sum("sl").alias("sl"), F.sum("sl2").alias("sl2"),
+        F.sum("sy").alias("sy"), F.sum("ny").alias("ny"), F.min("ymin").alias("year_min"),
+        F.max("ymax").alias("year_max"))
+    s = (s.withColumn("avg_year", F.when(F.col("ny") > 0, F.col("sy") / F.col("ny")))
+         .withColumn("len_mean", F.col("sl") / F.col("sample_count"))
+         .withColumn("len_std", F.sqrt(F.greatest(F.col("sl2") / F.col("sample_count")
+                                                  - F.col("len_mean") * F.col("len_mean"), F.lit(0.0)))))
     low = F.lower(F.col("source_id"))
     cred = None
     for sub, score in L.CREDIBILITY_RULES:
