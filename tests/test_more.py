@@ -130,3 +130,12 @@ def test_integrity_report_counts(spark):
     r = LK.integrity_report(df).first()
     assert (r["row_count"], r["null_cells"], r["duplicate_rows"]) == (5, 2, 2)
     assert r["null_ratio"] == pytest.approx(0.2) and r["high_null_warning"] and r["duplicate_warning"]
+
+
+def test_cluster_conf_sizing():
+    from veracorp.session import cluster_conf
+    c = cluster_conf(100 * 10**12, cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000          # capped; AQE coalesces
+    small = cluster_conf(10 * 2**20, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16            # at least 2 x cores
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
