@@ -150,3 +150,5 @@ SQL["G11_ngram_analysis"] = with_base(_ANALYSIS) + "SELECT label, CAST(n AS BIGI
 SQL["G12_top_ngrams_per_class"] = with_base(_ANALYSIS) + """
 SELECT label, CAST(n AS BIGINT) AS n, rank, ngram, cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY label, n ORDER BY cnt DESC, ngram) AS rank FROM an) WHERE rank <= 20"""
+
+SQL["G8_lm_top5_ngrams"] = SQL["G7_top_ngrams"].replace("WHERE rank <= 20", "WHERE rank <= 5")

@@ -124,3 +124,10 @@ def q_g12(spark, sf):
     train, _ = _split(spark, sf)
     return NG.compare_ngrams(NG.analyze_ngrams(train)).select(
         "label", _L("n").alias("n"), _L("rank").alias("rank"), "ngram", _L("cnt").alias("cnt"))
+
+
+@query("G8_lm_top5_ngrams")
+def q_g8t(spark, sf):
+    """The five most frequent trigrams of each class model (part of the per-class training stats)."""
+    m, _ = _model(spark, sf)
+    return m.top_ngrams(5).select("label", _L("rank").alias("rank"), "ngram", _L("c").alias("cnt"))
