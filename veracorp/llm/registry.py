@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "minhash", "fingerprint", "packing")
+MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity")
 
 
 def all_queries() -> dict:
