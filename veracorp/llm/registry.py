@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity")
+MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity", "secrets")
 
 
 def all_queries() -> dict:
