@@ -11,8 +11,8 @@ Large buckets are never expanded.  Documents with equal sets enter once (the sma
 id stands for them).  STAR_ROUNDS times, each bucket links its rows to one leader and
 connected components are taken; a bucket that lies in one component is done.  Only
 rows of a bucket that still lie in different components are then compared with each
-other, and the join condition holds the size test and the b-bit estimate, so that it
-emits near pairs alone.  No pair of a shared bucket is left untested unless its two
+other, and the join condition holds the size test, the b-bit estimate and the exact test,
+so that it emits links alone.  No pair of a shared bucket is left untested unless its two
 documents are already in one component.
 
 At Jaccard 0.8 a pair shares no band with probability (1 - 0.8**ROWS)**BANDS, 1e-6;
@@ -162,17 +162,23 @@ def near(threshold: float, a: str = "a", b: str = "b"):
     return (100 * small >= t * large) & (estimate(f"planes_{a}", f"planes_{b}") >= estimate_cut(threshold))
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """Full shingle sets (rid, items) of the documents whose id is in ``wanted``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("rid"), whole_text().alias("text"))
-    texts = texts.join(wanted, "rid", "left_semi")
-    sets = stage(texts.mapInArrow(_sets(width), "rid long, items array<long>"), "near-sets")
+    return texts.join(wanted, "rid", "left_semi").mapInArrow(_sets(width), "rid long, items array<long>")
+
+
+def similar(threshold: float, a: str = "items_a", b: str = "items_b"):
+    """The exact test on two set columns."""
+    common = F.size(F.array_intersect(a, b))
+    return 100 * common >= round(threshold * 100) * (F.size(a) + F.size(b) - common)
+
+
+def confirm(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold."""
     both = (pairs.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("items_a")), "a")
             .join(sets.select(F.col("rid").alias("b"), F.col("items").alias("items_b")), "b"))
-    common = F.size(F.array_intersect("items_a", "items_b"))
-    union = F.size("items_a") + F.size("items_b") - common
-    return both.where(100 * common >= round(threshold * 100) * union).select("a", "b").distinct()
+    return both.where(similar(threshold)).select("a", "b").distinct()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -198,6 +204,21 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "rid", F.coalesce("found", "comp").alias("comp"))
 
 
+def _between(placed: DataFrame, reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between rows of a bucket that lie in different components.  The join condition
+    tests components, sizes, estimate, that this bucket is the first the pair shares, and
+    then the full sets, so that only links leave the join."""
+    rest = placed.join(reps.join(sets, "rid"), "rid")
+
+    def named(x):
+        return rest.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("rid", "comp", "n", "planes", "bands", "items")])
+
+    first = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())[0]
+    both = named("a").join(named("b"), "key")
+    both = both.where((F.col("comp_a") < F.col("comp_b")) & F.when(near(threshold), F.when(first == F.col("key"), similar(threshold))))
+    return both.select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct()
+
+
 def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     signed = stage(signatures(docs, width), "signatures")
@@ -209,39 +230,34 @@ def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 4) ->
     bucket = reps.select("rid", F.explode("bands").alias("key"))
     shared = bucket.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key")
     rows = stage(bucket.join(shared, "key"), "buckets")
+    sets = stage(shingle_sets(docs, rows.select("rid").distinct(), width), "near-sets")
     facts = reps.select("rid", "n", "planes")
 
     def side(name):
         return facts.select(F.col("rid").alias(name), F.col("n").alias(f"n_{name}"), F.col("planes").alias(f"planes_{name}"))
 
-    nodes = reps.select("rid")
+    nodes = reps.select("rid").distinct()
     links = tried = None
     labels = nodes.select("rid", F.col("rid").alias("comp"))
     for turn in range(STAR_ROUNDS + 1):
         placed = rows.join(labels, "rid")
+        rank = F.xxhash64("rid", F.lit(turn)) if turn else F.col("rid")
         open_keys = (placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                               F.min(F.struct((F.xxhash64("rid", F.lit(turn)) if turn else F.col("rid")).alias("rank"),
-                                                              "rid", "comp")).alias("lead"))
+                                               F.min(F.struct(rank.alias("rank"), "rid", "comp")).alias("lead"))
                      .where("low < high"))
         placed = placed.join(open_keys.select("key", F.col("lead.rid").alias("leader"), F.col("lead.comp").alias("leader_comp")), "key")
         if turn < STAR_ROUNDS:
             found = (placed.where(F.col("comp") != F.col("leader_comp"))
                      .select(F.least("rid", "leader").alias("a"), F.greatest("rid", "leader").alias("b")).distinct())
-            found = found.join(side("a"), "a").join(side("b"), "b").where(near(threshold))
+            found = found.join(side("a"), "a").join(side("b"), "b").where(near(threshold)).select("a", "b")
+            found = stage(found if tried is None else found.join(tried, ["a", "b"], "left_anti"), "candidates")
+            tried = found if tried is None else tried.unionByName(found)
+            sure = stage(confirm(sets, found, threshold), "links")
         else:
-            rest = stage(placed.select("key", "rid", "comp").join(facts, "rid"), "open-buckets")
-            one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rid", "comp", "n", "planes")])
-            two = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rid", "comp", "n", "planes")])
-            found = (one.join(two, "key").where((F.col("comp_a") < F.col("comp_b")) & near(threshold))
-                     .select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct())
-        found = found.select("a", "b")
-        found = stage(found if tried is None else found.join(tried, ["a", "b"], "left_anti"), "candidates")
-        tried = found if tried is None else tried.unionByName(found)
-        if not found.limit(1).count():
-            continue
-        sure = stage(confirm(docs, found, threshold, width), "links")
-        links = sure if links is None else links.unionByName(sure)
-        labels = stage(components(nodes, links), "components")
+            sure = stage(_between(placed.select("key", "rid", "comp"), reps, sets, threshold), "links")
+        if sure.limit(1).count():
+            links = sure if links is None else links.unionByName(sure)
+            labels = stage(components(nodes, links), "components")
     out = members.join(labels, "rid", "left")
     component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
