@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity", "secrets", "pii", "substring_dedup", "suffix_dedup")
+MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity", "secrets", "pii", "substring_dedup", "suffix_dedup",
+           "sentencepiece_lattice")
 
 
 def all_queries() -> dict:
