@@ -50,18 +50,6 @@ TOPIC_KEYWORDS = (
     "pandemic", "omicron", "lockdown", "mask",
 )
 
-# Terms for the normaliser comparison (20).
-NORMALISER_TERMS = (
-    "misinformation", "misleading", "fabricated", "verification", "veracity",
-    "credibility", "elections", "vaccinations", "headlines", "rumours",
-    "conspiracies", "broadcasting", "journalists", "factchecking", "communities",
-    "sharing", "viral", "governments", "authorities", "disinformation",
-)
-
-# Word-vector probes.
-SIMILARITY_PAIRS = (("government", "policy"), ("fake", "viral"), ("health", "vaccine"), ("court", "verdict"))
-NEIGHBOUR_TERMS = ("government", "fake", "health", "election")
-
 # Reliability scorecard rules: (substring, score), first hit wins.
 CREDIBILITY_RULES = (("liar", 5), ("isot", 4), ("covid", 4))
 CREDIBILITY_DEFAULT = 3

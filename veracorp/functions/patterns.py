@@ -47,7 +47,6 @@ HASHTAG = "#(" + WORD_RUN + ")"
 REPEATED_PUNCT = r"([!?.,])\1{1,}"
 PUNCT_MARKS = ("!", "?", ".", ",")
 EMOJI_RUN = r"[\x{1F300}-\x{1FAFF}\x{2700}-\x{27BF}\x{24C2}-\x{1F251}]+"
-CODE_SWITCH = r"\b(yaar|acha|nahi|kya|hai|hain|magar|lekin|awam|hukumat)\b"
 
 URL_TOKEN, EMAIL_TOKEN, MENTION_TOKEN = " [URL] ", " [EMAIL] ", " [MENTION] "
 

@@ -34,8 +34,7 @@ def require_min_rows(df: DataFrame, min_samples: int) -> DataFrame:        # P6
     """Fail the job when fewer than ``min_samples`` rows remain (checked at run time)."""
     n = df.count()
     if n < min_samples:
-        raise ValueError(f"Combined dataset has {n} samples after deduplication; "
-                         f"minimum required is {min_samples}.")
+        raise ValueError(f"{n} rows are left after deduplication, fewer than the {min_samples} asked for")
     return df
 
 
@@ -43,18 +42,17 @@ def require_min_rows(df: DataFrame, min_samples: int) -> DataFrame:        # P6
 
 def dedup_first(df: DataFrame, text: str = "text",
                 order: tuple[str, ...] = ("source_rank", "row_ord")) -> DataFrame:    # D2 / D3
-    """Keep the first row (by ``order``) of every distinct ``text``.
+    """Keep the first row (by ``order``, which tells rows apart) of every distinct ``text``.
 
-    A hash aggregate on md5(text) with min(struct(order..., row)) rather than a
-    window partitioned by the text: partial aggregation collapses copies inside
-    each map task before the shuffle, so a text copied into a third of all rows
-    still reaches the reducer as one row per map task.
+    Only digests and order keys are aggregated, with partial aggregation, so a text
+    copied into a third of all rows reaches its reducer as one row per map task.  The
+    keys of rows that are not first are then anti-joined: rows move only if the losing
+    keys are too many to be broadcast by size, and texts are never sorted.
     """
-    cols = list(order) + [c for c in df.columns if c not in order]
-    return (df.groupBy(F.md5(F.col(text)).alias("_h"), F.length(text).alias("_len"))
-            .agg(F.min(F.struct(*cols)).alias("_w"))
-            .select("_w.*")
-            .select(*df.columns))
+    keys = df.select(F.md5(F.col(text)).alias("_h"), F.struct(*order).alias("_o"))
+    first = keys.groupBy("_h").agg(F.min("_o").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    losers = keys.join(first, "_h").where(F.col("_o") > F.col("_first")).select("_o.*")
+    return df.join(losers, list(order), "left_anti").select(*df.columns)
 
 
 def combine(df: DataFrame) -> DataFrame:
@@ -152,8 +150,13 @@ def stratified_split(df: DataFrame, test_size: float | None = 0.2, test_rows: in
 
 
 def lm_test_rows(n: int) -> int:
-    """Task-4 held-out size: min(100, max(60, int(0.1 N)))."""
-    return min(100, max(60, int(n * 0.1)))
+    """D10's held-out size: a tenth of the rows, 60 at least and 100 at most."""
+    return min(100, lm_eval_rows(n))
+
+
+def lm_eval_rows(n: int) -> int:
+    """Held-out size of the language-model evaluation: a tenth of the rows, 60 at least."""
+    return max(60, int(n * 0.1))
 
 
 def first_rows(df: DataFrame, n: int = 10, order: str = "doc_id") -> DataFrame:   # D11

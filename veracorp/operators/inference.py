@@ -51,46 +51,79 @@ def preprocess(requests: DataFrame, steps: Sequence[str] = ("clean", "tokenize",
     return out.drop("_t")
 
 
+def accepted(requests: DataFrame, text: str = "text") -> DataFrame:
+    """The requests that pass V6, without its columns: the gate in front of V1-V5."""
+    return validate(requests, text).where("accepted").drop("accepted", "reason")
+
+
 class Classifier:
-    """Fitted one-vs-rest LR + TF-IDF vocabulary: the serving bundle as DataFrames."""
+    """The serving bundle: one-vs-rest LR over TF-IDF as DataFrames of bounded size.
+
+    ``vocabulary`` (term, idf, idx, mu, sd) holds max_features rows, ``coefficients``
+    (label, idx, coefficient) classes x max_features, ``intercepts`` a row per class.
+    Scores are joins and sums, so a loaded bundle needs no fitted MLlib objects.
+    """
 
-    def __init__(self, ctx: dict, models: dict):
-        self.ctx, self.models = ctx, models
-        tr = ctx["long_train"]
+    PARTS = ("vocabulary", "coefficients", "intercepts")
+
+    def __init__(self, vocabulary: DataFrame, coefficients: DataFrame, intercepts: DataFrame):
+        self.vocabulary, self.coefficients, self.intercepts = vocabulary, coefficients, intercepts
+
+    @classmethod
+    def fitted(cls, ctx: dict, models: LN.OneVsRest) -> Classifier:
+        spark = ctx["index"].sparkSession
         n = ctx["train"].count()
-        st = tr.groupBy("idx").agg(F.sum("weight").alias("s"), F.sum(F.col("weight") ** 2).alias("ss"))
-        mean = F.col("s") / n
-        var_p = F.greatest(F.col("ss") / n - mean * mean, F.lit(0.0))
-        self.scale = st.select("idx", mean.alias("mu"), F.sqrt(var_p).alias("sd_pop"),
-                               F.sqrt(var_p * n / max(n - 1, 1)).alias("sd_samp"))
+        mean = ctx["long_train"].groupBy("idx").agg((F.sum("weight") / n).alias("mu"))
+        sd = spark.createDataFrame([(i, v) for i, v in enumerate(models.scale)], "idx long, sd double")
+        vocabulary = (ctx["idf"].join(ctx["index"], "term").join(F.broadcast(sd), "idx").join(mean, "idx", "left")
+                      .fillna(0.0, ["mu"]))
         rows = [(c, i, float(v)) for c, m in models.items() for i, v in enumerate(m.coefficients.toArray())]
-        spark = tr.sparkSession
-        self.coef = spark.createDataFrame(rows, "label string, idx long, coefficient double")   # k x max_features
-
-    def vectors(self, requests: DataFrame, id_col: str = "request_id") -> tuple[DataFrame, DataFrame]:
-        req = requests.select(F.col(id_col).alias("doc_id"), clean_text(F.col("text")).alias("cleaned_text"),
-                              F.lit("?").alias("label"))
-        w, _ = FE.tfidf(req, "cleaned_text", "sublinear", vocab=self.ctx["idf"])
-        v = LN.to_vectors(w, self.ctx["index"], req, self.ctx["size"])
-        return v, w
+        return cls(vocabulary, spark.createDataFrame(rows, "label string, idx long, coefficient double"),
+                   spark.createDataFrame([(c, float(m.intercept)) for c, m in models.items()], "label string, intercept double"))
+
+    def save(self, root: str) -> None:
+        for part in self.PARTS:
+            getattr(self, part).write.mode("overwrite").parquet(f"{root}/{part}")
+
+    @classmethod
+    def load(cls, spark, root: str) -> Classifier:
+        return cls(*[spark.read.parquet(f"{root}/{part}") for part in cls.PARTS])
+
+    def _weights(self, requests: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+        """The requests that pass V6, and their (doc_id, idx, term, weight, mu, sd)."""
+        req = accepted(requests.select(F.col(id_col).alias("doc_id"), "text"))
+        req = req.select("doc_id", clean_text(F.col("text")).alias("cleaned_text"), F.lit("?").alias("label"))
+        w, _ = FE.tfidf(req, "cleaned_text", "sublinear", vocab=self.vocabulary.drop("idx", "mu", "sd"))
+        return req, w.join(F.broadcast(self.vocabulary.select("term", "idx", "mu", "sd")), "term")
+
+    def probabilities(self, requests: DataFrame, id_col: str = "request_id") -> DataFrame:
+        """(doc_id, label, prob), normalised over classes."""
+        req, w = self._weights(requests, id_col)
+        value = F.col("weight") / F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
+        sums = (w.select("doc_id", "idx", value.alias("x")).join(F.broadcast(self.coefficients), "idx")
+                .groupBy("doc_id", "label").agg(F.sum(F.col("x") * F.col("coefficient")).alias("s")))
+        classes = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.lit(r["intercept"]).alias("intercept"))
+                            for r in self.intercepts.orderBy("label").collect()])        # a row per class
+        every = req.select("doc_id", F.explode(classes).alias("c")).select("doc_id", "c.*")
+        margin = F.col("intercept") + F.coalesce("s", F.lit(0.0))
+        raw = every.join(sums, ["doc_id", "label"], "left").select("doc_id", "label", (1 / (1 + F.exp(-margin))).alias("raw"))
+        return raw.withColumn("prob", F.col("raw") / F.sum("raw").over(Window.partitionBy("doc_id")))
 
     def classify(self, requests: DataFrame, id_col: str = "request_id") -> DataFrame:                 # V2, V4
-        v, _ = self.vectors(requests, id_col)
-        probs = LN.ovr_probabilities(self.models, v)
-        cp = probs.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "prob")))
-                                         .alias("class_probabilities"))
-        best = LN.argmax_label(probs)
-        return best.join(cp, "doc_id").withColumnRenamed("doc_id", id_col).withColumnRenamed("pred", "prediction")
+        probs = self.probabilities(requests, id_col)
+        best = F.min(F.struct(F.negative("prob").alias("o"), "label", "prob"))                       # ties: first class
+        return (probs.groupBy("doc_id").agg(best.alias("b"), F.map_from_entries(F.collect_list(F.struct("label", "prob")))
+                                            .alias("class_probabilities"))
+                .select(F.col("doc_id").alias(id_col), F.col("b.label").alias("prediction"), F.col("b.prob").alias("confidence"),
+                        "class_probabilities"))
 
     def explain(self, requests: DataFrame, id_col: str = "request_id", top_n: int = 5) -> DataFrame:   # V3
-        """Top present features by |centred-scaled value x coefficient of the predicted class|."""
+        """Top present features by |z-score x coefficient of the predicted class|."""
         pred = self.classify(requests, id_col).select(F.col(id_col).alias("doc_id"), F.col("prediction").alias("label"))
-        _, w = self.vectors(requests, id_col)
-        x = (w.join(F.broadcast(self.ctx["index"]), "term").join(pred, "doc_id")
-             .join(F.broadcast(self.scale), "idx").join(F.broadcast(self.coef), ["label", "idx"]))
-        # coefficients come back in the original feature space: beta_std = beta * sd_sample
-        z = F.when(F.col("sd_pop") > 0, (F.col("weight") - F.col("mu")) / F.col("sd_pop")).otherwise(0.0)
-        x = x.withColumn("contribution", z * F.col("coefficient") * F.col("sd_samp"))
+        _, w = self._weights(requests, id_col)
+        x = w.join(pred, "doc_id").join(F.broadcast(self.coefficients), ["label", "idx"])
+        z = F.when(F.col("sd") > 0, (F.col("weight") - F.col("mu")) / F.col("sd")).otherwise(0.0)
+        x = x.withColumn("contribution", z * F.col("coefficient"))
         win = Window.partitionBy("doc_id").orderBy(F.desc(F.abs("contribution")), "term")
         return (x.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= top_n)
                 .select(F.col("doc_id").alias(id_col), "rank", "term", "contribution"))

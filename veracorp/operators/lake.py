@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_SCHEMA = ("key string, versioned_key string, file_path string, timestamp string, size_bytes long, "
-                   "hash string, row_count long, metadata map<string,string>")
+                   "hash string, row_count long, metadata map<string,string>, format string")
 
 
 def table_digest(df: DataFrame) -> DataFrame:                                    # L9
-    """(row_count, digest): sum of 64-bit row hashes as a decimal, independent of row order."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    """(row_count, digest): sum of 64-bit row hashes as a decimal, independent of row order.
+    The hash covers which columns are null, as xxhash64 alone passes over nulls."""
+    nulls = [F.col(c).isNull() for c in df.columns]
+    h = F.xxhash64(*nulls, *[F.col(c) for c in df.columns]).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("digest"))
 
 
@@ -65,7 +67,7 @@ class Lake:
                 for k, v in (metadata or {}).items()}
         row = {"key": key, "versioned_key": f"{key}_{version}", "file_path": path, "timestamp": version,
                "size_bytes": path_size(self.spark, path), "hash": dg["digest"], "row_count": int(dg["row_count"]),
-               "metadata": meta}
+               "metadata": meta, "format": "parquet" if isinstance(data, DataFrame) else "json"}
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).write.mode("append").parquet(self.manifest_path)
         return row
 
@@ -79,12 +81,12 @@ class Lake:
             m = m.where(F.col("timestamp") == version)
         rec = m.agg(F.max_by(F.struct(*[F.col(c) for c in m.columns]), F.col("timestamp")).alias("r")).first()["r"]
         if rec is None:
-            raise FileNotFoundError(f"Key not found: {key}")
+            raise FileNotFoundError(f"the lake holds no version of {key}")
         return rec.asDict(recursive=True)
 
     def download(self, key: str, version: str | None = None) -> tuple[DataFrame, dict]:
         rec = self.version_record(key, version)
-        return self.spark.read.parquet(rec["file_path"]), rec
+        return self.spark.read.format(rec["format"] or "parquet").load(rec["file_path"]), rec
 
     # --- L3 ------------------------------------------------------------------
     def list_versions(self, layer: str = "processed", prefix: str = "") -> DataFrame:

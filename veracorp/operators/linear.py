@@ -5,9 +5,10 @@ Objective mapping: sklearn minimises ``C * sum_i w_i loss_i + penalty(b)``;
 MLlib minimises ``(1 / sum_i w_i) sum_i w_i loss_i + lambda * penalty(b)``.
 Dividing the first by ``C * sum_i w_i`` gives ``lambda = 1 / (C * sum_i w_i)``;
 balanced weights sum to n, so ``regParam = 1 / (C n)``.  l1 -> elasticNetParam
-1, l2 -> 0, elastic net (ratio .5) -> .5.  Feature z-scoring before the
-penalty is MLlib's ``standardization=True`` (centring is absorbed by the
-intercept, which keeps the vectors sparse).
+1, l2 -> 0, elastic net (ratio .5) -> .5.  Features are divided by their
+unweighted population standard deviation before the penalty, once for all
+classes (centring is absorbed by the intercept, which keeps the vectors
+sparse); MLlib's own standardisation would weight rows and differ by class.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler
+from pyspark.ml.feature import ElementwiseProduct, PolynomialExpansion, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,17 +57,36 @@ def balanced_binary_weight(df: DataFrame, target: str) -> DataFrame:
     return df.join(F.broadcast(c), target)
 
 
+class OneVsRest(dict):
+    """Binary models by class over features divided by ``scale`` (population standard deviations)."""
+
+    scale = None
+
+    def scaled(self, df: DataFrame, features: str = "features") -> DataFrame:
+        factors = [1.0 / s if s > 0 else 1.0 for s in self.scale]
+        return ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=features, outputCol="scaled").transform(df)
+
+
+def population_std(df: DataFrame, features: str = "features") -> list[float]:
+    """Unweighted population standard deviation of every feature (a vector of max_features numbers)."""
+    r = df.agg(Summarizer.metrics("variance", "count").summary(F.col(features)).alias("s")).select("s.variance", "s.count").first()
+    n = max(r["count"], 1)
+    return [float(v * (n - 1) / n) ** 0.5 for v in r["variance"].toArray()]
+
+
 def fit_ovr(train: DataFrame, classes: Sequence[str], regularization: str = "l2", C: float = 1.0,
-            max_iter: int = 1000) -> dict:
-    """One binary model per class, balanced weights, features standardised inside MLlib."""
+            max_iter: int = 1000) -> OneVsRest:
+    """One binary model per class, balanced weights, features scaled by their population std."""
     n = train.count()
-    models = {}
+    models = OneVsRest()
+    models.scale = population_std(train)
+    train = models.scaled(train)
     for cls in classes:   # k is the size of the label domain; each fit is a distributed job
         b = train.withColumn("y", (F.col("label") == cls).cast("double"))
         b = balanced_binary_weight(b, "y")
-        lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight",
+        lr = LogisticRegression(featuresCol="scaled", labelCol="y", weightCol="weight",
                                 regParam=1.0 / (C * n), elasticNetParam=ELASTIC[regularization],
-                                standardization=True, maxIter=max_iter, tol=TOL, family="binomial")
+                                standardization=False, maxIter=max_iter, tol=TOL, family="binomial")
         models[cls] = lr.fit(b)
     return models
 
@@ -73,8 +94,9 @@ def fit_ovr(train: DataFrame, classes: Sequence[str], regularization: str = "l2"
 def ovr_probabilities(models: dict, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc, label, prob) normalised over classes, plus raw per-class probability."""
     parts = []
+    scaled = models.scaled(df.select(id_col, "features"))
     for cls, m in models.items():
-        p = m.transform(df.select(id_col, "features")).select(
+        p = m.transform(scaled).select(
             id_col, F.lit(cls).alias("label"), vector_to_array("probability")[1].alias("raw"))
         parts.append(p)
     out = parts[0]
@@ -206,9 +228,11 @@ def polynomial_models(train2d: DataFrame, test2d: DataFrame, degrees=(1, 2, 3),
     for d in degrees:
         pe = PolynomialExpansion(degree=d, inputCol="xy", outputCol="poly")
         tr, te = pe.transform(train2d), pe.transform(test2d)
-        sc = StandardScaler(inputCol="poly", outputCol="features_poly", withMean=True, withStd=True).fit(tr)
-        tr, te = sc.transform(tr), sc.transform(te)
+        sc = StandardScaler(inputCol="poly", outputCol="z_sample", withMean=True, withStd=True).fit(tr)
+        width, n = len(sc.mean), tr.count()
+        # from the sample to the population standard deviation
+        pop = ElementwiseProduct(scalingVec=Vectors.dense([(n / max(n - 1, 1)) ** 0.5] * width), inputCol="z_sample", outputCol="features_poly")
+        tr, te = pop.transform(sc.transform(tr)), pop.transform(sc.transform(te))
         idx, m = fit_multinomial(tr, balanced=False, standardize=False, max_iter=max_iter, features="features_poly")
-        width = len(tr.select("poly").first()["poly"])
         out[d] = (idx, m, tr, te, width)
     return out

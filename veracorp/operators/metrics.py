@@ -39,6 +39,18 @@ def per_class_report(preds: DataFrame, truth: str = "truth", pred: str = "pred",
                                          F.col("support").cast("long").alias("support"))
 
 
+def with_averages(report: DataFrame) -> DataFrame:
+    """The class report with its macro-average and support-weighted-average rows."""
+    n = F.sum("support")
+    both = report.agg(*[F.avg(c).alias(f"m_{c}") for c in ("precision", "recall", "f1")],
+                      *[(F.sum(F.col(c) * F.col("support")) / n).alias(f"w_{c}") for c in ("precision", "recall", "f1")],
+                      n.cast("long").alias("support"))
+    rows = both.where("support IS NOT NULL").select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("label"), *[F.col(f"{k}_{c}").alias(c) for c in ("precision", "recall", "f1")], F.col("support"))
+        for name, k in (("macro avg", "m"), ("weighted avg", "w"))])).alias("r")).select("r.*")
+    return report.unionByName(rows)
+
+
 def summary_metrics(preds: DataFrame, truth: str = "truth", pred: str = "pred",
                     keys: Sequence[str] = ()) -> DataFrame:
     """One row per key: accuracy and support-weighted precision / recall / f1.
@@ -62,36 +74,44 @@ def metrics_long(preds: DataFrame, truth: str = "truth", pred: str = "pred") ->
                     ).select("m.*")
 
 
-def ovr_auc(scores: DataFrame, label_col: str = "truth", cls_col: str = "label",
-            score_col: str = "prob", buckets: int = 1024) -> DataFrame:
-    """Exact one-vs-rest ROC AUC per class (trapezoid over distinct scores, ties count half).
-
-    ``scores`` has one row per (document, class) with that class's score.
-    Rows are first collapsed to distinct (class, score) with positive and
-    negative counts (partial aggregation absorbs hot scores), then the running
-    sums need a global order per class: a window partitioned by (class, score
-    bucket) gives in-bucket prefixes, and a window over the small per-bucket
-    totals table gives the bucket offsets, so no task sees more than one bucket.
+def roc_points(scores: DataFrame, label_col: str = "truth", cls_col: str = "label",
+               score_col: str = "prob", buckets: int = 256) -> DataFrame:
+    """Exact one-vs-rest ROC points per class: a row per distinct score with the counts p, n
+    at it, tp, fp down to it, and fpr, tpr.
+
+    ``scores`` has one row per (document, class).  Rows are first collapsed to distinct
+    (class, score) with positive and negative counts (partial aggregation absorbs hot
+    scores).  The running sums need a global order: scores are dealt to ranges between
+    quantiles of the distinct scores, so that saturated posteriors spread over many
+    ranges; a window inside each range and one over the ranges' totals give the sums.
     """
     pos = (F.col(label_col) == F.col(cls_col)).cast("long")
-    d = (scores.groupBy(cls_col, score_col)
-         .agg(F.sum(pos).alias("p"), F.sum(1 - pos).alias("n")))
-    d = d.withColumn("_b", F.least(F.floor(F.col(score_col) * buckets), F.lit(buckets - 1)).cast("int"))
-    # descending score order == descending bucket, then descending score
+    d = scores.groupBy(cls_col, score_col).agg(F.sum(pos).alias("p"), F.sum(1 - pos).alias("n"))
+    cuts = d.agg(F.percentile_approx(score_col, [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0] or []
+    ranges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))])
+    # descending score order == ascending range number, then descending score
+    above = F.size(F.filter(ranges, lambda c: c > F.col(score_col))) if cuts else F.lit(0)
+    d = d.withColumn("_b", above)
     inb = Window.partitionBy(cls_col, "_b").orderBy(F.desc(score_col)).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_cp", F.sum("p").over(inb)).withColumn("_cn", F.sum("n").over(inb))
-    bt = d.groupBy(cls_col, "_b").agg(F.sum("p").alias("_bp"), F.sum("n").alias("_bn"))
-    ob = Window.partitionBy(cls_col).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    bt = (bt.withColumn("_op", F.coalesce(F.sum("_bp").over(ob), F.lit(0)))
-          .withColumn("_on", F.coalesce(F.sum("_bn").over(ob), F.lit(0))))
-    tot = bt.groupBy(cls_col).agg(F.sum("_bp").alias("P"), F.sum("_bn").alias("N"))
-    d = (d.join(bt.select(cls_col, "_b", "_op", "_on"), [cls_col, "_b"])
-         .withColumn("tp", F.col("_cp") + F.col("_op")).withColumn("fp", F.col("_cn") + F.col("_on")))
-    # trapezoid between the previous point (tp - p, fp - n) and this one
-    area = d.withColumn("_a", F.col("n") * (2 * F.col("tp") - F.col("p")) / 2.0)
-    return (area.groupBy(cls_col).agg(F.sum("_a").alias("_area"), F.count(F.lit(1)).alias("n_thresholds"))
-            .join(tot, cls_col)
-            .select(F.col(cls_col).alias("label"),
-                    F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_area") / (F.col("P") * F.col("N")))
-                    .alias("auc"),
-                    "n_thresholds"))
+    bt = d.groupBy(cls_col, "_b").agg(F.sum("p").alias("_bp"), F.sum("n").alias("_bn"))      # buckets rows per class
+    ob = Window.partitionBy(cls_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(cls_col)
+    bt = bt.select(cls_col, "_b", F.coalesce(F.sum("_bp").over(ob), F.lit(0)).alias("_op"),
+                   F.coalesce(F.sum("_bn").over(ob), F.lit(0)).alias("_on"),
+                   F.sum("_bp").over(whole).alias("positives"), F.sum("_bn").over(whole).alias("negatives"))
+    return (d.join(bt, [cls_col, "_b"])
+            .select(F.col(cls_col).alias("label"), F.col(score_col).alias("threshold"), "p", "n", "positives", "negatives",
+                    (F.col("_cp") + F.col("_op")).alias("tp"), (F.col("_cn") + F.col("_on")).alias("fp"))
+            .withColumn("fpr", F.when(F.col("negatives") > 0, F.col("fp") / F.col("negatives")))
+            .withColumn("tpr", F.when(F.col("positives") > 0, F.col("tp") / F.col("positives"))))
+
+
+def ovr_auc(scores: DataFrame, label_col: str = "truth", cls_col: str = "label",
+            score_col: str = "prob", buckets: int = 256) -> DataFrame:
+    """Exact one-vs-rest ROC AUC per class (trapezoid over distinct scores, ties count half)."""
+    points = roc_points(scores, label_col, cls_col, score_col, buckets)
+    area = F.sum(F.col("n") * (2 * F.col("tp") - F.col("p")) / 2.0)      # between this point and the one before
+    return points.groupBy("label").agg(
+        F.when((F.max("positives") > 0) & (F.max("negatives") > 0), area / (F.max("positives") * F.max("negatives"))).alias("auc"),
+        F.count(F.lit(1)).alias("n_thresholds"))

@@ -74,22 +74,27 @@ class NGramModel:
         """(doc, label, ngram, m, p_laplace_inputs...): every test n-gram against every class."""
         g = ngrams(docs, self.n, lm_tokens(text), keep=(id_col,))
         g = g.groupBy(id_col, "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("m"))
-        cls = self.classes()
-        counts, ctx, tok = self.ngram_counts.select("label", "ngram", "c"), self.ctx_counts, self.tok_stats
-        # The held-out set is bounded (<= 100 documents): when a count confirms its
-        # n-gram table is small, its keys are broadcast to filter the model tables
-        # map-side (semi joins), so the model is never shuffled for scoring.
+        counts = _by_class(self.ngram_counts, "ngram", "c")
+        ctx = _by_class(self.ctx_counts, "ctx", "ctot", "n1p")
+        tok = _by_class(self.tok_stats, "tok", "uni", "U")
+        # When a count shows the held-out n-gram table to be small, its keys are broadcast
+        # to filter the model tables map-side (semi joins) before they are joined.
         g = cut_lineage(g)
         if g.count() <= BROADCAST_ROWS:
             counts = counts.join(F.broadcast(g.select("ngram").distinct()), "ngram", "left_semi")
             ctx = ctx.join(F.broadcast(g.select("ctx").distinct()), "ctx", "left_semi")
             tok = tok.join(F.broadcast(g.select("tok").distinct()), "tok", "left_semi")
-        g = g.select("*", F.explode(F.array(*[F.lit(c) for c in cls])).alias("label"))
-        return (g.join(counts, ["label", "ngram"], "left")
-                .join(ctx, ["label", "ctx"], "left")
-                .join(tok, ["label", "tok"], "left")
-                .join(F.broadcast(self.class_stats.select("label", "V", "N", "unique_ngrams")), "label")
-                .fillna(0, ["c", "ctot", "n1p", "uni", "U"]))       # (class_stats: one row per class)
+        # each table is joined once per test n-gram; the classes (a handful) are spread afterwards
+        stats = [r.asDict() for r in self.class_stats.select("label", "V", "N", "unique_ngrams").collect()]
+        per_class = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("label", "V", "N", "unique_ngrams")]) for r in stats])
+        g = (g.join(counts, "ngram", "left").join(ctx, "ctx", "left").join(tok, "tok", "left")
+             .select("*", F.explode(per_class).alias("cls")))
+
+        def of(column, name):
+            return F.coalesce(F.try_element_at(column, F.col("cls.label"))[name], F.lit(0)).alias(name)
+
+        return g.select(id_col, "ngram", "m", "cls.*", of("by_ngram", "c"), of("by_ctx", "ctot"), of("by_ctx", "n1p"),
+                        of("by_tok", "uni"), of("by_tok", "U"))
 
     def probability(self, method: str = "kneser-ney", k: float = 1.0) -> Column:
         c, C, V, N = F.col("c"), F.col("ctot"), F.col("V"), F.col("N")
@@ -130,6 +135,12 @@ class NGramModel:
                 .where(F.col("rank") <= top_n))
 
 
+def _by_class(counts: DataFrame, key: str, *values: str) -> DataFrame:
+    """One row per ``key`` with a map from class to its counts."""
+    entry = F.struct("label", F.struct(*values))
+    return counts.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias(f"by_{key}"))
+
+
 def analyze_ngrams(df: DataFrame, orders=(1, 2, 3), min_count: int = 2, text: str = "text") -> DataFrame:   # G11
     parts = []
     for n in orders:

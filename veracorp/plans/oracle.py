@@ -250,7 +250,7 @@ def _hits(pat: str) -> str:
 
 _rep_any = " OR ".join(f"regexp_matches(text, {lit(chr(92) + m + '{2,}')})" for m in P.PUNCT_MARKS)
 SQL["T10_cleaning_audit"] = with_base(f"""
-s AS (SELECT text, {clean('text')} AS after FROM combined ORDER BY {hkey()} LIMIT 200)""") + f"""
+s AS (SELECT text, {clean('text')} AS after FROM combined)""") + f"""
 SELECT count(*) AS sample_size, round(avg(length(text)), 6) AS avg_original_length,
   round(avg(length(after)), 6) AS avg_cleaned_length,
   CAST(sum(greatest(length(text) - length(after), 0)) AS BIGINT) AS char_reduction_total,

@@ -13,7 +13,7 @@ counts AS (SELECT label, count(*) AS cnt FROM combined GROUP BY label),
 q AS (
   SELECT label, cnt, floor(t * cnt / n) AS base, t * cnt / n - floor(t * cnt / n) AS frac, t FROM (
     SELECT label, cnt, sum(cnt) OVER () AS n,
-      least(100, greatest(60, floor(sum(cnt) OVER () * 0.1))) AS t FROM counts)),
+      greatest(60, floor(sum(cnt) OVER () * 0.1)) AS t FROM counts)),
 q2 AS (
   SELECT label, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, label) <= t - sum(base) OVER ()
     THEN 1 ELSE 0 END AS quota FROM q),
@@ -133,7 +133,11 @@ SELECT metric, round(value, 6) AS value FROM (
 
 
 REPORT_SELECT = """
-SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep"""
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+  SELECT * FROM rep
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM rep
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+    sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM rep)"""
 
 SQL["G9_lm_predictions"] = with_base(_MODEL, _scored(), _PREDS) + "SELECT doc_id, truth, pred FROM preds"
 SQL["G10_lm_evaluation"] = with_base(_MODEL, _scored(), _PREDS, metrics_ctes()) + metrics_select()

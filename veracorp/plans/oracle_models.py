@@ -102,6 +102,15 @@ SELECT label, round(CASE WHEN sum(p) > 0 AND sum(n) > 0 THEN sum(n * (2 * tp - p
   AS auc, count(*) AS n_thresholds
 FROM c GROUP BY label"""
 
+SQL["M8_nb_roc_points"] = with_base(_NB, """
+pt AS (SELECT p.label, round(p.prob, 6) AS prob, CASE WHEN t.label = p.label THEN 1 ELSE 0 END AS pos
+       FROM probs p JOIN test t ON t.doc_id = p.doc_id WHERE p.alpha = 1.0),
+d AS (SELECT label, prob, sum(pos) AS p, sum(1 - pos) AS n FROM pt GROUP BY label, prob)""") + """
+SELECT label, prob AS threshold,
+  round(sum(n) OVER w / sum(n) OVER (PARTITION BY label), 6) AS fpr,
+  round(sum(p) OVER w / sum(p) OVER (PARTITION BY label), 6) AS tpr
+FROM d WINDOW w AS (PARTITION BY label ORDER BY prob DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
 SQL["M13_nb_misclassified"] = with_base(_NB) + """
 SELECT doc_id, truth AS true_label, pred AS predicted_label, truth || '_to_' || pred AS error_type,
   substr(cleaned_text, 1, 300) AS text

@@ -131,10 +131,10 @@ SQL["P4_drop_null_rows"] = with_base() + "SELECT doc_id, label FROM raw WHERE te
 
 SQL["S14_parquet_sink"] = with_base() + "SELECT doc_id, label, md5(cleaned_text) AS cleaned_md5 FROM processed"
 
-from veracorp.plans.oracle import hkey as _hkey, words as _words  # noqa: E402
+from veracorp.plans.oracle import words as _words  # noqa: E402
 
 SQL["T10_cleaning_samples"] = with_base(f"""
-s AS (SELECT doc_id, text, {_clean('text')} AS after FROM combined ORDER BY {_hkey()} LIMIT 200)""") + """
+s AS (SELECT doc_id, text, {_clean('text')} AS after FROM combined)""") + """
 SELECT doc_id, substr(text, 1, 200) AS before, substr(after, 1, 200) AS after, CAST(length(text) AS BIGINT) AS before_len,
   CAST(length(after) AS BIGINT) AS after_len FROM s"""
 
@@ -168,3 +168,50 @@ SQL["F13_concatenated_features"] = with_base(_NB, """
 vocab4k AS (SELECT term FROM tf_tr GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 4000)""") + """
 SELECT s.doc_id, v.n AS tfidf_dim, CAST(200 AS BIGINT) AS w2v_dim, v.n + 200 AS concat_dim
 FROM split s, (SELECT count(*) AS n FROM vocab4k) v"""
+
+# --- feeds, posts, streams and sinks ------------------------------------------------------
+
+_FEED = f"""
+it AS (SELECT source_id AS source, doc_id AS ord, split_part(text, chr(10), 1) AS t1, text FROM combined),
+it2 AS (SELECT source, ord, {_SQ('t1')} AS title, {_SQ('substr(text, length(t1) + 2)')} AS descr FROM it),
+rec AS (SELECT source, ord, {_SQ(_rr("title || '. ' || descr", '^[. ]+|[. ]+$', ''))} AS text,
+          strftime(make_timestamp((1700000000 + ord * 3600) * 1000000), '%a, %d %b %Y %H:%M:%S +0000') AS date,
+          'http://' || source || '.example/' || ord AS url,
+          year(make_timestamp((1700000000 + ord * 3600) * 1000000)) AS year
+        FROM it2 WHERE length(title) > 0 OR length(descr) > 0)"""
+
+SQL["S10_feed_items"] = with_base(_FEED) + """
+SELECT source, text, 'Real' AS label, date, url, CAST(year AS BIGINT) AS year
+FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ord) AS rn FROM rec) WHERE rn <= 20"""
+
+SQL["R4_feed_dataset_build"] = with_base(_FEED) + """
+SELECT text, 'Real' AS label, source, date, url
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM rec WHERE length(text) > 0) WHERE rn = 1"""
+
+SQL["ST3_feed_dedup_stream"] = with_base(f"""
+it AS (SELECT source_id AS source, doc_id AS ord, split_part(text, chr(10), 1) AS t1, text FROM combined),
+rec AS (SELECT source, ord, {_SQ("t1 || '. ' || substr(text, length(t1) + 2)")} AS text FROM it)""") + """
+SELECT source, ord, text
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM rec WHERE length(text) > 0) WHERE rn = 1"""
+
+
+def _posts(key: str, label: str, source: str, method: str, reason: str) -> str:
+    return f"""
+WITH p AS (SELECT conv_id * 1000 + turn AS id, text, role AS key,
+             strftime(make_timestamp((1700000000 + conv_id * 3600 + turn * 60) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS date
+           FROM conversations),
+cap AS (SELECT greatest(10, 200 // greatest(count(DISTINCT key), 1)) AS c FROM p),
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY id) AS rn FROM p WHERE length(trim(coalesce(text, ''))) > 0),
+top AS (SELECT * FROM r WHERE rn <= (SELECT c FROM cap) ORDER BY key, id LIMIT 200)
+SELECT {_SQ('text')} AS text, '{label}' AS label, '{source}' || key AS source, date, 'post/' || id AS url,
+  '{method}' AS collection_method, '{reason}' AS label_reason FROM top"""
+
+
+SQL["S11_search_posts"] = _posts("query", "Fake", "X search: ", "search", "matched a misinformation search query")
+SQL["S12_timeline_posts"] = _posts("handle", "Satire", "X:@", "timeline", "posted by a satire account")
+
+SQL["S13_csv_sink_no_overwrite"] = with_base() + "SELECT count(*) AS rows_written, true AS refused_overwrite FROM combined"
+
+SQL["L3_list_versions"] = with_base() + """
+SELECT 'processed/corpus/data' AS key, CAST(3 AS BIGINT) AS versions, count(*) AS row_count FROM combined
+UNION ALL SELECT 'processed/corpus/metadata', 3, 1"""

@@ -134,10 +134,10 @@ def q_d9(spark, sf):
     return C.stratified_split(cut_lineage(combined(spark, sf)), test_size=0.2).select("doc_id", "label", "is_test")
 
 
-def lm_split(spark, sf):
+def lm_split(spark, sf, size=C.lm_test_rows):
     df = cut_lineage(combined(spark, sf))     # read by the count, the histogram and the flag pass
     n = df.count()
-    return C.stratified_split(df, test_size=None, test_rows=C.lm_test_rows(n))
+    return C.stratified_split(df, test_size=None, test_rows=size(n))
 
 
 @query("D10_lm_split")
@@ -260,7 +260,7 @@ def q_t9p(spark, sf):
 @query("T10_cleaning_audit")
 def q_t10(spark, sf):
     from veracorp.functions import patterns as P
-    s = C.hash_sample(combined(spark, sf), 200)
+    s = combined(spark, sf)
     before, after = F.col("text"), T.clean_text(F.col("text"))
     hit = lambda pat: F.sum(F.when(before.rlike(pat), 1).otherwise(0))
     return s.agg(

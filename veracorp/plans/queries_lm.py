@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from veracorp.operators import corpus as C
 from veracorp.operators import metrics as ME
 from veracorp.operators import ngram as NG
 from veracorp.plans.base import combined, round6
@@ -25,7 +26,7 @@ def _L(c):
 
 
 def _split(spark, sf):
-    s = cut_lineage(lm_split(spark, sf))
+    s = cut_lineage(lm_split(spark, sf, C.lm_eval_rows))
     return s.where(~F.col("is_test")), s.where(F.col("is_test"))
 
 
@@ -108,7 +109,7 @@ def q_g10(spark, sf):
 
 @query("G10_lm_class_report")
 def q_g10r(spark, sf):
-    r = ME.per_class_report(_lm_preds(spark, sf))
+    r = ME.with_averages(ME.per_class_report(_lm_preds(spark, sf)))
     return r.select("label", round6("precision").alias("precision"), round6("recall").alias("recall"),
                     round6("f1").alias("f1"), "support")
 

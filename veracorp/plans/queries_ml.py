@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from veracorp.operators import corpus as C
 from veracorp.operators import features as FE
+from veracorp.operators import inference as INF
 from veracorp.operators import linear as LN
 from veracorp.operators import metrics as ME
 from veracorp.plans.base import processed, round6
-from veracorp.session import cut_lineage, shared_dir
+from veracorp.session import cut_lineage, shared_dir, source_key
 
 REGISTRY = {}
 
@@ -57,9 +58,8 @@ def _ovr_eval(ctx, reg):
 
 def _lr_comparison(spark, sf):
     """l1 / l2 / elastic-net metrics as a stage table, reused by M14 and M16."""
-    import hashlib
     from veracorp.operators.lake import path_exists
-    path = shared_dir(spark, "lrcmp-" + hashlib.md5(sf.encode()).hexdigest()[:10], unique=False) + "/metrics"
+    path = shared_dir(spark, "lrcmp-" + source_key(spark, sf), unique=False) + "/metrics"
     if not path_exists(spark, path + "/_SUCCESS"):
         _m4_compute(spark, sf).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -175,15 +175,10 @@ def q_m16(spark, sf):
     reg = best["best_regularization"]
     models = LN.fit_ovr(ctx["train"], ctx["classes"], reg)
     root = shared_dir(spark, "bundle")
-    ctx["idf"].join(ctx["index"], "term").write.mode("overwrite").parquet(f"{root}/vocabulary")
-    rows = [(cls, int(i), float(v)) for cls, m in models.items() for i, v in enumerate(m.coefficients.toArray())]
-    spark.createDataFrame(rows, "label string, idx long, coefficient double") \
-        .write.mode("overwrite").parquet(f"{root}/coefficients")
-    spark.createDataFrame([(cls, float(m.intercept)) for cls, m in models.items()], "label string, intercept double") \
-        .write.mode("overwrite").parquet(f"{root}/intercepts")
+    INF.Classifier.fitted(ctx, models).save(root)
     p = processed(spark, sf)
     w, _ = FE.tfidf(p, "cleaned_text", "sublinear", vocab=ctx["idf"])
-    w.repartition(F.col("term")).write.mode("overwrite").parquet(f"{root}/postings")
+    w.repartition(F.col("doc_id")).write.mode("overwrite").parquet(f"{root}/postings")
     p.select("doc_id", "text", "cleaned_text", "label", "source_id").write.mode("overwrite").parquet(f"{root}/corpus")
     n_sources = p.agg(F.count_distinct("source_id")).first()[0]
     meta = spark.createDataFrame(

@@ -3,8 +3,6 @@ ablation / run tracking (T12, T15, T19-T23, E1-E7) and z-scoring (M15)."""
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from veracorp.functions import lexicon as L
@@ -15,10 +13,11 @@ from veracorp.operators import normalize as NZ
 from veracorp.operators import tokenizers as TK
 from veracorp.operators.lake import path_exists
 from veracorp.plans.base import processed, round6
-from veracorp.session import cut_lineage, shared_dir
+from veracorp.session import cut_lineage, shared_dir, source_key
 from veracorp.sources.tables import table
 
 REGISTRY = {}
+STOPWORD_FIT_ROWS = 1200      # T19: rows on which the two classifiers are fitted and compared
 
 
 def query(name):
@@ -41,8 +40,7 @@ def q_t12(spark, sf):
 @query("T15_tokenizer_comparison")
 def q_t15(spark, sf):
     p = cut_lineage(processed(spark, sf))
-    sample = C.hash_sample(p, 50)
-    r = TK.compare_tokenizers(sample, p)
+    r = TK.compare_tokenizers(p, p)
     return r.select("tokenizer", round6("avg_tokens_per_doc").alias("avg_tokens_per_doc"),
                     round6("oov_rate").alias("oov_rate"),
                     round6("contraction_handling_rate").alias("contraction_handling_rate"),
@@ -52,9 +50,9 @@ def q_t15(spark, sf):
 
 @query("T19_stopword_impact")
 def q_t19(spark, sf):
-    p = cut_lineage(processed(spark, sf))
-    sample = cut_lineage(C.hash_sample(p, 1200))
-    rates = TK.stopword_removal(sample)
+    p = cut_lineage(processed(spark, sf).select("doc_id", "label", "cleaned_text"))
+    rates = TK.stopword_removal(p)
+    sample = cut_lineage(C.hash_sample(p, STOPWORD_FIT_ROWS))       # the classifier fit alone is on a sample
     f1 = []
     for name, custom in (("default", False), ("custom", True)):
         prepared = sample.select("doc_id", "label",
@@ -95,7 +93,7 @@ def q_t23(spark, sf):
 
 def ablation_runs(spark, sf):
     """The six-run ablation; the runs table is a stage table reused by E3-E7."""
-    path = shared_dir(spark, "runs-" + hashlib.md5(sf.encode()).hexdigest()[:10], unique=False) + "/runs"
+    path = shared_dir(spark, "runs-" + source_key(spark, sf), unique=False) + "/runs"
     if path_exists(spark, path + "/_SUCCESS"):
         return spark.read.schema(EX.RUNS_SCHEMA).parquet(path)
     docs = cut_lineage(processed(spark, sf))
@@ -190,7 +188,7 @@ def q_d3(spark, sf):
     from veracorp.sources import feeds as FD
     root = shared_dir(spark, "records")
     FD.land_feed(combined(spark, sf), f"{root}/items")
-    rec = FD.feed_records(spark, f"{root}/items", limit=1_000_000_000)      # no per-feed cap: all items
+    rec = FD.feed_records(spark, f"{root}/items", limit=None)
     return FD.deduplicate_records(rec).select("source", "ord", F.md5("text").alias("text_md5"))
 
 
@@ -223,9 +221,9 @@ def q_m10(spark, sf):
 
 @query("T10_cleaning_samples")
 def q_t10s(spark, sf):
-    """The audited sample rows: first 200 characters before / after cleaning and both lengths."""
+    """The audited rows: first 200 characters before / after cleaning and both lengths."""
     from veracorp.plans.base import combined
-    s = C.hash_sample(combined(spark, sf), 200)
+    s = combined(spark, sf)
     after = T.clean_text(F.col("text"))
     return s.select("doc_id", F.substring("text", 1, 200).alias("before"), F.substring(after, 1, 200).alias("after"),
                     _L(F.length("text")).alias("before_len"), _L(F.length(after)).alias("after_len"))

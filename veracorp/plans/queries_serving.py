@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from veracorp.functions import text as T
 from veracorp.operators import inference as INF
 from veracorp.operators import linear as LN
+from veracorp.operators.lake import path_exists
 from veracorp.plans.base import combined, processed, round6
 from veracorp.plans.queries_ml import lr_context
-from veracorp.session import shared_dir
+from veracorp.session import shared_dir, source_key
 from veracorp.sources import feeds as FD
 from veracorp.sources.tables import table
 from veracorp.streaming import streams as ST
@@ -59,10 +60,17 @@ def q_v6b(spark, sf):
     return INF.validate_batches(conv).select("batch_id", _L("n_texts").alias("n_texts"), "accepted")
 
 
+def saved_bundle(spark, sf) -> str:
+    """Folder of the bundle fitted to these tables; fitted and saved where it is not there yet."""
+    root = shared_dir(spark, "bundle-" + source_key(spark, sf), unique=False)
+    if not path_exists(spark, f"{root}/intercepts/_SUCCESS"):          # the part that is written last
+        ctx = lr_context(spark, sf)
+        INF.Classifier.fitted(ctx, LN.fit_ovr(ctx["train"], ctx["classes"], "l2")).save(root)
+    return root
+
+
 def _classifier(spark, sf):
-    ctx = lr_context(spark, sf)
-    models = LN.fit_ovr(ctx["train"], ctx["classes"], "l2")
-    return INF.Classifier(ctx, models)
+    return INF.Classifier.load(spark, saved_bundle(spark, sf))
 
 
 @query("V2_classify")

@@ -7,8 +7,6 @@ also registered on the driver's ``embeddings`` table with SQL oracles.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -21,7 +19,7 @@ from veracorp.operators import linear as LN
 from veracorp.operators import metrics as ME
 from veracorp.operators.lake import path_exists
 from veracorp.plans.base import processed, round6
-from veracorp.session import cut_lineage, shared_dir
+from veracorp.session import cut_lineage, shared_dir, source_key
 from veracorp.sources.tables import table
 
 REGISTRY = {}
@@ -47,7 +45,7 @@ def w2v_tokens(spark, sf):
 
 def skipgram_vectors(spark, sf):
     """Skip-gram vectors as a reusable stage table."""
-    path = shared_dir(spark, "w2v-" + hashlib.md5(sf.encode()).hexdigest()[:10], unique=False) + "/skipgram"
+    path = shared_dir(spark, "w2v-" + source_key(spark, sf), unique=False) + "/skipgram"
     if not path_exists(spark, path + "/_SUCCESS"):
         EM.train_skipgram(w2v_tokens(spark, sf), dim=DIM).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -9,7 +9,6 @@ we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,9 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
-        # Local runs and tests only: no cluster folder was named.
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="veracorp-ckpt-"))
+    else:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return sc.getCheckpointDir()
 
 
@@ -61,11 +61,31 @@ def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = ensure_checkpoint_dir(spark)
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     path = base.rstrip("/") + "/veracorp/" + leaf
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 
+# Part of the key of reusable stage tables; raise it when what they hold changes.
+STAGE_VERSION = 2
+
+
+def source_key(spark: SparkSession, sf: str, tables=("documents", "labels")) -> str:
+    """Digest of the tables' files (name, length, time of change): stage tables keyed by it
+    are never reused for other data, also if that stands under the same path."""
+    import hashlib
+    jvm = spark.sparkContext._jvm
+    found = []
+    for t in tables:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{t}.parquet")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(folder, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.md5(repr((STAGE_VERSION, sorted(found))).encode()).hexdigest()[:16]
+
+
 def cut_lineage(df):
     """Materialise a DataFrame in the shared checkpoint folder (reliable checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)

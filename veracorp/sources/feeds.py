@@ -19,6 +19,7 @@ from veracorp.operators.corpus import dedup_first
 from veracorp.sources.files import parse_date
 from veracorp.sources.tables import table
 
+ELEMENT = r"(?s)<(?:item|entry)(?:\s[^>]*)?>(.*?)</(?:item|entry)>"
 ITEM_SCHEMA = "title string, description string, link string, pubDate string, feed string, ord long"
 
 
@@ -41,30 +42,33 @@ def land_feed(corpus: DataFrame, path: str) -> None:
 
 
 def _tag(body, tag: str):
-    v = F.regexp_extract(body, f"(?s)<{tag}>(.*?)</{tag}>", 1)
+    v = F.regexp_extract(body, f"(?s)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>", 1)
+    plain = F.regexp_extract(v, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1)
+    is_cdata = v.rlike(r"(?s)^\s*<!\[CDATA\[.*\]\]>\s*$")
     v = F.regexp_replace(F.regexp_replace(v, "&#10;", "\n"), "&#13;", "\r")
     v = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "&lt;", "<"), "&gt;", ">"), "&amp;", "&")
-    has = body.rlike(f"<{tag}>")
-    return F.when(has, v)
+    return F.when(is_cdata, plain).when(body.rlike(f"<{tag}(?:\\s[^>]*)?>"), v)
 
 
 def read_items(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """<item> elements of landed feed text, fields by tag; missing tag -> null.
+    """RSS <item> and Atom <entry> elements of landed feed text, with or without attributes;
+    fields by tag, CDATA unwrapped, an Atom link from its href; missing tag -> null.
 
     Landed items are one per line (newlines escaped as character references);
     ``whole_files`` reads multi-line feed documents one file per row instead.
     """
     lines = spark.read.text(path, wholetext=whole_files)
     body = F.col("_b")
-    items = lines.select(F.explode(F.regexp_extract_all("value", F.lit("(?s)<item>(.*?)</item>"), 1)).alias("_b"))
+    items = lines.select(F.explode(F.regexp_extract_all("value", F.lit(ELEMENT), 1)).alias("_b"))
     return items.select(F.coalesce(_tag(body, "title"), F.lit(None)).alias("title"),
-                        F.coalesce(_tag(body, "description"), _tag(body, "summary")).alias("description"),
-                        _tag(body, "link").alias("link"),
+                        F.coalesce(_tag(body, "description"), _tag(body, "summary"), _tag(body, "content")).alias("description"),
+                        F.coalesce(F.nullif(_tag(body, "link"), F.lit("")), F.nullif(F.regexp_extract(body, r"<link\s[^>]*href=[\"']([^\"']*)", 1), F.lit("")),
+                                   _tag(body, "link")).alias("link"),
                         F.coalesce(_tag(body, "pubDate"), _tag(body, "published"), _tag(body, "updated")).alias("pubDate"),
                         _tag(body, "feed").alias("feed"), _tag(body, "ord").cast("long").alias("ord"))
 
 
-def feed_records(spark: SparkSession, path: str, limit: int, keywords: Sequence[str] | None = None,
+def feed_records(spark: SparkSession, path: str, limit: int | None, keywords: Sequence[str] | None = None,
                  label: str = "Real") -> DataFrame:                                         # S10
     items = read_items(spark, path)
     title = squash_whitespace(F.coalesce(F.col("title"), F.lit("")))
@@ -76,8 +80,9 @@ def feed_records(spark: SparkSession, path: str, limit: int, keywords: Sequence[
                    F.coalesce(F.col("link"), F.concat(F.lit("http://"), F.col("feed"))).alias("url")))
     if keywords:
         rec = rec.where(any_keyword(F.col("text"), keywords))                               # T27
-    w = Window.partitionBy("source").orderBy("ord")
-    rec = rec.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
+    if limit is not None:
+        w = Window.partitionBy("source").orderBy("ord")
+        rec = rec.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
     return rec.select("source", "ord", "text", F.lit(label).alias("label"), "date", "url",
                       F.year(parse_date(F.col("date"))).alias("year"))
 

@@ -25,13 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     round-robin; a large input (many files / row groups) is left as scanned.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
-    except Exception:  # noqa: BLE001  (sessions without RDD access keep the scan as is)
-        pass
-    return df
+    target = spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def label_expr(toxic="toxic", quality="quality"):

@@ -11,31 +11,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracorp.operators.inference import Classifier, preprocess
-from veracorp.sources.feeds import read_items
 from veracorp.functions.text import squash_whitespace
+from veracorp.operators.inference import Classifier, preprocess
+from veracorp.operators.lake import path_exists
+from veracorp.sources.feeds import ELEMENT, _tag, deduplicate_records
 from veracorp.sources.files import parse_date
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str, max_files: int | None = None) -> None:
+def _files(spark: SparkSession, max_files: int | None):
+    """A file stream's reader; ``max_files`` per trigger only where it is given."""
+    r = spark.readStream
+    return r.option("maxFilesPerTrigger", max_files) if max_files else r
+
+
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def preprocess_stream(spark: SparkSession, landed: str, schema: str, out: str, checkpoint: str,
-                      max_files_per_trigger: int = 1) -> None:                                    # ST1
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landed)
+                      max_files: int | None = None) -> None:                                      # ST1
+    src = _files(spark, max_files).schema(schema).parquet(landed)
     p = preprocess(src, ("clean", "tokenize", "stopwords"))
     run_available(p.select("doc_id", F.array_join("tokens", " ").alias("tokens"),
                            F.array_join("removed_stopwords", " ").alias("removed_stopwords")), out, checkpoint)
 
 
 def scoring_stream(spark: SparkSession, clf: Classifier, landed: str, schema: str, out: str,
-                   checkpoint: str) -> None:                                                       # ST2
+                   checkpoint: str, max_files: int | None = None) -> None:                         # ST2
     """Micro-batches scored with the fitted classifier; foreachBatch writes each epoch once
     (the epoch id is part of the output, so a replayed epoch overwrites its own partition)."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    src = _files(spark, max_files).schema(schema).parquet(landed)
 
     def score(batch: DataFrame, epoch: int) -> None:
         r = clf.classify(batch.select(F.col("doc_id").alias("request_id"), "text"))
@@ -48,23 +55,34 @@ def scoring_stream(spark: SparkSession, clf: Classifier, landed: str, schema: st
 
 
 def feed_dedup_stream(spark: SparkSession, landed: str, out: str, checkpoint: str,
-                      watermark: str = "3650 days") -> None:                                       # ST3
-    """Landed feed items -> records -> duplicates dropped within the event-time watermark.
+                      max_files: int | None = None) -> None:                                       # ST3
+    """Landed feed items -> records -> one record per text, whenever it arrives.
 
-    State is bounded by the watermark; late copies outside it can re-enter,
-    so the batch keep-first dedup (D2/D3) remains the final word.
+    Each micro-batch keeps its first record of every text and is anti-joined with the
+    digests of what earlier epochs wrote, so there is no watermark behind which late items
+    are lost, and no state but the output table.  An epoch writes its own folder, so a
+    replayed epoch overwrites itself.
     """
-    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(landed)
+    rec = item_records(_files(spark, max_files).text(landed))
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        own = f"{out}/epoch={epoch}"
+        fresh = deduplicate_records(batch).withColumn("text_digest", F.sha2("text", 256))
+        if path_exists(spark, out):
+            seen = spark.read.schema("text_digest string, epoch int").option("basePath", out).parquet(out)
+            fresh = fresh.join(seen.where(F.col("epoch") < epoch).select("text_digest"), "text_digest", "left_anti")
+        fresh.write.mode("overwrite").parquet(own)
+
+    q = (rec.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def item_records(lines: DataFrame) -> DataFrame:
+    """source, ord, text, event_time of the items in lines of feed text."""
     body = F.col("_b")
-    items = lines.select(F.explode(F.regexp_extract_all("value", F.lit("(?s)<item>(.*?)</item>"), 1)).alias("_b"))
-    from veracorp.sources.feeds import _tag   # same tag extraction as the batch reader
+    items = lines.select(F.explode(F.regexp_extract_all("value", F.lit(ELEMENT), 1)).alias("_b"))
     rec = items.select(_tag(body, "feed").alias("source"), _tag(body, "ord").cast("long").alias("ord"),
-                       squash_whitespace(F.concat_ws(". ", _tag(body, "title"), _tag(body, "description")))
-                       .alias("text"),
+                       squash_whitespace(F.concat_ws(". ", _tag(body, "title"), _tag(body, "description"))).alias("text"),
                        parse_date(_tag(body, "pubDate")).alias("event_time"))
-    rec = rec.where(F.length("text") > 0).withWatermark("event_time", watermark)
-    run_available(rec.dropDuplicatesWithinWatermark(["text"]), out, checkpoint)
-
-
-def batch_items(spark: SparkSession, landed: str) -> DataFrame:
-    return read_items(spark, landed)
+    return rec.where(F.length("text") > 0)
