@@ -93,3 +93,12 @@ def test_empty_null_and_repeated_ids(spark, tmp_path):
     assert L.op6_sentencepiece(spark, write_docs(spark, tmp_path / "a", [])).count() == 0
     got = L.op6_sentencepiece(spark, write_docs(spark, tmp_path / "b", [(None, "a b"), (1, None), (2, "")])).collect()
     assert sorted((str(r.doc_id), r.n_units, r.n_pieces, r.round_trip) for r in got) == [("1", 0, 0, True), ("2", 0, 0, True), ("None", 2, 2, True)]
+
+
+def test_bpe_fold_equals_the_library_on_many_words(spark):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    words = {w for r in texts[:300] for w in r.text.split(" ") if 0 < len(w) < L.LONGEST and "▁" not in w}
+    vocab = spark.createDataFrame([(L.SPACE + w, 1) for w in sorted(words)], "unit string, n long")
+    for r in L.encode_units(vocab, L.Pieces(PATH)).collect():
+        assert r.ids == sp.encode(r.unit[1:]), r.unit
