@@ -96,10 +96,9 @@ def tfidf(df: DataFrame, text: str = "cleaned_text", variant: str = "standard",
     if variant == "sublinear":
         tfv = F.log(tfv) + 1.0
     w = tf.join(F.broadcast(idf), "term").withColumn("w", tfv * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    out = (w.join(norm, id_col)
-           .select(id_col, "term", (F.col("w") / F.col("_norm")).alias("weight")))
-    return out, idf
+    # the postings move once, by document; a window holds one document's terms (max_features at most)
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", (F.col("w") / norm).alias("weight")), idf
 
 
 def discriminative_terms(weights: DataFrame, labels: DataFrame, top_n: int = 15,
@@ -109,7 +108,7 @@ def discriminative_terms(weights: DataFrame, labels: DataFrame, top_n: int = 15,
     counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
     n_all = counts.agg(F.sum("n_c").alias("n")).first()["n"]
     per = weights.join(lab, id_col).groupBy("label", "term").agg(F.sum("weight").alias("s"))
-    tot = weights.groupBy("term").agg(F.sum("weight").alias("tot"))
+    tot = per.groupBy("term").agg(F.sum("s").alias("tot"))
     # every (class, term) pair, including classes where the term never occurs
     classes = [r["label"] for r in counts.select("label").collect()]   # bounded: label domain
     pairs = tot.select("term", "tot", F.explode(F.array(*[F.lit(c) for c in classes])).alias("label"))

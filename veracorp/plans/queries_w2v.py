@@ -60,11 +60,6 @@ def q_f8(spark, sf):
     return _summary(skipgram_vectors(spark, sf))
 
 
-@query("F9_cbow_vectors")
-def q_f9(spark, sf):
-    return _summary(EM.train_cbow(cut_lineage(w2v_tokens(spark, sf)), dim=DIM))
-
-
 @query("F10_nearest_words")
 def q_f10(spark, sf):
     v = skipgram_vectors(spark, sf)
