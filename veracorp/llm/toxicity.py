@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from veracorp.llm import hashing as H
 from veracorp.llm.common import documents, whole_text
 
-SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 20_000_000
-MIN_DOCS, MIN_EXCESS, MIN_SHARE = 3, 3.0, 0.1
+SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 12_000_000
+MIN_DOCS, MIN_EXCESS, MIN_SHARE = 3, 3.0, 0.2
 ROUNDS, RATE, DECAY = 120, 0.2, 1e-6
 LONG_SENTENCE = 40        # words after which a sentence without end is cut
 SMALLEST_WEIGHT = 0.02
@@ -123,22 +123,35 @@ def _excess(bad: np.ndarray, good: np.ndarray, labels: np.ndarray) -> np.ndarray
 
 
 def fit(texts: list[bytes], labels: np.ndarray) -> Model:
-    """Fit the sentence model to document labels through the noisy-or (full-batch Adam)."""
-    parts = [bags(texts[lo:hi]) for lo, hi in H.chunks(texts)]
-    shift = np.cumsum([0] + [len(p.start) for p in parts])
-    feature = np.concatenate([p.feature for p in parts])
-    sentence = np.concatenate([p.sentence + s for p, s in zip(parts, shift)])
-    first = np.concatenate([p.first[:-1] + s for p, s in zip(parts, shift)] + [shift[-1:]])
-    doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    names, column = np.unique(feature, return_inverse=True)
-    pairs = np.unique(column.astype(np.int64) * len(texts) + doc[sentence])
-    seen = np.bincount(pairs // len(texts), minlength=len(names))
-    bad = np.bincount(pairs // len(texts), labels[pairs % len(texts)], minlength=len(names))
+    """Fit the sentence model to document labels through the noisy-or (full-batch Adam).
+
+    The features of the sample are gone through slice by slice, once to count documents
+    and once to keep the features that enter, so that memory follows the latter."""
+    slices = list(H.chunks(texts))
+    found = []
+    for lo, hi in slices:
+        bag = bags(texts[lo:hi])
+        doc = np.repeat(np.arange(hi - lo), np.diff(bag.first))
+        f, column = np.unique(bag.feature, return_inverse=True)
+        pairs = np.unique(column.astype(np.int64) * (hi - lo) + doc[bag.sentence])
+        of, by = pairs // (hi - lo), lo + pairs % (hi - lo)
+        found.append((f, np.bincount(of, minlength=len(f)), np.bincount(of, labels[by], minlength=len(f))))
+    names, column = np.unique(np.concatenate([f for f, _, _ in found]), return_inverse=True)
+    seen = np.bincount(column, np.concatenate([c for _, c, _ in found]), minlength=len(names))
+    bad = np.bincount(column, np.concatenate([c for _, _, c in found]), minlength=len(names))
     excess = _excess(bad, seen - bad, labels)
-    known = (seen >= MIN_DOCS) & (excess >= max(MIN_EXCESS, MIN_SHARE * excess.max(initial=0)))
-    keep = known[column]
-    column = (np.cumsum(known) - 1)[column[keep]]
-    sentence, names = sentence[keep], names[known]
+    names = names[(seen >= MIN_DOCS) & (excess >= max(MIN_EXCESS, MIN_SHARE * excess.max(initial=0)))]
+    del found, column, seen, bad, excess
+    columns, sentences, docs, n = [], [], [], 0
+    for lo, hi in slices:
+        bag = bags(texts[lo:hi])
+        at = np.searchsorted(names, bag.feature)
+        hit = np.flatnonzero(names[np.minimum(at, len(names) - 1)] == bag.feature) if len(names) else at[:0]
+        columns.append(at[hit])
+        sentences.append(bag.sentence[hit] + n)
+        docs.append(lo + np.repeat(np.arange(hi - lo), np.diff(bag.first)))
+        n += len(bag.start)
+    column, sentence, doc = np.concatenate(columns), np.concatenate(sentences), np.concatenate(docs)
     n, y = len(doc), labels.astype(float)
     theta = np.zeros(len(names) + 1)
     theta[-1] = np.log(max(y.mean(), 1e-3) / max(1.0, n / len(texts)))
