@@ -1,9 +1,9 @@
 import hashlib
 import random
+from dataclasses import replace
 
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import write_docs
-from veracorp.llm import repeats as R
 from veracorp.llm import suffix_dedup as S
 
 
@@ -50,8 +50,7 @@ def test_against_brute_force(spark, tmp_path):
 
 def test_hot_anchors_take_the_exact_way_round(spark, tmp_path, monkeypatch):
     rows = corpus(2)
-    monkeypatch.setattr(R, "HOT_PIECES", 1)
-    monkeypatch.setattr(R, "HOT_WINDOWS", 150)
+    monkeypatch.setattr(S, "SPEC", replace(S.SPEC, hot_tokens=150))
     assert run(spark, tmp_path, rows) == brute(rows)
 
 
@@ -73,4 +72,4 @@ def test_suffix_array_against_sorting():
     cases = [[], [1], [1, 1, 1, 1], [2, 1, 2, 1, 2, 1], list(b"mississippi"), list(b"abcabcabcab"), [3, 2, 1], [1, 2, 3]]
     cases += [[rng.randrange(a) for _ in range(rng.randrange(1, 60))] for a in (1, 2, 3, 5, 30) for _ in range(80)]
     for t in cases:
-        assert S.suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
+        assert list(S.suffix_array(t)) == sorted(range(len(t)), key=lambda i: t[i:])

@@ -1,8 +1,8 @@
 import hashlib
 import random
+from dataclasses import replace
 
 from tests.llm.helpers import write_docs
-from veracorp.llm import repeats as R
 from veracorp.llm import substring_dedup as S
 
 
@@ -50,7 +50,7 @@ def test_against_brute_force(spark, tmp_path):
 
 def test_hot_anchors_take_the_exact_way_round(spark, tmp_path, monkeypatch):
     rows = corpus(2)
-    monkeypatch.setattr(R, "HOT_PIECES", 1)
+    monkeypatch.setattr(S, "SPEC", replace(S.SPEC, hot_tokens=40))
     assert run(spark, tmp_path, rows) == brute(rows)
 
 

@@ -9,9 +9,10 @@ works out, for each distinct piece, where each of its windows occurs first.  As
 windows that can be equal share an anchor, anchors are a complete routing: they are
 dealt to shards of bounded size and shards are independent.
 
-An anchor with very many distinct pieces (the edge of a passage that a large share of
-documents holds) or very long ones is no shard's: its windows are grouped one by one by
-their hash, with partial aggregation, which has no large group.
+An anchor whose distinct pieces are more than a task's memory takes (the edge of a
+passage that a large share of documents holds, or very long pieces) is no shard's: its
+windows are grouped one by one by their hash, with partial aggregation, which has no
+large group.
 
 Places are ordered by (doc_id, text hash, start); null ids come last.  Rows that repeat an
 id count as one document where the texts are equal.
@@ -31,8 +32,6 @@ from veracorp.llm import hashing as H
 from veracorp.llm.common import stage, whole_text
 
 LAST_ID = 2**63 - 1
-HOT_PIECES = 2_000        # distinct pieces of an anchor that a shard takes
-HOT_WINDOWS = 200_000     # windows of an anchor's distinct pieces that a shard takes
 PIECE = "anchor long, phash long, doc long, th int, start int, n int, again boolean"
 
 
@@ -42,6 +41,7 @@ class Spec:
     width: int            # tokens per window
     k: int                # tokens per gram of the anchor
     shard_tokens: int     # tokens of distinct pieces per shard
+    hot_tokens: int       # most tokens of one anchor's distinct pieces that a task's memory takes
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def removed(docs: DataFrame, spec: Spec, solve: Callable[[DataFrame], DataFrame]
     occurrence (columns doc, th, start)."""
     cand = stage(candidates(docs, spec), "candidate-pieces")
     every = stage(distinct(cand), "pieces")
-    hot = f"(peers > {HOT_PIECES} OR windows > {HOT_WINDOWS})"
+    hot = f"(windows + peers * {spec.width - 1} > {spec.hot_tokens})"
     easy = f"NOT {hot} AND ({simple})" if simple else "false"
     todo = shards(every.where(f"NOT {hot} AND NOT ({easy})"), spec)
     todo = todo.unionByName(every.where(hot).withColumn("shard", F.lit(-1)))

@@ -32,7 +32,7 @@ from veracorp.llm.common import documents
 from veracorp.llm.repeats import RUNS, Spec, covered, identified, removed
 
 WIDTH = 13
-SPEC = Spec(words=True, width=WIDTH, k=5, shard_tokens=100_000)
+SPEC = Spec(words=True, width=WIDTH, k=5, shard_tokens=100_000, hot_tokens=400_000)
 
 
 class SuffixAutomaton:

@@ -35,7 +35,7 @@ from veracorp.llm.common import documents
 from veracorp.llm.repeats import RUNS, Spec, covered, identified, removed
 
 WIDTH = 100
-SPEC = Spec(words=False, width=WIDTH, k=20, shard_tokens=300_000)
+SPEC = Spec(words=False, width=WIDTH, k=20, shard_tokens=300_000, hot_tokens=3_000_000)
 
 
 def lyndon_groups(text: list[int]) -> tuple[list[list[int]], list[int], list[int]]:
