@@ -1,10 +1,10 @@
 """Operator 4, suffix-array dedup with linear grouping construction.
 
 Pieces of text that can hold a repeated 100-byte string (see ``repeats``) are dealt to
-shards.  A shard's distinct pieces are joined into one text whose suffixes are sorted by
-grouping.  First, suffixes are grouped by Lyndon prefix: groups are taken in descending
-order; each member finds its previous smaller suffix by following the pointers of members
-already done, and those suffixes, whose Lyndon prefix grows by the group's, move to new
+shards.  The runs of windows that a shard's distinct pieces may share, equal runs once, are
+joined into one text whose suffixes are sorted by grouping.  First, suffixes are grouped
+by Lyndon prefix: groups are taken in descending order; each member finds its previous
+smaller suffix by following the pointers of members already done, and those suffixes, whose Lyndon prefix grows by the group's, move to new
 groups right behind their old ones, the more copies they gain the higher.  Then the order
 inside the groups is emitted in one ascending pass: a suffix, once placed, places the
 suffixes whose Lyndon prefix ends where it starts.  No step renames or recurses, and both
@@ -22,6 +22,7 @@ last; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,18 +39,18 @@ WIDTH = 100
 SPEC = Spec(words=False, width=WIDTH, k=20, shard_tokens=300_000, hot_tokens=3_000_000)
 
 
-def lyndon_groups(text: list[int]) -> tuple[list[list[int]], list[int], list[int]]:
+def lyndon_groups(text: list[int]) -> tuple[list[list[int]], array, array]:
     """The non-empty groups of suffixes by Lyndon prefix in ascending order, the number of
     every suffix's group and its previous smaller suffix (-1: none)."""
     n = len(text)
     rank = {c: i for i, c in enumerate(sorted(set(text)))}
-    group = [rank[c] for c in text]
+    group = array("i", (rank[c] for c in text))
     members: list[list[int]] = [[] for _ in rank]
     for i, g in enumerate(group):
         members[g].append(i)
     # the groups' order, as a list linked both ways; -1 is beyond either end
     down, up = list(range(-1, len(rank) - 1)), [*range(1, len(rank)), -1]
-    previous, done = [-1] * n, bytearray(n)
+    previous, done = array("i", [-1]) * n, bytearray(n)
     descending = []
     g = len(rank) - 1
     while g >= 0:
@@ -87,10 +88,10 @@ def lyndon_groups(text: list[int]) -> tuple[list[list[int]], list[int], list[int
             descending.append(g)
         g = down[g]
     place = {g: i for i, g in enumerate(reversed(descending))}
-    return [members[g] for g in reversed(descending)], [place[g] for g in group], previous
+    return [members[g] for g in reversed(descending)], array("i", (place[g] for g in group)), previous
 
 
-def suffix_array(text: list[int]) -> list[int]:
+def suffix_array(text: list[int]) -> array:
     """Start positions of the suffixes of ``text`` in ascending order."""
     n = len(text)
     groups, group, previous = lyndon_groups(text)
@@ -98,7 +99,7 @@ def suffix_array(text: list[int]) -> list[int]:
     for g in groups:
         head.append(at)
         at += len(g)
-    order = [0] * n
+    order = array("i", [0]) * n
     x = n - 1
     while x >= 0:                      # Lyndon prefixes that end with the text
         g = group[x]
@@ -116,42 +117,62 @@ def suffix_array(text: list[int]) -> list[int]:
     return order
 
 
-def _solve(key, group: pd.DataFrame) -> pd.DataFrame:
-    """RUNS of one shard: for each piece, where its windows occur first."""
-    parts = group["part"].tolist()
-    joined = b"\0".join(parts)
-    data = np.frombuffer(joined, np.uint8)
-    sizes = np.array([len(p) for p in parts])
+def _groups_of_windows(runs: list[bytes]) -> list[np.ndarray]:
+    """For each of the distinct strings, a number per window: equal windows, equal numbers."""
+    sizes = np.array([len(r) for r in runs])
     begin = np.cumsum(sizes + 1) - sizes - 1
+    data = np.frombuffer(b"\0".join(runs), np.uint8)
     symbols = data.astype(np.int64) + 1
     symbols[begin[1:] - 1] = 0
     order = np.array(suffix_array(symbols.tolist()), np.int64)
+    owner = np.repeat(np.arange(len(runs)), sizes + 1)[:len(data)]
+    whole = np.arange(len(data)) - begin[owner] + WIDTH <= sizes[owner]        # a window starts here
+    order = order[whole[order]]
     windows = H.grams(H.prefix(data), WIDTH)
-    piece = np.repeat(np.arange(len(parts)), sizes + 1)[:len(data)]
-    offset = np.arange(len(data)) - begin[piece]
-    whole = offset + WIDTH <= sizes[piece]                      # a window starts here
+    number = np.zeros(len(data), np.int64)
+    number[order] = np.cumsum(np.concatenate([[False], windows[order[1:]] != windows[order[:-1]]]))
+    return [number[a:a + n - WIDTH + 1] for a, n in zip(begin.tolist(), sizes.tolist())]
+
+
+def _solve(key, group: pd.DataFrame) -> pd.DataFrame:
+    """RUNS of one shard: for each piece, where its windows occur first.
+
+    Windows whose hash is unique in the shard occur nowhere else.  The maximal runs of
+    the others, equal ones once, make the text whose suffixes are sorted."""
+    parts = group["part"].tolist()
+    joined = b"\0".join(parts)
+    sizes = np.array([len(p) for p in parts])
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    owner = np.repeat(np.arange(len(parts)), sizes - WIDTH + 1)                # of every window
+    shift = np.arange(len(owner)) - np.repeat(np.cumsum(sizes - WIDTH + 1) - (sizes - WIDTH + 1), sizes - WIDTH + 1)
+    position = begin[owner] + shift
     doc, th, start = (group[c].to_numpy().astype(np.int64) for c in ("doc", "th", "start"))
-    position = np.flatnonzero(whole)
-    owner, shift = piece[position], offset[position]
-    rank = np.empty(len(data), np.int64)
+    _, which, count = np.unique(H.grams(H.prefix(np.frombuffer(joined, np.uint8)), WIDTH)[position], return_inverse=True, return_counts=True)
+    again = count[which] > 1
+    number = np.arange(len(owner))
+    opens, closes = again.copy(), again.copy()
+    inner = again[1:] & again[:-1] & (owner[1:] == owner[:-1])
+    opens[1:] &= ~inner
+    closes[:-1] &= ~inner
+    bounds = list(zip(np.flatnonzero(opens).tolist(), (np.flatnonzero(closes) + 1).tolist()))
+    texts: dict[bytes, int] = {}
+    named = [texts.setdefault(joined[position[a]:position[b - 1] + WIDTH], len(texts)) for a, b in bounds]
+    if texts:
+        numbers = _groups_of_windows(list(texts))
+        for (a, b), name in zip(bounds, named):
+            number[a:b] = len(owner) + numbers[name]
+    # the first place of every group of equal windows
     by_place = np.lexsort((start[owner] + shift, th[owner], doc[owner]))
-    rank[position[by_place]] = np.arange(len(position))
-    sorted_windows = order[whole[order]]
-    same = np.concatenate([[False], windows[sorted_windows[1:]] == windows[sorted_windows[:-1]]])
-    heads = np.flatnonzero(~same)
-    lowest = np.minimum.reduceat(rank[sorted_windows], heads)
-    first = np.empty(len(data), np.int64)                       # position of each window's first occurrence
-    first[sorted_windows] = position[by_place][np.repeat(lowest, np.diff(np.append(heads, len(sorted_windows))))]
-    src = first[position]
-    f_doc, f_th = doc[piece[src]], th[piece[src]]
-    f_start = start[piece[src]] + offset[src]
-    change = np.ones(len(position), bool)
+    _, first, of = np.unique(number[by_place], return_index=True, return_inverse=True)
+    source = np.empty(len(owner), np.int64)
+    source[by_place] = by_place[first[of]]
+    f_doc, f_th, f_start = doc[owner[source]], th[owner[source]], start[owner[source]] + shift[source]
+    change = np.ones(len(owner), bool)
     change[1:] = ((owner[1:] != owner[:-1]) | (f_doc[1:] != f_doc[:-1]) | (f_th[1:] != f_th[:-1])
                   | (f_start[1:] - shift[1:] != f_start[:-1] - shift[:-1]))
     cut = np.flatnonzero(change)
-    ends = np.append(cut[1:], len(position))
     runs: list[list[dict]] = [[] for _ in parts]
-    for a, b in zip(cut.tolist(), ends.tolist()):
+    for a, b in zip(cut.tolist(), np.append(cut[1:], len(owner)).tolist()):
         runs[owner[a]].append({"lo": int(shift[a]), "hi": int(shift[b - 1]) + 1, "doc": int(f_doc[a]), "th": int(f_th[a]), "start": int(f_start[a])})
     return pd.DataFrame({"anchor": group["anchor"], "phash": group["phash"], "runs": runs})
 
