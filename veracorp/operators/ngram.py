@@ -93,7 +93,7 @@ class NGramModel:
         def of(column, name):
             return F.coalesce(F.try_element_at(column, F.col("cls.label"))[name], F.lit(0)).alias(name)
 
-        return g.select(id_col, "ngram", "m", "cls.*", of("by_ngram", "c"), of("by_ctx", "ctot"), of("by_ctx", "n1p"),
+        return g.select(id_col, "ngram", "ctx", "tok", "m", "cls.*", of("by_ngram", "c"), of("by_ctx", "ctot"), of("by_ctx", "n1p"),
                         of("by_tok", "uni"), of("by_tok", "U"))
 
     def probability(self, method: str = "kneser-ney", k: float = 1.0) -> Column:
