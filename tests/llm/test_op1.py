@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import docs_df
@@ -72,3 +73,21 @@ def test_stage_keeps_clean_rows_and_columns(spark, tmp_path):
     kept = {r.doc_id for r in got.select("doc_id").collect()}
     assert sum(i in kept for i, _, y in rows if not y) >= 0.99 * sum(1 - y for *_, y in rows)
     assert sum(i in kept for i, _, y in rows if y) <= 0.03 * sum(y for *_, y in rows)
+
+
+def test_rare_toxic_words_enter_beside_a_frequent_one():
+    rng = random.Random(3)
+    texts, labels = [], []
+    for i in range(1200):
+        toxic = i % 2
+        words = rng.choices(CLEAN, k=20)
+        if toxic and i % 4 == 1:
+            words.insert(5, "moron")          # half of the toxic rows
+        elif toxic and i % 80 == 3:
+            words.insert(5, "loweiru")        # 15 toxic rows and no clean one
+        texts.append((" ".join(words) + ".").encode())
+        labels.append(toxic)
+    model = T.fit(texts, np.array(labels))
+    for word, bad in (("moron", True), ("loweiru", True), ("word7", False)):
+        bag = T.bags([f"word1 {word} word2.".encode()])
+        assert (model.sentences(bag)[0] >= model.bias + 1) == bad, word

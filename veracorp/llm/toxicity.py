@@ -6,10 +6,10 @@ of its sentences, 1 - prod(1 - p).  Only document labels are known: the sentence
 is fitted to them through the noisy-or, so that it finds out by itself which sentences
 offend.  The fit uses a bounded sample (SAMPLE_ROWS rows of each label in hash order,
 SAMPLE_BYTES bytes of text at most, equal texts once).  Features enter if they occur in
-MIN_DOCS sample documents and, by MIN_EXCESS standard errors and MIN_SHARE of the largest
-excess, more often under label 1:
-what a sentence offends by is what it has, and rare words cannot be learnt by heart.  The fitted model is small (at most the sample's features) and
-scores every whole text inside map tasks; nothing is shuffled.
+MIN_DOCS sample documents and, by MIN_EXCESS standard errors, more often under label 1:
+what a sentence offends by is what it has, and rare words cannot be learnt by heart.
+Whether a feature enters depends on no other feature.  The fitted model is small (at most
+the sample's features) and scores every whole text inside map tasks; nothing is shuffled.
 
 Labels, language, source and doc_id are never inputs of a score.  Training rows are
 those whose crc32(doc_id as text) mod 5 is not 0.
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from veracorp.llm import hashing as H
 from veracorp.llm.common import documents, whole_text
 
-SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 12_000_000
-MIN_DOCS, MIN_EXCESS, MIN_SHARE = 3, 3.0, 0.2
+SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 20_000_000
+MIN_DOCS, MIN_EXCESS = 3, 3.0
 ROUNDS, RATE, DECAY = 120, 0.2, 1e-6
 LONG_SENTENCE = 40        # words after which a sentence without end is cut
 SMALLEST_WEIGHT = 0.02
@@ -128,27 +128,30 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Model:
     The features of the sample are gone through slice by slice, once to count documents
     and once to keep the features that enter, so that memory follows the latter."""
     slices = list(H.chunks(texts))
-    found = []
+    names, seen, bad = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     for lo, hi in slices:
         bag = bags(texts[lo:hi])
         doc = np.repeat(np.arange(hi - lo), np.diff(bag.first))
         f, column = np.unique(bag.feature, return_inverse=True)
         pairs = np.unique(column.astype(np.int64) * (hi - lo) + doc[bag.sentence])
         of, by = pairs // (hi - lo), lo + pairs % (hi - lo)
-        found.append((f, np.bincount(of, minlength=len(f)), np.bincount(of, labels[by], minlength=len(f))))
-    names, column = np.unique(np.concatenate([f for f, _, _ in found]), return_inverse=True)
-    seen = np.bincount(column, np.concatenate([c for _, c, _ in found]), minlength=len(names))
-    bad = np.bincount(column, np.concatenate([c for _, _, c in found]), minlength=len(names))
+        at = np.searchsorted(names, f)
+        new = np.append(names, np.uint64(0))[at] != f
+        new[at == len(names)] = True
+        names, seen, bad = (np.insert(x, at[new], y) for x, y in ((names, f[new]), (seen, 0), (bad, 0)))
+        at = np.searchsorted(names, f)
+        seen[at] += np.bincount(of, minlength=len(f)).astype(np.int32)
+        bad[at] += np.bincount(of, labels[by], minlength=len(f)).astype(np.int32)
     excess = _excess(bad, seen - bad, labels)
-    names = names[(seen >= MIN_DOCS) & (excess >= max(MIN_EXCESS, MIN_SHARE * excess.max(initial=0)))]
-    del found, column, seen, bad, excess
+    names = names[(seen >= MIN_DOCS) & (excess >= MIN_EXCESS)]
+    del seen, bad, excess
     columns, sentences, docs, n = [], [], [], 0
     for lo, hi in slices:
         bag = bags(texts[lo:hi])
         at = np.searchsorted(names, bag.feature)
         hit = np.flatnonzero(names[np.minimum(at, len(names) - 1)] == bag.feature) if len(names) else at[:0]
-        columns.append(at[hit])
-        sentences.append(bag.sentence[hit] + n)
+        columns.append(at[hit].astype(np.int32))
+        sentences.append((bag.sentence[hit] + n).astype(np.int32))
         docs.append(lo + np.repeat(np.arange(hi - lo), np.diff(bag.first)))
         n += len(bag.start)
     column, sentence, doc = np.concatenate(columns), np.concatenate(sentences), np.concatenate(docs)
