@@ -102,3 +102,12 @@ def test_bpe_fold_equals_the_library_on_many_words(spark):
     vocab = spark.createDataFrame([(L.SPACE + w, 1) for w in sorted(words)], "unit string, n long")
     for r in L.encode_units(vocab, L.Pieces(PATH)).collect():
         assert r.ids == sp.encode(r.unit[1:]), r.unit
+
+
+def test_query_returns_whole_documents_and_compares_them_with_their_text(spark, tmp_path):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rows = [*enumerate(HARD), (100, "one row"), (100, "another row"), (100, "one row"), (None, "a b"), (None, "c"), (0, "c")]
+    got = L.op6_sentencepiece(spark, write_docs(spark, tmp_path, rows)).collect()
+    want = [(str(i), sp.encode((t or "").replace("▁", " ")), "▁" not in (t or "")) for i, t in rows]
+    assert sorted((str(g.doc_id), g.ids, g.round_trip) for g in got) == sorted(want)
+    assert all(g.n_pieces == len(g.ids) for g in got)

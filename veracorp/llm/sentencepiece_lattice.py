@@ -16,10 +16,13 @@ Characters without a piece become byte pieces.  Units of more than LONGEST chara
 number and their substrings are many.
 
 A document's ids are joined from its units: units of the FREQUENT most used by broadcast
-(their number is bounded, their text by LONGEST), all others by a shuffle join.
+(their number is bounded, their text by LONGEST), all others by a shuffle join.  They are
+put in order by document, decoded as a whole and compared with the document's own text.
 
-Defined results: null and empty texts have no pieces; rows of one doc_id count as one
-document; an empty table gives an empty result.
+Defined results: null and empty texts have no pieces; every row is a document of its own
+(rows of one doc_id are told apart by a hash of their text; equal ones are encoded alike);
+a text that holds a literal U+2581 has the ids that the library gives it, decodes to a space
+in its place and so does not come back; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -68,11 +71,16 @@ class Pieces:
         return spark.createDataFrame([("", -1, 0.0), *self.plain], "piece string, id int, score double")
 
 
+def _key():
+    """The columns by which a row's units find together again; neither is null."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64(whole_text()).alias("key")
+
+
 def units(docs: DataFrame) -> DataFrame:
-    """doc_id, at, unit: the units of every text; one row with a null unit where there is none."""
+    """id, key, at, unit: the units of every text; one row with a null unit where there is none."""
     escaped = F.concat(F.lit(SPACE), F.replace(whole_text(), F.lit(" "), F.lit(SPACE)))
     parts = F.when(whole_text() != "", F.split(escaped, f"(?<=[^{SPACE}])(?={SPACE})", -1))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode_outer(parts).alias("at", "unit"))
+    return docs.select(*_key(), F.posexplode_outer(parts).alias("at", "unit"))
 
 
 def _edges(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
@@ -152,14 +160,13 @@ def decoded(ids: str, pieces: Pieces):
 
 
 def vocabulary(docs: DataFrame, pieces: Pieces, rule: str = "bpe") -> DataFrame:
-    """unit, n (occurrences), ids, exact (the ids decode to the unit) of the corpus's distinct units."""
+    """unit, n (occurrences), ids of the corpus's distinct units."""
     distinct = units(docs).where("unit IS NOT NULL").groupBy("unit").agg(F.count("*").alias("n"))
-    coded = encode_units(distinct, pieces, rule)
-    return coded.withColumn("exact", decoded("ids", pieces) == F.replace("unit", F.lit(SPACE), F.lit(" ")))
+    return encode_units(distinct, pieces, rule)
 
 
 def _with_ids(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """doc_id, at, unit, ids, exact of every unit of every document."""
+    """id, key, at, ids of every unit of every document; null ids where there is no unit."""
     sizes = words.where(F.length("unit") <= LONGEST).groupBy("n").agg(F.count("*").alias("c"))
     top = sizes.orderBy(F.desc("n")).limit(FREQUENT).collect()      # few distinct counts; a class of count n holds one unit at least
     total, least = 0, None
@@ -169,42 +176,39 @@ def _with_ids(docs: DataFrame, words: DataFrame) -> DataFrame:
             break
         least = r["n"]
     often = (F.col("n") >= least) & (F.length("unit") <= LONGEST) if least is not None else F.lit(False)
-    table = words.select("unit", "ids", "exact", F.coalesce(often, F.lit(False)).alias("often"))
+    table = words.select("unit", "ids", F.coalesce(often, F.lit(False)).alias("often"))
     common = table.where("often").drop("often")                     # at most FREQUENT units of at most LONGEST characters
     every = units(docs)
     near = every.join(F.broadcast(common.withColumn("known", F.lit(True))), "unit", "left")
-    far = near.where("known IS NULL AND unit IS NOT NULL").select("doc_id", "at", "unit")
+    far = near.where("known IS NULL AND unit IS NOT NULL").select("id", "key", "at", "unit")
     rest = far.join(table.where("NOT often").drop("often"), "unit")
-    return near.where("known OR unit IS NULL").select("doc_id", "at", "unit", "ids", "exact").unionByName(
-        rest.select("doc_id", "at", "unit", "ids", "exact"))
+    return near.where("known OR unit IS NULL").select("id", "key", "at", "ids").unionByName(
+        rest.select("id", "key", "at", "ids"))
 
 
 def encode(docs: DataFrame, path: str | None = None, rule: str = "bpe") -> DataFrame:
-    """doc_id, ids: the token ids of every document, in order."""
+    """doc_id, text, n_units, ids (the token ids, in order) of every row of ``docs``."""
     pieces = Pieces(path or public_tokenizers.path("piece_bpe_32k.model"))
     words = stage(vocabulary(docs, pieces, rule), "piece-units")
-    rows = _with_ids(docs, words)
-    ordered = F.sort_array(F.collect_list(F.when(F.col("unit").isNotNull(), F.struct("at", "ids"))))
-    return rows.groupBy("doc_id").agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
+    ordered = F.sort_array(F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("at", "ids"))))
+    coded = (_with_ids(docs, words).groupBy("id", "key").agg(ordered.alias("every"))
+             .withColumn("once", F.expr("filter(every, (x, i) -> NOT x.at <=> get(every, i - 1).at)"))     # equal rows share a group
+             .select("id", "key", F.size("once").cast("long").alias("n_units"), F.expr("flatten(transform(once, x -> x.ids))").alias("ids")))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_key(), whole_text().alias("text"))
+    return own.join(coded, ["id", "key"]).select("doc_id", "text", "n_units", "ids")
 
 
 def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, text of encoded documents (doc_id, ids); the space put before a text is taken off."""
+    """Encoded documents (doc_id, ids) with the text of their ids; the space put before a text is taken off."""
     pieces = Pieces(path or public_tokenizers.path("piece_bpe_32k.model"))
-    return coded.select("doc_id", F.substr(decoded("ids", pieces), F.lit(2)).alias("text"))
+    return coded.withColumn("text", F.substr(decoded("ids", pieces), F.lit(2)))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: units, pieces, a check sum over (place, ids) of its units, and whether
-    all its units decode to themselves."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    pieces = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    rows = _with_ids(docs, stage(vocabulary(docs, pieces), "piece-units"))
-    check = F.coalesce(F.shiftrightunsigned(F.xxhash64("at", "ids"), 24), F.lit(0))
-    return rows.groupBy("doc_id").agg(
-        F.count("unit").alias("n_units"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_pieces"),
-        F.sum(F.when(F.col("unit").isNotNull(), check).otherwise(F.lit(0))).alias("ids_check"),
-        F.coalesce(F.min("exact"), F.lit(True)).alias("round_trip"))
+    """Per document: units, pieces, its ids in order, and whether they decode to its own text."""
+    coded = encode(documents(spark, sf_dir).select("doc_id", "text")).withColumnRenamed("text", "own")
+    return decode(coded).select("doc_id", "n_units", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                                (F.col("text") == F.col("own")).alias("round_trip"))
 
 
 REGISTRY = {"op6_sentencepiece": op6_sentencepiece}
