@@ -59,3 +59,11 @@ def test_oracle(spark):
     c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
     got = rows_of(X.op7_exact_dedup(spark, SF_SMALL).toPandas())
     assert got == rows_of(c.execute(X.SQL["op7_exact_dedup"]).df())
+
+
+def test_ids_near_the_ends_of_the_long_range(spark, tmp_path):
+    for k, ids in enumerate([(0, 5, 2**53, 2**54), (-2**63, -1, 0, 2**63 - 1), (2**63 - 2, 2**63 - 1)]):
+        rows = [(i, f"text {i}") for i in ids] + [(ids[-1] - 1, f"text {ids[0]}")] * (len(ids) > 2)
+        got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256)
+               for r in X.op7_exact_dedup(spark, write_docs(spark, tmp_path / str(k), rows)).collect()}
+        assert got == brute(rows)

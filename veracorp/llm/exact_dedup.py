@@ -84,7 +84,12 @@ def annotate(docs: DataFrame, index: DigestIndex, carry: list[str], loads: int =
         index.load(keys, batch)
     else:
         step = (high - low) // loads + 1
-        slot = F.coalesce(F.floor((F.col("doc_id") - low) / step), F.lit(loads - 1))
+        # compared with whole numbers: a difference or quotient of ids near the ends of the long range is not exact
+        slot = F.lit(0)
+        for k in range(1, loads):
+            if low + k * step <= high:
+                slot = F.when(F.col("doc_id") >= F.lit(low + k * step).cast("long"), k).otherwise(slot)
+        slot = F.when(F.col("doc_id").isNull(), loads - 1).otherwise(slot)
         for k in range(loads):
             index.load(keys.where(slot == k), batch)
     sizes = keys.groupBy("digest").agg(F.count("*").alias("group_size"))
