@@ -75,3 +75,14 @@ def test_each_step_takes_the_smallest_sum_of_squares():
         assert fill.get(q, 0) == o
         fill[q] = o + s
         assert cost(fill) == min(choices)
+
+
+def test_rows_that_share_an_id_spread_over_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "GROUP_PIECES", 50)
+    rows = [(None, "the same text")] * 200 + [(7, f"text {i}") for i in range(200)] + [(1000 + i, f"other {i}") for i in range(200)]
+    got = P.op5_packing(spark, write_docs(spark, tmp_path, rows)).collect()
+    assert len(got) == 600
+    groups = {}
+    for g in got:
+        groups[g.sequence_id >> 40] = groups.get(g.sequence_id >> 40, 0) + 1
+    assert len(groups) >= 10 and max(groups.values()) <= 100

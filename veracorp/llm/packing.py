@@ -2,7 +2,8 @@
 
 Every document becomes its token ids and a closing id 0; only documents longer than a
 sequence are cut.  Pieces are dealt to groups of about GROUP_PIECES pieces by a hash of
-the document and each group is packed on its own, so the number of packing tasks grows
+the document and of the piece's row number in a staged table, so that rows that share an
+id, or have none, spread too, and each group is packed on its own, so the number of packing tasks grows
 with the input and none holds more than one group; a group wastes a few sequences at
 most.  Within a group pieces come in descending length.  The packer keeps, for every
 residual gap, the number of open sequences that have it, and puts a piece where the sum
@@ -100,21 +101,21 @@ def _pack(capacity: int):
     def run(key, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
         seq, offset = sum_of_squares(group["length"].to_numpy(), capacity)
-        return group.assign(sequence_id=seq + (int(key[0]) << 40), offset=offset).drop(columns="lot")
+        return group.assign(sequence_id=seq + (int(key[0]) << 40), offset=offset).drop(columns=["lot", "row"])
     return run
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The pieces with sequence_id and offset."""
+    """The pieces (with their fixed number, row) with sequence_id and offset."""
     lots = max(1, round(cut.count() / GROUP_PIECES))
-    lot = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(lots)).cast("int")
+    lot = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row"), F.lit(lots)).cast("int")
     return (cut.withColumn("lot", lot).groupBy("lot")
             .applyInPandas(_pack(capacity), f"{_PIECES}, sequence_id long, offset long"))
 
 
 def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    return pack(stage(pieces(docs, path, capacity), "pieces"), capacity)
+    return pack(stage(pieces(docs, path, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces"), capacity)
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
