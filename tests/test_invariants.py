@@ -39,3 +39,12 @@ def test_retrieval_always_k(spark):
     v = all_queries()["V5_retrieve_similar"](spark, SF_SMALL)
     per = v.groupBy("query_id").count().collect()
     assert per and all(r["count"] == 5 for r in per)
+
+
+def test_dedup_first_with_repeated_and_null_order_keys(spark):
+    from veracorp.operators import corpus as C
+    rows = [(3, "A", 1), (5, "A", 2), (5, "B", 3), (None, "C", 4), (None, "C", 5), (7, "C", 6), (8, "D", 7), (8, "D", 7), (None, None, 8), (1, None, 9)]
+    df = spark.createDataFrame([(0, *r) for r in rows], "source_rank int, row_ord int, text string, n int")
+    got = C.dedup_first(df)
+    assert got.columns == df.columns
+    assert sorted(r.n for r in got.collect()) == [1, 3, 4, 7, 8]

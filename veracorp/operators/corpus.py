@@ -42,17 +42,24 @@ def require_min_rows(df: DataFrame, min_samples: int) -> DataFrame:        # P6
 
 def dedup_first(df: DataFrame, text: str = "text",
                 order: tuple[str, ...] = ("source_rank", "row_ord")) -> DataFrame:    # D2 / D3
-    """Keep the first row (by ``order``, which tells rows apart) of every distinct ``text``.
+    """Keep one row of every distinct ``text``: the first by ``order``, nulls first; of
+    rows of equal order the one whose columns come first.
 
     Only digests and order keys are aggregated, with partial aggregation, so a text
     copied into a third of all rows reaches its reducer as one row per map task.  The
-    keys of rows that are not first are then anti-joined: rows move only if the losing
-    keys are too many to be broadcast by size, and texts are never sorted.
+    digests and keys of rows that are not first are then anti-joined: rows move only if
+    the losing keys are too many to be broadcast by size.  Texts are sorted only where
+    several rows share text and order key.  A struct key compares its null fields as equal.
     """
-    keys = df.select(F.md5(F.col(text)).alias("_h"), F.struct(*order).alias("_o"))
-    first = keys.groupBy("_h").agg(F.min("_o").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    losers = keys.join(first, "_h").where(F.col("_o") > F.col("_first")).select("_o.*")
-    return df.join(losers, list(order), "left_anti").select(*df.columns)
+    rows = df.select("*", F.coalesce(F.md5(F.col(text)), F.lit("")).alias("_h"), F.struct(*order).alias("_o"))
+    counts = rows.groupBy("_h", "_o").agg(F.count(F.lit(1)).alias("_n"))
+    first = counts.groupBy("_h").agg(F.min(F.struct("_o", "_n")).alias("_first"), F.sum("_n").alias("_all")).where("_all > 1")
+    gone = (counts.select("_h", "_o").join(first, "_h")
+            .where((F.col("_o") > F.col("_first._o")) | (F.col("_first._n") > 1)).select("_h", "_o"))
+    tied = first.where("_first._n > 1").select("_h", F.col("_first._o").alias("_o"))
+    one = (rows.join(tied, ["_h", "_o"], "left_semi").groupBy("_h")
+           .agg(F.min(F.struct(*df.columns)).alias("_row")).select("_row.*"))
+    return rows.join(gone, ["_h", "_o"], "left_anti").select(*df.columns).unionByName(one)
 
 
 def combine(df: DataFrame) -> DataFrame:
