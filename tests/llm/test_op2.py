@@ -74,3 +74,18 @@ def test_stage_redacts_and_keeps_rows(spark):
 
 def test_empty_table(spark, tmp_path):
     assert S.op2_secrets(spark, write_docs(spark, tmp_path, [])).count() == 0
+
+
+ORDINARY = """accountAddressConfig2 backendConnection1 credential_container2 defaultDirectory3 environment_endpoint1 fileFormatFunction2
+    gatewayHandler_header1 identifierInstance2 javascript_keyword1 libraryListener_load2 messageMethodModule1 networkNotification2
+    object_operation_option1 parameterPasswordPath2 query_queue_random1 requestResponse_result2 sessionStringStorage1 token_timestamp_type2
+    user_username_update1 validateValue_version2 workspaceWriter_worker1""".split()
+
+
+def test_ordinary_identifiers_of_the_whole_alphabet_are_not_novel():
+    z = S._compressor()
+    high = {w: round(S.novelty(z, "auth header ", w, " next"), 2) for w in ORDINARY if S.novelty(z, "auth header ", w, " next") >= S.MIN_NOVELTY}
+    assert not high
+    for word in ORDINARY:
+        text = f"auth header {word} next"
+        assert S.novel_spans(text, text.encode(), [], z) == []

@@ -55,6 +55,21 @@ enum environment error event example exception execute export expression extend
 field file filter final fingerprint float folder format function gateway generate global graph group handler hash header
 helper hidden host identifier implement import include index infrastructure init insert instance integer interface
 internal invalid iterator javascript kernel keyword lambda language length level library license limit listener load
+local location lock log logger login logout machine main manager manifest map mapper master match max member memory
+message metadata method metric middleware min mode model module monitor mount multiple mutable name namespace native
+network next node notification null number object observer offset operation operator option order organization origin
+output override owner package page parameter parent parse parser partition password patch path pattern payload pending
+permission persist platform plugin pointer policy pool port position prefix previous primary private process processor
+product profile program project promise property protocol provider proxy public publish query queue random range read
+reader receive record redirect reference refresh region register registry release remote remove render replace replica
+report repository request require reset resolve resource response rest result retry return role root route router runtime
+sample save schedule schema scope script search secret section secure security select sequence serial server service
+session setting setup shard share signature simple size socket source stack stage start state static statistics status
+storage store stream string structure submit subscribe success suffix switch symbol sync system table target task template
+temporary tenant test thread threshold time timeout timestamp title token trace track transaction transfer transform
+transport trigger type undefined unique unit update upload upper user username util utility valid validate validator value
+variable vector vendor verify version view virtual visible volume wait warning watch webhook widget window worker workflow
+workspace wrapper write writer yield zone
 """.split()
 
 
