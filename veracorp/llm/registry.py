@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity", "secrets", "pii", "substring_dedup", "suffix_dedup",
-           "sentencepiece_lattice", "merkle")
+           "sentencepiece_lattice", "merkle", "quality_rules")
 
 
 def all_queries() -> dict:
