@@ -12,6 +12,11 @@ from veracorp.session import ensure_checkpoint_dir
 # ASCII white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
+# For oracles: CRC-32 of a decimal number, bit by bit (DuckDB has no such function).
+CRC32_SQL = """xor(4294967295::UBIGINT, list_reduce(
+  [4294967295::UBIGINT] || list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+  lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, z: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))))"""
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")

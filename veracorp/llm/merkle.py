@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracorp.llm.common import documents, stage
+from veracorp.llm.common import CRC32_SQL, documents, stage
 from veracorp.llm.ranking import placed, ranked
 
 FANOUT = 3
@@ -286,11 +286,6 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {"op11_merkle_manifest": op11_merkle_manifest}
 
-# CRC-32 of a decimal number, bit by bit (DuckDB has no such function).
-CRC32_SQL = """xor(4294967295::UBIGINT, list_reduce(
-  [4294967295::UBIGINT] || list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
-  lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, z: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))))"""
-
 _FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
 _HEAD = " || ".join(_FIELD.format(c) for c in FIELDS[:-1])
 _STEPS = """SELECT {0} lvl, pos, h, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,

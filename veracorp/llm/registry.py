@@ -5,7 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("exact_dedup", "minhash", "fingerprint", "packing", "toxicity", "secrets", "pii", "substring_dedup", "suffix_dedup",
-           "sentencepiece_lattice", "merkle", "quality_rules")
+           "sentencepiece_lattice", "merkle", "quality_rules",
+           "prefix_trie")
 
 
 def all_queries() -> dict:
