@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-MODULES = ("queries_lm", "queries_models", "queries_ml", "queries_more", "queries_lake", "queries_io",
+from importlib import import_module
+
+MODULES = ("queries", "queries_lm", "queries_models", "queries_ml", "queries_more", "queries_lake", "queries_io",
            "queries_w2v", "queries_serving", "stages")
-ORACLE_MODULES = ("oracle_lm", "oracle_models", "oracle_more", "oracle_serving")
+ORACLE_MODULES = ("oracle", "oracle_lm", "oracle_models", "oracle_more")
 
 
-def all_queries():
-    from veracorp.plans import queries
-    mods = []
+def all_queries() -> dict:
+    out = {}
     for name in MODULES:
-        try:
-            mods.append(__import__(f"veracorp.plans.{name}", fromlist=["REGISTRY"]))
-        except ModuleNotFoundError as e:
-            if e.name != f"veracorp.plans.{name}":
-                raise
-    out = dict(queries.REGISTRY)
-    for m in mods:
-        out.update(m.REGISTRY)
+        out.update(import_module(f"veracorp.plans.{name}").REGISTRY)
     return out
 
 
-def all_oracles():
-    from veracorp.plans import oracle
-    out = dict(oracle.SQL)
+def all_oracles() -> dict[str, str]:
+    out = {}
     for name in ORACLE_MODULES:
-        try:
-            m = __import__(f"veracorp.plans.{name}", fromlist=["SQL"])
-        except ModuleNotFoundError as e:
-            if e.name != f"veracorp.plans.{name}":
-                raise
-            continue
-        out.update(m.SQL)
-    q = all_queries()
-    return {k: v for k, v in out.items() if k in q}
+        out.update(import_module(f"veracorp.plans.{name}").SQL)
+    known = all_queries()
+    return {name: sql for name, sql in out.items() if name in known}
