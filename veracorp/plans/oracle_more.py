@@ -177,7 +177,7 @@ it2 AS (SELECT source, ord, {_SQ('t1')} AS title, {_SQ('substr(text, length(t1)
 rec AS (SELECT source, ord, {_SQ(_rr("title || '. ' || descr", '^[. ]+|[. ]+$', ''))} AS text,
           strftime(make_timestamp((1700000000 + ord * 3600) * 1000000), '%a, %d %b %Y %H:%M:%S +0000') AS date,
           'http://' || source || '.example/' || ord AS url,
-          year(make_timestamp((1700000000 + ord * 3600) * 1000000)) AS year
+          CAST(year(make_timestamp((1700000000 + ord * 3600) * 1000000)) AS INTEGER) AS year
         FROM it2 WHERE length(title) > 0 OR length(descr) > 0)"""
 
 SQL["S10_feed_items"] = with_base(_FEED) + """
@@ -188,10 +188,9 @@ SQL["R4_feed_dataset_build"] = with_base(_FEED) + """
 SELECT text, 'Real' AS label, source, date, url
 FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM rec WHERE length(text) > 0) WHERE rn = 1"""
 
-SQL["ST3_feed_dedup_stream"] = with_base(f"""
-it AS (SELECT source_id AS source, doc_id AS ord, split_part(text, chr(10), 1) AS t1, text FROM combined),
-rec AS (SELECT source, ord, {_SQ("t1 || '. ' || substr(text, length(t1) + 2)")} AS text FROM it)""") + """
-SELECT source, ord, text
+# The stream's form of D3: one record per text, the first by order.
+SQL["ST3_feed_dedup_stream"] = with_base(_FEED) + """
+SELECT source, ord, text, date, url, year
 FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM rec WHERE length(text) > 0) WHERE rn = 1"""
 
 

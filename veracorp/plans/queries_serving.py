@@ -126,4 +126,4 @@ def q_st3(spark, sf):
     root = shared_dir(spark, "st3")
     FD.land_feed(combined(spark, sf), f"{root}/items")
     ST.feed_dedup_stream(spark, f"{root}/items", f"{root}/data", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/data").select("source", "ord", "text")
+    return spark.read.parquet(f"{root}/data").select("source", "ord", "text", "date", "url", "year")

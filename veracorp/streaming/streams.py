@@ -8,14 +8,13 @@ and stops, which is how batch back-fills and tests drive them.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracorp.functions.text import squash_whitespace
 from veracorp.operators.inference import Classifier, preprocess
-from veracorp.operators.lake import path_exists
-from veracorp.sources.feeds import ELEMENT, _tag, deduplicate_records
-from veracorp.sources.files import parse_date
+from veracorp.sources.feeds import feed_items, item_records
 
 
 def _files(spark: SparkSession, max_files: int | None):
@@ -24,10 +23,12 @@ def _files(spark: SparkSession, max_files: int | None):
     return r.option("maxFilesPerTrigger", max_files) if max_files else r
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
+    """Run what is landed to its end; the progress of each micro-batch."""
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+    return [json.loads(p.json) for p in q.recentProgress]
 
 
 def preprocess_stream(spark: SparkSession, landed: str, schema: str, out: str, checkpoint: str,
@@ -54,35 +55,46 @@ def scoring_stream(spark: SparkSession, clf: Classifier, landed: str, schema: st
     q.awaitTermination()
 
 
-def feed_dedup_stream(spark: SparkSession, landed: str, out: str, checkpoint: str,
-                      max_files: int | None = None) -> None:                                       # ST3
-    """Landed feed items -> records -> one record per text, whenever it arrives.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_RECORD = "source string, ord long, text string, label string, date string, url string, year int, text_digest string"
 
-    Each micro-batch keeps its first record of every text and is anti-joined with the
-    digests of what earlier epochs wrote, so there is no watermark behind which late items
-    are lost, and no state but the output table.  An epoch writes its own folder, so a
-    replayed epoch overwrites itself.
-    """
-    rec = item_records(_files(spark, max_files).text(landed))
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        own = f"{out}/epoch={epoch}"
-        fresh = deduplicate_records(batch).withColumn("text_digest", F.sha2("text", 256))
-        if path_exists(spark, out):
-            seen = spark.read.schema("text_digest string, epoch int").option("basePath", out).parquet(out)
-            fresh = fresh.join(seen.where(F.col("epoch") < epoch).select("text_digest"), "text_digest", "left_anti")
-        fresh.write.mode("overwrite").parquet(own)
+def _firsts(frames):
+    """The first record of every text in a batch: what a map-side combine would leave."""
+    for pdf in frames:
+        yield pdf.sort_values(["ord", "source", "date", "url"], na_position="first", kind="stable").drop_duplicates("text_digest")
 
-    q = (rec.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+def _first_unseen(key, frames, state):
+    """The first record of a text that no earlier micro-batch had; its digest stays in the state, its text does not."""
+    if state.exists:
+        return
+    import pandas as pd
+    best = None
+    for pdf in frames:
+        best = next(_firsts([pdf if best is None else pd.concat([best, pdf])]))
+    state.update((True,))
+    yield best
 
 
-def item_records(lines: DataFrame) -> DataFrame:
-    """source, ord, text, event_time of the items in lines of feed text."""
-    body = F.col("_b")
-    items = lines.select(F.explode(F.regexp_extract_all("value", F.lit(ELEMENT), 1)).alias("_b"))
-    rec = items.select(_tag(body, "feed").alias("source"), _tag(body, "ord").cast("long").alias("ord"),
-                       squash_whitespace(F.concat_ws(". ", _tag(body, "title"), _tag(body, "description"))).alias("text"),
-                       parse_date(_tag(body, "pubDate")).alias("event_time"))
-    return rec.where(F.length("text") > 0)
+def feed_dedup_stream(spark: SparkSession, landed: str, out: str, checkpoint: str,
+                      max_files: int | None = None, whole_files: bool = False) -> list[dict]:       # ST3
+    """Landed feed documents -> records -> one record per text, whenever it arrives.
+
+    Digests of texts are the keys of a RocksDB state store without a watermark: a micro-batch looks up and
+    stores its own digests only, whatever came before, and an item that arrives late is still told from its
+    earlier copy.  Of a micro-batch's copies the first by ``ord`` is kept, nulls first, as in the batch form (D3).
+    Copies are first reduced where they are read, so that a text in a third of all rows reaches its key as a row per
+    Arrow batch.  The file sink and the state share the checkpoint: a restart neither loses nor repeats a record.
+    Returns the progress of the micro-batches.
+    """
+    stream = _files(spark, max_files).option("wholetext", whole_files).text(landed)
+    rec = item_records(feed_items(stream)).where(F.length("text") > 0).withColumn("text_digest", F.sha2("text", 256))
+    fresh = (rec.mapInPandas(_firsts, _RECORD).groupBy("text_digest")
+             .applyInPandasWithState(_first_unseen, _RECORD, "seen boolean", "append", "NoTimeout"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        return run_available(fresh, out, checkpoint)
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
