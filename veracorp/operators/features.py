@@ -137,34 +137,8 @@ def query_vectors(queries: DataFrame, idf: DataFrame, text: str, variant: str,
     return w
 
 
-def cosine_top_k(qvec: DataFrame, dvec: DataFrame, k: int, q_id: str = "query_id",
-                 d_id: str = "doc_id", fill_docs: DataFrame | None = None,
-                 query_ids: DataFrame | None = None) -> DataFrame:                          # F7 / V5
-    """Top-k documents per query by dot product of unit vectors.
-
-    Query terms join the postings on term (an equi-join; AQE turns it into a
-    broadcast when the query side is small and splits hot terms otherwise),
-    scores are partially aggregated per (query, doc) before the shuffle, and the
-    per-query top-k uses a partial WindowGroupLimit.  When ``fill_docs`` is
-    given, queries with fewer than k matching docs are filled with score-0 docs
-    (lowest ids first), so every query returns exactly k rows.
-    """
-    q = qvec.select(F.col(q_id), "term", F.col("weight").alias("qw"))
-    d = dvec.select(F.col(d_id), "term", F.col("weight").alias("dw"))
-    # A request batch is bounded (<= 100 texts), so its term table is small: when a
-    # count confirms it, broadcast it and stream the postings (no shuffle of the
-    # postings, and a hot term cannot pile into one reducer); otherwise leave the
-    # join to AQE (runtime broadcast or skew split).
-    q = broadcast_if_small(q)
-    scores = d.join(q, "term").groupBy(q_id, d_id).agg(F.sum(F.col("qw") * F.col("dw")).alias("score"))
-    if fill_docs is not None:
-        # candidates with score 0: the 2k lowest doc ids (at most 40 ids for k <= 20,
-        # a bounded list), minus docs the query already scored
-        low = [r[0] for r in fill_docs.select(d_id).orderBy(d_id).limit(2 * k).collect()]
-        qids = query_ids if query_ids is not None else qvec.select(q_id).distinct()
-        lows = qids.select(
-            q_id, F.explode(F.array(*[F.lit(v) for v in low])).alias(d_id))
-        zeros = lows.join(scores.select(q_id, d_id), [q_id, d_id], "left_anti").withColumn("score", F.lit(0.0))
-        scores = scores.unionByName(zeros)
-    w = Window.partitionBy(q_id).orderBy(F.desc(F.round("score", 9)), F.asc(d_id))
-    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def cosine_product(qvec: DataFrame, dvec: DataFrame, q_id: str = "query_id", d_id: str = "doc_id") -> DataFrame:   # F7
+    """Every (query, doc, score) that share a term: the plain product, which ``retrieval`` answers without."""
+    q = broadcast_if_small(qvec.select(F.col(q_id), "term", F.col("weight").alias("qw")))
+    return (dvec.select(F.col(d_id), "term", F.col("weight").alias("dw")).join(q, "term")
+            .groupBy(q_id, d_id).agg(F.sum(F.col("qw") * F.col("dw")).alias("score")))

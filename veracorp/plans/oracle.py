@@ -373,6 +373,6 @@ SELECT (SELECT count(*) FROM processed) AS n_docs, (SELECT count(*) FROM idf) AS
 FROM wts"""
 
 SQL["V5_retrieve_similar"] = _retrieval_sql(
-    f"qs AS (SELECT item_id AS query_id, {clean('text')} AS cleaned_text FROM benchmark)",
+    f"qs AS (SELECT item_id AS query_id, {clean('text')} AS cleaned_text FROM benchmark WHERE length(text) BETWEEN {L.TEXT_MIN_CHARS} AND {L.TEXT_MAX_CHARS})",
     L.TOP_K_DEFAULT, "similarity_score, p.source_id AS source, p.label",
     "JOIN processed p ON p.doc_id = top.doc_id")

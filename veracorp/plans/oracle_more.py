@@ -86,7 +86,7 @@ SELECT request_id,
   array_to_string(list_filter(t, lambda x: list_contains({_CS}, lower(x))), ' ') AS removed_stopwords
 FROM (SELECT item_id AS request_id,
         list_filter(regexp_split_to_array({_clean('text')}, '[{_P.WS_CHARS}]+'), lambda x: x <> '') AS t
-      FROM benchmark)"""
+      FROM benchmark WHERE length(text) BETWEEN {_L.TEXT_MIN_CHARS} AND {_L.TEXT_MAX_CHARS})"""
 
 SQL["V6_request_validation"] = """
 SELECT conv_id * 1000 + turn AS request_id, reason IS NULL AS accepted, reason FROM (

@@ -17,8 +17,10 @@ from veracorp.functions import lexicon as L
 from veracorp.functions import text as T
 from veracorp.operators import corpus as C
 from veracorp.operators import features as FE
+from veracorp.operators import retrieval as R
+from veracorp.operators.inference import accepted
 from veracorp.plans.base import combined, processed, raw, round6
-from veracorp.session import cut_lineage
+from veracorp.session import cut_lineage, shared_dir, source_key
 from veracorp.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -389,8 +391,9 @@ def q_f7(spark, sf):
     w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000, materialize=True)
     queries = C.first_rows(p, 10).select(F.col("doc_id").alias("query_id"), "cleaned_text")
     qv = FE.query_vectors(queries, idf, "cleaned_text", "sublinear")
-    top = FE.cosine_top_k(qv, w, 3, fill_docs=p, query_ids=queries.select("query_id"))
-    return top.select("query_id", _long("rank").alias("rank"), "doc_id", round6("score").alias("score"))
+    top = cut_lineage(R.ImpactIndex.build(cut_lineage(w)).top_k(qv, 3))
+    out = R.filled(top, queries.select("query_id"), p, 3)
+    return out.select("query_id", _long("rank").alias("rank"), "doc_id", round6("score").alias("score"))
 
 
 @query("F15_sparsity")
@@ -403,14 +406,26 @@ def q_f15(spark, sf):
                                        round6("sparsity").alias("sparsity"))
 
 
+def retrieval_bundle(spark, sf) -> str:
+    """Folder of the retrieval index over these tables (idf, blocks, terms, documents); built where it is not there yet."""
+    root = shared_dir(spark, "retrieval-" + source_key(spark, sf), unique=False)
+    if not R.ImpactIndex.saved(spark, root):
+        p = cut_lineage(processed(spark, sf))
+        w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000, materialize=True)
+        idf.write.mode("overwrite").parquet(f"{root}/idf")
+        p.select("doc_id", F.col("source_id").alias("source"), "label").write.mode("overwrite").parquet(f"{root}/documents")
+        R.ImpactIndex.build(cut_lineage(w)).save(root)      # its terms are written last
+    return root
+
+
 @query("V5_retrieve_similar")
 def q_v5(spark, sf):
-    p = cut_lineage(processed(spark, sf))
-    w, idf = FE.tfidf(p, "cleaned_text", "sublinear", 5000, materialize=True)
-    bench = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
-                                                 T.clean_text(F.col("text")).alias("cleaned_text"))
-    qv = FE.query_vectors(bench, idf, "cleaned_text", "sublinear")
-    top = FE.cosine_top_k(qv, w, L.TOP_K_DEFAULT, fill_docs=p, query_ids=bench.select("query_id"))
-    return (top.join(p.select("doc_id", F.col("source_id").alias("source"), "label"), "doc_id")
-            .select("query_id", _long("rank").alias("rank"), "doc_id", round6("score").alias("similarity_score"),
-                    "source", "label"))
+    root = retrieval_bundle(spark, sf)
+    docs = spark.read.parquet(f"{root}/documents")
+    asked = accepted(table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text"))            # V6
+    asked = asked.select("query_id", T.clean_text(F.col("text")).alias("cleaned_text"))
+    qv = FE.query_vectors(asked, spark.read.parquet(f"{root}/idf"), "cleaned_text", "sublinear")
+    top = cut_lineage(R.ImpactIndex.load(spark, root).top_k(qv, L.TOP_K_DEFAULT))
+    top = R.filled(top, asked.select("query_id"), docs, L.TOP_K_DEFAULT)
+    return (top.join(docs, "doc_id")
+            .select("query_id", _long("rank").alias("rank"), "doc_id", round6("score").alias("similarity_score"), "source", "label"))

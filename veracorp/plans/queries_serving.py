@@ -35,14 +35,14 @@ def _requests(spark, sf):
 
 @query("V1_preprocess")
 def q_v1(spark, sf):
-    p = INF.preprocess(_requests(spark, sf))
+    p = INF.preprocess(INF.accepted(_requests(spark, sf)))
     return p.select("request_id", T.join_tokens("tokens").alias("tokens"),
                     T.join_tokens("removed_stopwords").alias("removed_stopwords"))
 
 
 @query("V1_preprocess_clean_split")
 def q_v1s(spark, sf):
-    p = INF.preprocess(_requests(spark, sf), steps=("clean", "stopwords"))
+    p = INF.preprocess(INF.accepted(_requests(spark, sf)), steps=("clean", "stopwords"))
     return p.select("request_id", T.join_tokens("tokens").alias("tokens"),
                     T.join_tokens("removed_stopwords").alias("removed_stopwords"))
 
