@@ -18,21 +18,17 @@ from collections.abc import Sequence
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, PolynomialExpansion, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from veracorp.operators.vectors import sparse_vector
+
 ELASTIC = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}
 TOL = 1e-4          # the reference solver's default stopping tolerance
 
 
-@F.udf(VectorUDT())
-def _sparse(size, idx, val):
-    # small per-row helper: MLlib needs a vector object; all weights are computed in the JVM
-    return SparseVector(size, idx, val)
-
-
 def vocabulary_index(idf: DataFrame) -> DataFrame:
     """(term, idx): alphabetical order, like the reference's feature names."""
     return idf.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"))
@@ -45,8 +41,7 @@ def to_vectors(weights: DataFrame, index: DataFrame, docs: DataFrame, size: int,
             .groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e")))
     d = docs.select(id_col, label).join(rows, id_col, "left")
     e = F.coalesce(F.col("_e"), F.array().cast("array<struct<idx:int,weight:double>>"))
-    return d.select(id_col, label, _sparse(F.lit(size), F.transform(e, lambda x: x["idx"].cast("int")),
-                                           F.transform(e, lambda x: x["weight"])).alias("features"))
+    return d.select(id_col, label, sparse_vector(size, F.transform(e, lambda x: x["idx"]), F.transform(e, lambda x: x["weight"])).alias("features"))
 
 
 def balanced_binary_weight(df: DataFrame, target: str) -> DataFrame:

@@ -13,6 +13,8 @@ from veracorp.operators import features as FE
 from veracorp.operators import inference as INF
 from veracorp.operators import linear as LN
 from veracorp.operators import metrics as ME
+from veracorp.operators import retrieval as R
+from veracorp.operators import serving as SV
 from veracorp.plans.base import processed, round6
 from veracorp.session import cut_lineage, shared_dir, source_key
 
@@ -169,16 +171,17 @@ def q_m11(spark, sf):
 
 @query("M16_serving_bundle")
 def q_m16(spark, sf):
-    """Write the serving bundle (vocabulary/idf, coefficients, retrieval postings, metadata) and list it."""
+    """Write the serving bundle (vocabulary/idf, coefficients, the ML pipeline, retrieval index, metadata) and list it."""
     ctx = lr_context(spark, sf)
     best = q_m14(spark, sf).first()
     reg = best["best_regularization"]
     models = LN.fit_ovr(ctx["train"], ctx["classes"], reg)
     root = shared_dir(spark, "bundle")
+    SV.classifier_pipeline(ctx, models).write().overwrite().save(f"{root}/pipeline")
     INF.Classifier.fitted(ctx, models).save(root)
     p = processed(spark, sf)
     w, _ = FE.tfidf(p, "cleaned_text", "sublinear", vocab=ctx["idf"])
-    w.repartition(F.col("doc_id")).write.mode("overwrite").parquet(f"{root}/postings")
+    R.ImpactIndex.build(cut_lineage(w)).save(f"{root}/retrieval")
     p.select("doc_id", "text", "cleaned_text", "label", "source_id").write.mode("overwrite").parquet(f"{root}/corpus")
     n_sources = p.agg(F.count_distinct("source_id")).first()[0]
     meta = spark.createDataFrame(

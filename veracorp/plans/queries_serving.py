@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from veracorp.functions import text as T
 from veracorp.operators import inference as INF
 from veracorp.operators import linear as LN
+from veracorp.operators import serving as SV
 from veracorp.operators.lake import path_exists
 from veracorp.plans.base import combined, processed, round6
 from veracorp.plans.queries_ml import lr_context
@@ -61,21 +63,28 @@ def q_v6b(spark, sf):
 
 
 def saved_bundle(spark, sf) -> str:
-    """Folder of the bundle fitted to these tables; fitted and saved where it is not there yet."""
+    """Folder of the bundle fitted to these tables; fitted and saved where it is not there yet.
+    It holds the classifier as an ML pipeline and, for explanations, as tables."""
     root = shared_dir(spark, "bundle-" + source_key(spark, sf), unique=False)
     if not path_exists(spark, f"{root}/intercepts/_SUCCESS"):          # the part that is written last
         ctx = lr_context(spark, sf)
-        INF.Classifier.fitted(ctx, LN.fit_ovr(ctx["train"], ctx["classes"], "l2")).save(root)
+        models = LN.fit_ovr(ctx["train"], ctx["classes"], "l2")
+        SV.classifier_pipeline(ctx, models).write().overwrite().save(f"{root}/pipeline")
+        INF.Classifier.fitted(ctx, models).save(root)
     return root
 
 
+def _pipeline(spark, sf) -> PipelineModel:
+    return PipelineModel.load(f"{saved_bundle(spark, sf)}/pipeline")
+
+
 def _classifier(spark, sf):
     return INF.Classifier.load(spark, saved_bundle(spark, sf))
 
 
 @query("V2_classify")
 def q_v2(spark, sf):
-    r = _classifier(spark, sf).classify(_requests(spark, sf))
+    r = _pipeline(spark, sf).transform(INF.accepted(_requests(spark, sf)))
     return r.select("request_id", "prediction", round6("confidence").alias("confidence"),
                     F.to_json("class_probabilities").alias("class_probabilities"))
 
@@ -88,7 +97,7 @@ def q_v3(spark, sf):
 
 @query("V4_classify_batch")
 def q_v4(spark, sf):
-    r = _classifier(spark, sf).classify(_requests(spark, sf))
+    r = _pipeline(spark, sf).transform(INF.accepted(_requests(spark, sf)))
     return r.groupBy("prediction").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -114,7 +123,7 @@ def q_st1(spark, sf):
 
 @query("ST2_scoring_stream")
 def q_st2(spark, sf):
-    clf = _classifier(spark, sf)
+    clf = _pipeline(spark, sf)
     landed = _land_docs(spark, sf)
     out = shared_dir(spark, "st2")
     ST.scoring_stream(spark, clf, landed, DOC_SCHEMA, f"{out}/data", f"{out}/_checkpoint")

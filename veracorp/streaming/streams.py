@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import json
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracorp.operators.inference import Classifier, preprocess
+from veracorp.operators.inference import accepted, preprocess
 from veracorp.sources.feeds import feed_items, item_records
 
 
@@ -39,20 +40,13 @@ def preprocess_stream(spark: SparkSession, landed: str, schema: str, out: str, c
                            F.array_join("removed_stopwords", " ").alias("removed_stopwords")), out, checkpoint)
 
 
-def scoring_stream(spark: SparkSession, clf: Classifier, landed: str, schema: str, out: str,
+def scoring_stream(spark: SparkSession, model: PipelineModel, landed: str, schema: str, out: str,
                    checkpoint: str, max_files: int | None = None) -> None:                         # ST2
-    """Micro-batches scored with the fitted classifier; foreachBatch writes each epoch once
-    (the epoch id is part of the output, so a replayed epoch overwrites its own partition)."""
+    """Requests that pass validation, scored by the saved pipeline: row by row, so the stream has no state
+    and the file sink writes every request once."""
     src = _files(spark, max_files).schema(schema).parquet(landed)
-
-    def score(batch: DataFrame, epoch: int) -> None:
-        r = clf.classify(batch.select(F.col("doc_id").alias("request_id"), "text"))
-        (r.select("request_id", "prediction", "confidence", F.lit(epoch).alias("epoch"))
-         .write.mode("overwrite").parquet(f"{out}/epoch={epoch}"))
-
-    q = (src.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    scored = model.transform(accepted(src.select(F.col("doc_id").alias("request_id"), "text")))
+    run_available(scored.select("request_id", "prediction", "confidence"), out, checkpoint)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
