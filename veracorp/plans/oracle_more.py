@@ -118,6 +118,12 @@ SELECT CAST(probe AS BIGINT) AS label, rank, vec_id, round(similarity, 6) AS sim
   SELECT *, row_number() OVER (PARTITION BY probe ORDER BY similarity DESC NULLS LAST, vec_id) AS rank FROM sim)
 WHERE rank <= 5"""
 
+SQL["F10_vector_neighbours"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+s AS (SELECT p.vec_id, q.vec_id AS neighbour, list_cosine_similarity(p.v, q.v) AS s FROM v p JOIN v q ON p.vec_id % 20 = 0 AND p.vec_id <> q.vec_id)
+SELECT vec_id, rank, neighbour, round(s, 6) AS similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, neighbour) AS rank FROM s) WHERE rank <= 5"""
+
 SQL["F11_pair_similarity"] = """
 WITH ex AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS pos
             FROM embeddings),

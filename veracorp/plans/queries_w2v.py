@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from veracorp.functions import text as T
 from veracorp.operators import corpus as C
 from veracorp.operators import embeddings as EM
+from veracorp.operators.neighbours import IvfIndex
 from veracorp.operators import features as FE
 from veracorp.operators import linear as LN
 from veracorp.operators import metrics as ME
@@ -83,6 +84,16 @@ def q_f10c(spark, sf):
                     round6("similarity").alias("similarity"))
 
 
+@query("F10_vector_neighbours")
+def q_f10v(spark, sf):
+    """Five nearest vectors of every vector whose id is divisible by 20, through the inverted file."""
+    e = _emb(spark, sf)
+    probes = e.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("probe"), F.col("vector").alias("pvec"))
+    n = IvfIndex.build(e, "vec_id").search(probes, 5, exact=True)
+    return n.select(F.col("probe").alias("vec_id"), _L("rank").alias("rank"), F.col("key").alias("neighbour"),
+                    round6("similarity").alias("similarity"))
+
+
 @query("F11_pair_similarity")
 def q_f11(spark, sf):
     e = _emb(spark, sf)
