@@ -91,9 +91,10 @@ def whitespace_tokens(col) -> Column:              # T14
 
 # Treebank-style rules (T12).  A published rule set (spacing out punctuation,
 # brackets, quotes and clitics) applied as one regexp chain, then split on
-# whitespace.  Sentence splitting is approximated by separating a period that
-# ends a word before whitespace.  Documented as an approximation.
-_TREEBANK_RULES = (
+# whitespace.  They are meant for one sentence; ``operators.sentences`` splits
+# texts into sentences first.  Row-wise uses without a corpus (requests, streams)
+# take the whole text as one and separate each period that ends a word.
+TREEBANK_RULES = (
     (r'^"', "``"),
     (r"(``)", " $1 "),
     (r'([ (\[{<])("|\'\')', "$1 `` "),
@@ -102,7 +103,6 @@ _TREEBANK_RULES = (
     (r"\.\.\.", " ... "),
     (r"[;@#$%&]", " $0 "),
     (r"([^.])(\.)([\]\)}>\"']*)[" + P.WS_CHARS + r"]*$", "$1 $2$3 "),
-    (r"([^.\p{Lu}])(\.)([" + P.WS_CHARS + r"])", "$1 $2$3"),
     (r"[?!]", " $0 "),
     (r"([^'])' ", "$1 ' "),
     (r"[\]\[\(\)\{\}<>]", " $0 "),
@@ -118,19 +118,37 @@ _TREEBANK_RULES = (
     (r"(?i)\b(got)(ta)\b", " $1 $2 "),
     (r"(?i)\b(lem)(me)\b", " $1 $2 "),
     (r"(?i)\b(more)('n)\b", " $1 $2 "),
-    (r"(?i)\b(wan)(na)(?=\s)", " $1 $2 "),
+    (r"(?i)\b(wan)(na)[" + P.WS_CHARS + "]", " $1 $2 "),
     (r"(?i) ('t)(is)\b", " $1 $2 "),
     (r"(?i) ('t)(was)\b", " $1 $2 "),
 )
 
 
-def treebank_tokens(col) -> Column:                # T12 (approximation)
-    c = F.concat(F.lit(" "), _c(col), F.lit(" "))
-    for pat, rep in _TREEBANK_RULES:
+# Stands before the question marks: a period after a small letter or mark, before white space.
+_INNER_PERIOD = (r"([^.\p{Lu}])(\.)([" + P.WS_CHARS + r"])", "$1 $2$3")
+_PERIOD_RULE_AT = next(i for i, (pattern, _) in enumerate(TREEBANK_RULES) if pattern == r"[?!]")
+
+
+def _split_by(rules, col: Column) -> Column:
+    c = F.concat(F.lit(" "), col, F.lit(" "))
+    for pat, rep in rules:
         c = F.regexp_replace(c, pat, rep)
     return F.filter(F.split(F.trim(c), P.WS_RUN), lambda t: t != "")
 
 
+def treebank_sentence_tokens(col) -> Column:       # T12, one sentence
+    return _split_by(TREEBANK_RULES, _c(col))
+
+
+def treebank_rules_for_texts():
+    """The rules for a whole text that is not split into sentences."""
+    return (*TREEBANK_RULES[:_PERIOD_RULE_AT], _INNER_PERIOD, *TREEBANK_RULES[_PERIOD_RULE_AT:])
+
+
+def treebank_tokens(col) -> Column:                # T12 without sentences
+    return _split_by(treebank_rules_for_texts(), _c(col))
+
+
 # --- stopwords (T17, T18) and token filters ---------------------------------
 
 def stopword_list(custom: bool) -> Sequence[str]:

@@ -9,7 +9,9 @@ from veracorp.functions import lexicon as L
 from veracorp.functions import text as T
 from veracorp.operators import corpus as C
 from veracorp.operators import experiments as EX
+from veracorp.operators import keywords as KW
 from veracorp.operators import normalize as NZ
+from veracorp.operators import sentences as SE
 from veracorp.operators import tokenizers as TK
 from veracorp.operators.lake import path_exists
 from veracorp.plans.base import processed, round6
@@ -37,6 +39,31 @@ def q_t12(spark, sf):
     return p.select("doc_id", _L(F.size("_t")).alias("n_tokens"), T.join_tokens("_t").alias("tokens"))
 
 
+@query("T12_abbreviations")
+def q_t12a(spark, sf):
+    a = SE.abbreviation_scores(table(spark, sf, "documents"))
+    return a.select("type", "with_period", "without_period", round6("score").alias("score"))
+
+
+@query("T12_sentence_tokens")
+def q_t12s(spark, sf):
+    """Sentences and their tokens over the whole documents, with the abbreviations of the same corpus."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    known = SE.abbreviations(docs)
+    d = docs.select("doc_id", SE.sentences(F.col("text"), known).alias("s"))
+    d = d.select("doc_id", "s", F.flatten(F.transform("s", T.treebank_sentence_tokens)).alias("t"))
+    return d.select("doc_id", _L(F.size("s")).alias("n_sentences"), _L(F.size("t")).alias("n_tokens"), F.md5(F.array_join("s", "\n")).alias("sentences_md5"),
+                    F.md5(T.join_tokens("t")).alias("tokens_md5"))
+
+
+@query("T27_keyword_table")
+def q_t27t(spark, sf):
+    """Documents by the benchmark's words that they hold, as substrings."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("keyword"))
+    m = KW.keyword_matches(table(spark, sf, "documents"), words)
+    return m.select("doc_id", _L(F.size("keywords")).alias("n_keywords"), F.md5(F.array_join("keywords", " ")).alias("keywords_md5"))
+
+
 @query("T15_tokenizer_comparison")
 def q_t15(spark, sf):
     p = cut_lineage(processed(spark, sf))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = ("queries", "queries_lm", "queries_models", "queries_ml", "queries_more", "queries_lake", "queries_io",
            "queries_w2v", "queries_serving", "stages")
-ORACLE_MODULES = ("oracle", "oracle_lm", "oracle_models", "oracle_more")
+ORACLE_MODULES = ("oracle", "oracle_lm", "oracle_models", "oracle_more", "oracle_text")
 
 
 def all_queries() -> dict:
