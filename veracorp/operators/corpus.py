@@ -13,6 +13,7 @@ from veracorp.functions import lexicon as L
 from veracorp.functions.text import clean_text, strip_edges
 from veracorp.operators.selection import (class_counts, flag_first_per_group, hash_key,
                                           largest_remainder_quota)
+from veracorp.session import broadcast_if_small, cut_lineage
 
 
 # --- P: label mapping, year, filters -------------------------------------------
@@ -43,23 +44,27 @@ def require_min_rows(df: DataFrame, min_samples: int) -> DataFrame:        # P6
 def dedup_first(df: DataFrame, text: str = "text",
                 order: tuple[str, ...] = ("source_rank", "row_ord")) -> DataFrame:    # D2 / D3
     """Keep one row of every distinct ``text``: the first by ``order``, nulls first; of
-    rows of equal order the one whose columns come first.
-
-    Only digests and order keys are aggregated, with partial aggregation, so a text
-    copied into a third of all rows reaches its reducer as one row per map task.  The
-    digests and keys of rows that are not first are then anti-joined: rows move only if
-    the losing keys are too many to be broadcast by size.  Texts are sorted only where
-    several rows share text and order key.  A struct key compares its null fields as equal.
+    rows of equal order the one that comes first as JSON.
+
+    A first pass aggregates digests and order keys alone, with partial aggregation, and stages
+    the first key of each text that occurs more than once.  That table is measured: if it is small it is
+    broadcast, and the pass over the rows then neither shuffles nor sorts a text; only beyond the bound do
+    rows meet it by a shuffle of their digests.  A text copied into a third of all rows is one row of the
+    table.  Rows that share text and first key are few; they are reduced apart, and only where there are any.
+    A struct key compares its null fields as equal.  ``df`` is read twice, so pass a scan or a staged table.
     """
-    rows = df.select("*", F.coalesce(F.md5(F.col(text)), F.lit("")).alias("_h"), F.struct(*order).alias("_o"))
+    rows = df.select("*", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_h"), F.struct(*order).alias("_o"))
     counts = rows.groupBy("_h", "_o").agg(F.count(F.lit(1)).alias("_n"))
-    first = counts.groupBy("_h").agg(F.min(F.struct("_o", "_n")).alias("_first"), F.sum("_n").alias("_all")).where("_all > 1")
-    gone = (counts.select("_h", "_o").join(first, "_h")
-            .where((F.col("_o") > F.col("_first._o")) | (F.col("_first._n") > 1)).select("_h", "_o"))
-    tied = first.where("_first._n > 1").select("_h", F.col("_first._o").alias("_o"))
-    one = (rows.join(tied, ["_h", "_o"], "left_semi").groupBy("_h")
-           .agg(F.min(F.struct(*df.columns)).alias("_row")).select("_row.*"))
-    return rows.join(gone, ["_h", "_o"], "left_anti").select(*df.columns).unionByName(one)
+    first = (counts.groupBy("_h").agg(F.min(F.struct("_o", "_n")).alias("_m"), F.sum("_n").alias("_all")).where("_all > 1")
+             .select("_h", F.col("_m._o").alias("_first"), (F.col("_m._n") > 1).alias("_tied")))
+    first = cut_lineage(first)
+    found = rows.join(broadcast_if_small(first, materialize=False), "_h", "left")
+    out = found.where(F.col("_first").isNull() | (F.col("_o") == F.col("_first")) & ~F.col("_tied")).select(*df.columns)
+    if not first.where("_tied").isEmpty():
+        row = F.struct(*df.columns)
+        tied = found.where(F.col("_tied") & (F.col("_o") == F.col("_first"))).groupBy("_h").agg(F.min_by(row, F.to_json(row)).alias("_row"))
+        out = out.unionByName(tied.select("_row.*"))
+    return out
 
 
 def combine(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from veracorp.functions.lexicon import KN_DISCOUNT, LM_END, LM_PROB_FLOOR, LM_START
 from veracorp.functions.text import whitespace_tokens
-from veracorp.session import BROADCAST_ROWS, cut_lineage
+from veracorp.session import BROADCAST_BYTES, cut_lineage, measured_bytes
 
 
 def lm_tokens(text: str | Column = "text") -> Column:
@@ -80,7 +80,7 @@ class NGramModel:
         # When a count shows the held-out n-gram table to be small, its keys are broadcast
         # to filter the model tables map-side (semi joins) before they are joined.
         g = cut_lineage(g)
-        if g.count() <= BROADCAST_ROWS:
+        if measured_bytes(g)[1] <= BROADCAST_BYTES:
             counts = counts.join(F.broadcast(g.select("ngram").distinct()), "ngram", "left_semi")
             ctx = ctx.join(F.broadcast(g.select("ctx").distinct()), "ctx", "left_semi")
             tok = tok.join(F.broadcast(g.select("tok").distinct()), "tok", "left_semi")

@@ -92,20 +92,37 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-# Size bound (rows) for broadcasting a side whose size is checked at run time.
-BROADCAST_ROWS = 2_000_000
+# Size bound for broadcasting a side whose size is measured at run time.
+BROADCAST_BYTES = 128 << 20
 
 
-def broadcast_if_small(df, max_rows: int = BROADCAST_ROWS, materialize: bool = True):
-    """Broadcast ``df`` when a count proves it small; otherwise leave the join to AQE
+def measured_bytes(df) -> tuple[int, int]:
+    """(rows, bytes) of a materialised table, in one aggregate: numbers at their width, strings, binaries, arrays and
+    maps at what they hold."""
+    from pyspark.sql import functions as F
+    size, fixed = F.lit(0), 0
+    for field in df.schema:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.octet_length(F.to_json(F.struct(F.col(field.name))))
+        else:
+            fixed += 8
+    rows, held = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return rows, (held or 0) + rows * (fixed + 32)
+
+
+def broadcast_if_small(df, max_bytes: int = BROADCAST_BYTES, materialize: bool = True):
+    """Broadcast ``df`` when its measured size is small; otherwise leave the join to AQE
     (runtime broadcast or skew-partition splitting).  Used for vocabulary-sized
     tables joined to token occurrences, where a hot token would otherwise pile
     its occurrences into one reducer.  ``materialize`` checkpoints the table
-    first so the count and the join do not compute it twice."""
+    first so the measuring and the join do not compute it twice."""
     from pyspark.sql import functions as F
     if materialize:
         df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if measured_bytes(df)[1] <= max_bytes else df
 
 
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
