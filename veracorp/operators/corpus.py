@@ -72,13 +72,13 @@ def combine(df: DataFrame) -> DataFrame:
     return dedup_first(canonical_filter(df))
 
 
-def duplicate_stats(before: DataFrame, after: DataFrame) -> DataFrame:    # D2 rate
-    """initial / final size and duplicate rate (%); the final size is a scalar from one count."""
-    final = after.count()
-    return before.agg(F.count(F.lit(1)).alias("initial_size")).select(
-        "initial_size", F.lit(final).cast("long").alias("final_size"),
-        F.when(F.col("initial_size") > 0, (F.col("initial_size") - F.lit(final)) / F.col("initial_size") * 100.0)
-        .otherwise(0.0).alias("duplicate_rate"))
+def duplicate_stats(df: DataFrame, text: str = "text") -> DataFrame:    # D2 rate
+    """initial / final size and duplicate rate (%) of keep-first dedup: one aggregate over digests, no row is deduplicated for it."""
+    groups = df.groupBy(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("initial_size"), F.count(F.lit(1)).alias("final_size"))
+    return sizes.select("initial_size", "final_size",
+                        F.when(F.col("initial_size") > 0, (F.col("initial_size") - F.col("final_size")) / F.col("initial_size") * 100.0)
+                        .otherwise(0.0).alias("duplicate_rate"))
 
 
 def with_hash_order(df: DataFrame, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
@@ -193,7 +193,7 @@ def corpus_summary(before: DataFrame, after: DataFrame) -> DataFrame:     # A1 (
                   F.count_distinct("label").alias("num_classes"),
                   F.count_distinct("source_id").alias("num_sources"),
                   F.avg(F.length("text")).alias("avg_text_length"))
-    d = duplicate_stats(before, after).first()          # one row of scalars
+    d = duplicate_stats(before).first()          # one row of scalars
     return a.select("*", F.lit(d["initial_size"]).cast("long").alias("initial_size"),
                     F.lit(float(d["duplicate_rate"])).alias("duplicate_rate"))
 

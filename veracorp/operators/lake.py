@@ -4,29 +4,60 @@ Every upload writes ``<root>/<key>/version=<ts>-<uid>/`` and appends one row
 to the ``<root>/_manifest`` Parquet table (key, versioned_key, file_path,
 timestamp, size_bytes, hash, metadata map).  Versions are unique (the
 reference's same-second overwrite is fixed) and lookups are manifest filters.
-The content hash is an order-insensitive table digest, so it is computed by a
-distributed aggregate rather than by re-reading files on the driver.
+The content hash is an order-insensitive table digest, taken with the row count and the
+profiles while the version is written, so an upload is one pass over the data.  Each version
+also keeps the sha256 of its files and their Merkle root: a changed byte is found and its file named.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veracorp.operators.observed import observed_write
+
 MANIFEST_SCHEMA = ("key string, versioned_key string, file_path string, timestamp string, size_bytes long, "
-                   "hash string, row_count long, metadata map<string,string>, format string")
+                   "hash string, row_count long, metadata map<string,string>, format string, files_root string")
+FILES_SCHEMA = "versioned_key string, file string, length long, sha256 string"
 
 
-def table_digest(df: DataFrame) -> DataFrame:                                    # L9
-    """(row_count, digest): sum of 64-bit row hashes as a decimal, independent of row order.
-    The hash covers which columns are null, as xxhash64 alone passes over nulls."""
+def _row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row; it covers which columns are null, as xxhash64 alone passes over nulls."""
     nulls = [F.col(c).isNull() for c in df.columns]
-    h = F.xxhash64(*nulls, *[F.col(c) for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("digest"))
+    return F.xxhash64(*nulls, *[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+
+
+def table_digest(df: DataFrame) -> DataFrame:                                    # L9
+    """(row_count, digest): sum of 64-bit row hashes as a decimal, independent of row order."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(_row_hash(df)), F.lit(0)).cast("string").alias("digest"))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:                  # L9
+    """(file, length, sha256) of every data file below ``path``, by its name there.  A task holds one file at a time, so
+    a file must fit a binary value (2 GB); Spark's writers stay far below."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    # both names without their scheme; a loaded file stands alone
+    plain = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    root = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+    name = F.when(plain.startswith(root + "/"), F.substring(plain, len(root) + 2, 2**31 - 1)).otherwise(F.substring_index(plain, "/", -1))
+    return files.select(name.alias("file"), "length", F.sha2("content", 256).alias("sha256"))
+
+
+def files_root(digests: DataFrame) -> str:
+    """Merkle root over (file, sha256): nodes are named by the first digits of a hash of the file's name (65,536, then
+    256 groups), so that no group grows beyond a share of the files, and a node is the hash of its children by name."""
+    def node(children: Column) -> Column:
+        return F.sha2(F.array_join(F.transform(F.sort_array(children), lambda x: F.concat(x["name"], F.lit(":"), x["h"], F.lit(";"))), ""), 256)
+    level = digests.select(F.sha2("file", 256).alias("at"), F.col("file").alias("name"), F.col("sha256").alias("h"))
+    for digits in (4, 2):
+        level = level.groupBy(F.substring("at", 1, digits).alias("at")).agg(node(F.collect_list(F.struct("name", "h"))).alias("h")).select("at", F.col("at").alias("name"), "h")
+    return level.agg(node(F.collect_list(F.struct("name", "h"))).alias("root")).first()["root"]
 
 
 def path_size(spark: SparkSession, path: str) -> int:
@@ -51,26 +82,47 @@ class Lake:
         self.manifest_path = f"{self.root}/_manifest"
 
     # --- L1 ------------------------------------------------------------------
-    def upload(self, key: str, data: DataFrame | dict, metadata: dict | None = None) -> dict:
+    def upload(self, key: str, data: DataFrame | dict, metadata: dict | None = None, measures: dict[str, Column] | None = None,
+               describe: Callable[[dict], dict] | None = None) -> dict:
+        """Write a new version.  ``measures`` are aggregates taken in the write; ``describe`` turns them into metadata."""
         ts = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H-%M-%S.%f")
         version = f"{ts}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{key}/version={version}"
         if isinstance(data, DataFrame):
-            data.write.mode("errorifexists").parquet(path)
-            stored = self.spark.read.parquet(path)
+            frame, kind = data, "parquet"
         else:
-            stored = self.spark.createDataFrame([(json.dumps(data, default=str, sort_keys=True),)], "payload string")
-            stored.write.mode("errorifexists").json(path)
-            stored = self.spark.read.json(path)
-        dg = table_digest(stored).first()
-        meta = {k: (v if isinstance(v, str) else json.dumps(v, default=str, sort_keys=True))
-                for k, v in (metadata or {}).items()}
+            frame, kind = self.spark.createDataFrame([(json.dumps(data, default=str, sort_keys=True),)], "payload string"), "json"
+        # rows, digest and whatever the caller measures are taken as the rows are written
+        seen = observed_write(frame, lambda d: d.write.mode("errorifexists").format(kind).save(path),
+                              digest=F.coalesce(F.sum(_row_hash(frame)), F.lit(0)).cast("string"), **(measures or {}))
+        files = file_digests(self.spark, path)
+        files.select(F.lit(f"{key}_{version}").alias("versioned_key"), "*").write.mode("append").parquet(f"{self.root}/_files")
+        metadata = {**(metadata or {}), **(describe(seen) if describe else {})}
+        meta = {k: (v if isinstance(v, str) else json.dumps(v, default=str, sort_keys=True)) for k, v in metadata.items()}
         row = {"key": key, "versioned_key": f"{key}_{version}", "file_path": path, "timestamp": version,
-               "size_bytes": path_size(self.spark, path), "hash": dg["digest"], "row_count": int(dg["row_count"]),
-               "metadata": meta, "format": "parquet" if isinstance(data, DataFrame) else "json"}
+               "size_bytes": path_size(self.spark, path), "hash": seen["digest"], "row_count": int(seen["n"]),
+               "metadata": meta, "format": kind, "files_root": files_root(self.files(f"{key}_{version}"))}
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).write.mode("append").parquet(self.manifest_path)
         return row
 
+    # --- L9 ------------------------------------------------------------------
+    def files(self, versioned_key: str) -> DataFrame:
+        """Digests of a version's files as they were written."""
+        return self.spark.read.schema(FILES_SCHEMA).parquet(f"{self.root}/_files").where(F.col("versioned_key") == versioned_key)
+
+    def verify_files(self, key: str, version: str | None = None) -> DataFrame:
+        """(file, status) of the files that are not as they were written: changed, missing or added."""
+        rec = self.version_record(key, version)
+        then = self.files(rec["versioned_key"]).select("file", F.col("sha256").alias("then"))
+        now = file_digests(self.spark, rec["file_path"]).select("file", F.col("sha256").alias("now"))
+        status = F.when(F.col("now").isNull(), "missing").when(F.col("then").isNull(), "added").when(F.col("then") != F.col("now"), "changed")
+        return then.join(now, "file", "full").select("file", status.alias("status")).where("status IS NOT NULL")
+
+    def intact(self, key: str, version: str | None = None) -> bool:
+        """Whether the version's files still give the root in the manifest."""
+        rec = self.version_record(key, version)
+        return files_root(file_digests(self.spark, rec["file_path"])) == rec["files_root"]
+
     def manifest(self) -> DataFrame:
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
 
@@ -95,33 +147,39 @@ class Lake:
 
     # --- L4 / L5 / L6 --------------------------------------------------------
     def upload_raw(self, df: DataFrame, source_name: str, description: str = "") -> dict:
-        prof = raw_profile(df).collect()       # one row per column: bounded by the schema
-        meta = {"source": source_name, "description": description, "row_count": str(prof[0]["row_count"]),
-                "columns": json.dumps(df.columns), "dtypes": json.dumps(dict(df.dtypes)),
-                "missing_values": json.dumps({r["column_name"]: r["null_count"] for r in prof})}
-        info = self.upload(f"raw/{source_name}/dataset", df, meta)
+        nulls = {f"null_{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(df.columns)}
+        meta = {"source": source_name, "description": description, "columns": json.dumps(df.columns), "dtypes": json.dumps(dict(df.dtypes))}
+
+        def describe(seen: dict) -> dict:
+            meta.update(row_count=str(seen["n"]), missing_values=json.dumps({c: seen[f"null_{i}"] for i, c in enumerate(df.columns)}))
+            return meta
+        info = self.upload(f"raw/{source_name}/dataset", df, {}, nulls, describe)
         self.upload(f"raw/{source_name}/metadata", meta | {"memory_usage": info["size_bytes"]})
         return info
 
     def upload_processed(self, df: DataFrame, name: str, vectorizer_type: str = "tfidf",
                          preprocessing_steps=()) -> dict:
-        p = processed_profile(df).first()
         meta = {"name": name, "vectorizer_type": vectorizer_type,
-                "preprocessing_steps": json.dumps(list(preprocessing_steps)), "row_count": str(p["row_count"]),
-                "columns": json.dumps(df.columns),
-                "creation_timestamp": _dt.datetime.now(_dt.timezone.utc).isoformat(),
-                "sparsity": repr(p["sparsity"])}
-        info = self.upload(f"processed/{name}/data", df, meta)
+                "preprocessing_steps": json.dumps(list(preprocessing_steps)), "columns": json.dumps(df.columns),
+                "creation_timestamp": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+
+        def describe(seen: dict) -> dict:
+            cells = seen["n"] * len(df.columns)
+            meta.update(row_count=str(seen["n"]), sparsity=repr(seen["zero_cells"] / cells if cells else None))
+            return meta
+        info = self.upload(f"processed/{name}/data", df, {}, {"zero_cells": _zero_cells(df)}, describe)
         self.upload(f"processed/{name}/metadata", meta)
         return info
 
     def upload_embeddings(self, vectors: DataFrame, name: str, model_type: str = "word2vec",
                           hyperparameters: dict | None = None) -> dict:
-        s = vectors.agg(F.count(F.lit(1)).alias("v"), F.max(F.size("vector")).alias("d")).first()
         meta = {"name": name, "model_type": model_type, "hyperparameters": json.dumps(hyperparameters or {}),
-                "creation_timestamp": _dt.datetime.now(_dt.timezone.utc).isoformat(),
-                "vocab_size": str(s["v"]), "embedding_dim": str(s["d"] or 0)}
-        info = self.upload(f"embeddings/{name}/model", vectors, meta)
+                "creation_timestamp": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+
+        def describe(seen: dict) -> dict:
+            meta.update(vocab_size=str(seen["n"]), embedding_dim=str(seen["dim"] or 0))
+            return meta
+        info = self.upload(f"embeddings/{name}/model", vectors, {}, {"dim": F.max(F.size("vector"))}, describe)
         self.upload(f"embeddings/{name}/metadata", meta)
         return info
 
@@ -150,12 +208,16 @@ def raw_profile(df: DataFrame) -> DataFrame:
         for c, t in df.dtypes])).alias("s")).select("row_count", "s.*")
 
 
-def processed_profile(df: DataFrame) -> DataFrame:                               # L5
-    """Rows, columns and the share of zero cells (numeric columns) over all cells."""
+def _zero_cells(df: DataFrame) -> Column:
     numeric = [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float", "smallint", "tinyint")
                or t.startswith("decimal")]
     zeros = [F.count_if(F.col(c) == 0) for c in numeric]
-    total_zero = sum(zeros[1:], zeros[0]) if zeros else F.lit(0)
+    return sum(zeros[1:], zeros[0]) if zeros else F.count_if(F.lit(False))
+
+
+def processed_profile(df: DataFrame) -> DataFrame:                               # L5
+    """Rows, columns and the share of zero cells (numeric columns) over all cells."""
+    total_zero = _zero_cells(df)
     ncols = len(df.columns)
     return df.agg(F.count(F.lit(1)).alias("row_count"), total_zero.alias("zero_cells")).select(
         "row_count", F.lit(ncols).cast("long").alias("n_columns"), F.col("zero_cells").cast("long").alias("zero_cells"),

@@ -20,7 +20,7 @@ from pyspark.ml.feature import ElementwiseProduct, PolynomialExpansion, Standard
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veracorp.operators.vectors import sparse_vector
@@ -69,6 +69,13 @@ def population_std(df: DataFrame, features: str = "features") -> list[float]:
     return [float(v * (n - 1) / n) ** 0.5 for v in r["variance"].toArray()]
 
 
+def _lean(model):
+    """The model without its training summary: that one holds the session, which tasks cannot be sent once
+    the session has watched an ``Observation``."""
+    model._java_obj.setSummary(SparkSession.getActiveSession()._jvm.scala.Option.empty())
+    return model
+
+
 def fit_ovr(train: DataFrame, classes: Sequence[str], regularization: str = "l2", C: float = 1.0,
             max_iter: int = 1000) -> OneVsRest:
     """One binary model per class, balanced weights, features scaled by their population std."""
@@ -82,7 +89,7 @@ def fit_ovr(train: DataFrame, classes: Sequence[str], regularization: str = "l2"
         lr = LogisticRegression(featuresCol="scaled", labelCol="y", weightCol="weight",
                                 regParam=1.0 / (C * n), elasticNetParam=ELASTIC[regularization],
                                 standardization=False, maxIter=max_iter, tol=TOL, family="binomial")
-        models[cls] = lr.fit(b)
+        models[cls] = _lean(lr.fit(b))
     return models
 
 
@@ -137,7 +144,7 @@ def fit_multinomial(train: DataFrame, C: float = 1.0, balanced: bool = True, sta
     lr = LogisticRegression(featuresCol=features, labelCol="y", weightCol="weight", regParam=1.0 / (C * n),
                             elasticNetParam=0.0, standardization=standardize, maxIter=max_iter, tol=TOL,
                             family="multinomial")
-    return idx, lr.fit(idx.transform(train))
+    return idx, _lean(lr.fit(idx.transform(train)))
 
 
 def multinomial_predict(idx, model, df: DataFrame, id_col: str = "doc_id", features: str = "features") -> DataFrame:

@@ -8,7 +8,9 @@ documents to those tables; one job scores every (document, class) pair.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veracorp.functions.lexicon import KN_DISCOUNT, LM_END, LM_PROB_FLOOR, LM_START
@@ -70,31 +72,47 @@ class NGramModel:
         # the label domain is a handful of classes: a bounded list
         return sorted(r["label"] for r in self.class_stats.select("label").collect())
 
+    def model_tables(self) -> dict[str, DataFrame]:
+        """The model as three wide tables, one row per n-gram, context and token: an array of counts per statistic, one
+        entry per class in order.  With the classes known the aggregates are plain sums, combined map-side."""
+        classes = self.classes()
+
+        def wide(counts: DataFrame, key: str, *values: str) -> DataFrame:
+            sums = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col(v))), F.lit(0)).alias(f"{v}{i}") for v in values for i, c in enumerate(classes)]
+            return counts.groupBy(key).agg(*sums).select(
+                key, *[F.array(*[F.col(f"{v}{i}") for i in range(len(classes))]).alias(v) for v in values])
+        return {"ngram": wide(self.ngram_counts, "ngram", "c"), "ctx": wide(self.ctx_counts, "ctx", "ctot", "n1p"),
+                "tok": wide(self.tok_stats, "tok", "uni", "U")}
+
     def scored_ngrams(self, docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-        """(doc, label, ngram, m, p_laplace_inputs...): every test n-gram against every class."""
+        """(doc, label, ngram, m, counts...): every test n-gram against every class."""
         g = ngrams(docs, self.n, lm_tokens(text), keep=(id_col,))
-        g = g.groupBy(id_col, "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("m"))
-        counts = _by_class(self.ngram_counts, "ngram", "c")
-        ctx = _by_class(self.ctx_counts, "ctx", "ctot", "n1p")
-        tok = _by_class(self.tok_stats, "tok", "uni", "U")
-        # When a count shows the held-out n-gram table to be small, its keys are broadcast
+        g = cut_lineage(g.groupBy(id_col, "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("m")))
+        # When the held-out n-gram table is measured to be small, its keys are broadcast
         # to filter the model tables map-side (semi joins) before they are joined.
-        g = cut_lineage(g)
-        if measured_bytes(g)[1] <= BROADCAST_BYTES:
-            counts = counts.join(F.broadcast(g.select("ngram").distinct()), "ngram", "left_semi")
-            ctx = ctx.join(F.broadcast(g.select("ctx").distinct()), "ctx", "left_semi")
-            tok = tok.join(F.broadcast(g.select("tok").distinct()), "tok", "left_semi")
-        # each table is joined once per test n-gram; the classes (a handful) are spread afterwards
-        stats = [r.asDict() for r in self.class_stats.select("label", "V", "N", "unique_ngrams").collect()]
+        small = measured_bytes(g)[1] <= BROADCAST_BYTES
+        for key, held in self.model_tables().items():
+            if small:
+                held = held.join(F.broadcast(g.select(key).distinct()), key, "left_semi")
+            # each table is joined once per test n-gram; the classes (a handful) are spread afterwards
+            g = g.join(held, key, "left")
+        stats = [r.asDict() for r in self.class_stats.select("label", "V", "N", "unique_ngrams").orderBy("label").collect()]
         per_class = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("label", "V", "N", "unique_ngrams")]) for r in stats])
-        g = (g.join(counts, "ngram", "left").join(ctx, "ctx", "left").join(tok, "tok", "left")
-             .select("*", F.explode(per_class).alias("cls")))
-
-        def of(column, name):
-            return F.coalesce(F.try_element_at(column, F.col("cls.label"))[name], F.lit(0)).alias(name)
-
-        return g.select(id_col, "ngram", "ctx", "tok", "m", "cls.*", of("by_ngram", "c"), of("by_ctx", "ctot"), of("by_ctx", "n1p"),
-                        of("by_tok", "uni"), of("by_tok", "U"))
+        g = g.select("*", F.posexplode(per_class).alias("_i", "cls"))
+        counts = [F.coalesce(F.get(c, F.col("_i")), F.lit(0)).alias(c) for c in ("c", "ctot", "n1p", "uni", "U")]
+        return g.select(id_col, "ngram", "ctx", "tok", "m", "cls.*", *counts)
+
+    def save(self, root: str) -> None:
+        """Write the model for scoring: each wide table bucketed and sorted by its key, then the class statistics."""
+        spark = self.ngram_counts.sparkSession
+        buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        for key, held in self.model_tables().items():
+            name = _table_name(root, key)
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            (held.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", f"{root}/{key}")
+             .format("parquet").saveAsTable(name))
+        meta = self.class_stats.withColumn("model_order", F.lit(self.n)).withColumn("buckets", F.lit(buckets))
+        meta.coalesce(1).write.mode("overwrite").parquet(f"{root}/classes")       # a row per class, written last
 
     def probability(self, method: str = "kneser-ney", k: float = 1.0) -> Column:
         c, C, V, N = F.col("c"), F.col("ctot"), F.col("V"), F.col("N")
@@ -135,10 +153,28 @@ class NGramModel:
                 .where(F.col("rank") <= top_n))
 
 
-def _by_class(counts: DataFrame, key: str, *values: str) -> DataFrame:
-    """One row per ``key`` with a map from class to its counts."""
-    entry = F.struct("label", F.struct(*values))
-    return counts.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias(f"by_{key}"))
+def _table_name(root: str, key: str) -> str:
+    return f"lm_{hashlib.md5(root.encode()).hexdigest()[:16]}_{key}"
+
+
+class SavedNGramModel(NGramModel):
+    """A model that ``save`` wrote.  Its tables are read by bucket, so a scoring batch is shuffled to them and
+    the model itself never moves, whatever its size."""
+
+    KEYS = {"ngram": "ngram STRING, c ARRAY<BIGINT>", "ctx": "ctx STRING, ctot ARRAY<BIGINT>, n1p ARRAY<BIGINT>",
+            "tok": "tok STRING, uni ARRAY<BIGINT>, U ARRAY<BIGINT>"}
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.class_stats = spark.read.parquet(f"{root}/classes")
+        self.n, buckets = self.class_stats.select("model_order", "buckets").first()
+        for key, columns in self.KEYS.items():
+            # the name belongs to this session; the files are those of the saved model
+            spark.sql(f"""CREATE TABLE IF NOT EXISTS {_table_name(root, key)} ({columns}) USING parquet
+                          CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{root}/{key}'""")
+
+    def model_tables(self) -> dict[str, DataFrame]:
+        return {key: self.spark.table(_table_name(self.root, key)).hint("merge") for key in self.KEYS}
 
 
 def analyze_ngrams(df: DataFrame, orders=(1, 2, 3), min_count: int = 2, text: str = "text") -> DataFrame:   # G11

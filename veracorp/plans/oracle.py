@@ -103,6 +103,10 @@ SELECT event_id, CAST(year(ts) AS BIGINT) AS year FROM events"""
 
 SQL["P5_canonical_filter"] = with_base() + "SELECT doc_id, label, md5(text) AS text_md5 FROM canon_f"
 
+SQL["P6_guarded_write"] = with_base() + """
+SELECT m AS min_samples, n < m AS failed, CASE WHEN n < m THEN 0 ELSE n END AS rows_kept
+FROM (SELECT count(*) AS n FROM combined), (SELECT unnest([1, 1000000000]::BIGINT[]) AS m)"""
+
 SQL["P6_min_rows_check"] = with_base() + """
 SELECT count(*) AS total_samples, CAST(5000 AS BIGINT) AS min_samples, count(*) >= 5000 AS meets_minimum
 FROM combined"""

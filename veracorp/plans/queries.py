@@ -19,6 +19,8 @@ from veracorp.operators import corpus as C
 from veracorp.operators import features as FE
 from veracorp.operators import retrieval as R
 from veracorp.operators.inference import accepted
+from veracorp.operators.lake import path_exists
+from veracorp.operators.observed import TooFewRows, write_guarded
 from veracorp.plans.base import combined, processed, raw, round6
 from veracorp.session import cut_lineage, shared_dir, source_key
 from veracorp.sources.tables import table
@@ -78,6 +80,22 @@ def q_p6(spark, sf):
                     (F.col("total_samples") >= 5000).alias("meets_minimum"))
 
 
+@query("P6_guarded_write")
+def q_p6g(spark, sf):
+    """The guard in the write: a corpus of enough rows stays, a shorter one fails the job and leaves nothing."""
+    docs = cut_lineage(combined(spark, sf).select("doc_id", "label"))
+    rows = []
+    for least in (1, 10**9):
+        path = shared_dir(spark, "guarded") + "/corpus"
+        try:
+            write_guarded(docs, path, least)
+            failed = False
+        except TooFewRows:
+            failed = True
+        rows.append((least, failed, spark.read.parquet(path).count() if path_exists(spark, path) else 0))
+    return spark.createDataFrame(rows, "min_samples long, failed boolean, rows_kept long")
+
+
 # --- D: union, dedup, sampling, balancing ----------------------------------------
 
 @query("D1_union_sources")
@@ -98,7 +116,7 @@ def q_d2(spark, sf):
 @query("D2_duplicate_rate")
 def q_d2r(spark, sf):
     before = C.canonical_filter(raw(spark, sf))
-    return C.duplicate_stats(before, C.dedup_first(before)).select(
+    return C.duplicate_stats(before).select(
         _long("initial_size").alias("initial_size"), _long("final_size").alias("final_size"),
         round6("duplicate_rate").alias("duplicate_rate"))
 

@@ -105,3 +105,12 @@ def q_l8(spark, sf):
 def q_l9(spark, sf):
     d = table(spark, sf, "documents")
     return LK.table_digest(d).select(F.col("row_count").cast("long"), "digest")
+
+
+@query("L9_file_verification")
+def q_l9f(spark, sf):
+    """A version of the documents: its rows, whether its files give the manifest's root, files that differ."""
+    lk = _lake(spark)
+    info = lk.upload("raw/documents/dataset", table(spark, sf, "documents"))
+    return spark.createDataFrame([(info["row_count"], lk.intact("raw/documents/dataset"), lk.verify_files("raw/documents/dataset").count())],
+                                 "row_count long, intact boolean, files_differing long")

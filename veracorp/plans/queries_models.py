@@ -29,20 +29,28 @@ def _L(c):
 
 
 def nb_setup(spark, sf):
-    """Split, train-fitted BoW vocabulary (2+ char tokens, top 5,000), fitted NB."""
-    s = cut_lineage(C.stratified_split(cut_lineage(processed(spark, sf)), test_size=0.2))
+    """Split, train-fitted BoW vocabulary (2+ char tokens, top 5,000), fitted NB, test term occurrences."""
+    p = cut_lineage(processed(spark, sf).select("doc_id", "label", "cleaned_text"))
+    s = cut_lineage(C.stratified_split(p, test_size=0.2))
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    tf_train = FE.term_frequencies(train, word_tokens_2plus(F.col("cleaned_text")))
-    vocab = FE.top_vocabulary(tf_train, 5000)
-    tf_test = FE.restrict_to_vocabulary(FE.term_frequencies(test, word_tokens_2plus(F.col("cleaned_text"))), vocab)
-    vocab = cut_lineage(vocab)            # <= 5,000 rows, reused by fit and transform
-    nb = MultinomialNB(tf_train, train, vocab)
-    return nb, tf_test, test
+    nb = fitted_nb(train)
+    return nb, term_occurrences(test), test
+
+
+def term_occurrences(docs, *carry):
+    return docs.select("doc_id", *carry, F.explode(word_tokens_2plus(F.col("cleaned_text"))).alias("term"))
+
+
+def fitted_nb(train, max_features: int = 5000) -> MultinomialNB:
+    """Counts by class and term in one aggregate; the vocabulary is their top by total."""
+    counts = cut_lineage(term_occurrences(train, "label").groupBy("label", "term").agg(F.count(F.lit(1)).alias("cnt")))
+    vocab = cut_lineage(FE.top_vocabulary(counts.withColumnRenamed("cnt", "tf"), max_features))
+    return MultinomialNB(counts, train.select("doc_id", "label"), vocab)
 
 
 def nb_predictions(spark, sf, alphas=(1.0,)):
-    nb, tf_test, test = nb_setup(spark, sf)
-    return cut_lineage(nb.predict(tf_test, test, alphas)
+    nb, terms, test = nb_setup(spark, sf)
+    return cut_lineage(nb.predict(terms, test, alphas)
                        .join(test.select("doc_id", F.col("label").alias("truth"), "cleaned_text"), "doc_id"))
 
 
@@ -67,8 +75,8 @@ def q_m2(spark, sf):
 
 @query("M2_nb_probabilities")
 def q_m2p(spark, sf):
-    nb, tf_test, test = nb_setup(spark, sf)
-    return nb.predict_proba(tf_test, test).select("doc_id", "label", round6("prob").alias("prob"))
+    nb, terms, test = nb_setup(spark, sf)
+    return nb.predict_proba(terms, test).select("doc_id", "label", round6("prob").alias("prob"))
 
 
 @query("M3_nb_alpha_sweep")
@@ -102,8 +110,8 @@ def q_m7c(spark, sf):
 
 def nb_probabilities(spark, sf):
     """Test posteriors with the truth; several branches read them, so they are materialised once."""
-    nb, tf_test, test = nb_setup(spark, sf)
-    return cut_lineage(nb.predict_proba(tf_test, test).join(test.select("doc_id", F.col("label").alias("truth")), "doc_id"))
+    nb, terms, test = nb_setup(spark, sf)
+    return cut_lineage(nb.predict_proba(terms, test).join(test.select("doc_id", F.col("label").alias("truth")), "doc_id"))
 
 
 @query("M8_nb_roc_auc")
