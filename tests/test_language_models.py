@@ -37,6 +37,7 @@ def test_saved_model_is_never_shuffled(spark):
     NG.NGramModel(train, 2).save(root)
     saved = NG.SavedNGramModel(spark, root)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as for a model of any size
     try:
         for measured in (True, False):      # a small batch, and one beyond the bound
             bound = NG.BROADCAST_BYTES
@@ -60,6 +61,7 @@ def test_saved_model_is_never_shuffled(spark):
                 assert above and "LeftOuter" in above[-1] and not any("Exchange" in x for x in above), plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_model_reopens_under_another_name(spark):

@@ -40,6 +40,11 @@ def ngrams(df: DataFrame, n: int, tokens: Column, keep: tuple[str, ...] = ("doc_
                     F.element_at("_g", n).alias("tok"))
 
 
+def _with_parts(grams: DataFrame, n: int) -> DataFrame:
+    """ctx and tok of each n-gram: tokens hold no space, so they are cut from it after it was counted."""
+    return grams.withColumns({"ctx": F.substring_index("ngram", " ", n - 1) if n > 1 else F.lit(""), "tok": F.substring_index("ngram", " ", -1)})
+
+
 def extract_ngrams(df: DataFrame, n: int, min_count: int = 1, text: str = "text") -> DataFrame:   # G1
     g = ngrams(df, n, lm_tokens(text), keep=())
     return g.groupBy("ngram").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") >= min_count)
@@ -52,7 +57,7 @@ class NGramModel:
                  materialize: bool = True):
         self.n = n
         g = ngrams(train.withColumnRenamed(label, "label"), n, lm_tokens(text), keep=("label",))
-        self.ngram_counts = g.groupBy("label", "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("c"))
+        self.ngram_counts = _with_parts(g.groupBy("label", "ngram").agg(F.count(F.lit(1)).alias("c")), n)
         if materialize:
             self.ngram_counts = cut_lineage(self.ngram_counts)
         # context totals, unigram count of the final token and distinct contexts before it
@@ -87,7 +92,7 @@ class NGramModel:
     def scored_ngrams(self, docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
         """(doc, label, ngram, m, counts...): every test n-gram against every class."""
         g = ngrams(docs, self.n, lm_tokens(text), keep=(id_col,))
-        g = cut_lineage(g.groupBy(id_col, "ngram", "ctx", "tok").agg(F.count(F.lit(1)).alias("m")))
+        g = cut_lineage(_with_parts(g.groupBy(id_col, "ngram").agg(F.count(F.lit(1)).alias("m")), self.n))
         # When the held-out n-gram table is measured to be small, its keys are broadcast
         # to filter the model tables map-side (semi joins) before they are joined.
         small = measured_bytes(g)[1] <= BROADCAST_BYTES
@@ -109,7 +114,8 @@ class NGramModel:
         for key, held in self.model_tables().items():
             name = _table_name(root, key)
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-            (held.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", f"{root}/{key}")
+            # the aggregate has dealt the rows by the key's hash already, so each bucket comes from one task
+            (held.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", f"{root}/{key}")
              .format("parquet").saveAsTable(name))
         meta = self.class_stats.withColumn("model_order", F.lit(self.n)).withColumn("buckets", F.lit(buckets))
         meta.coalesce(1).write.mode("overwrite").parquet(f"{root}/classes")       # a row per class, written last
