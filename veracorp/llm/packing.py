@@ -37,7 +37,7 @@ _loaded: dict[str, WordBpe] = {}
 
 
 def _coder(path: str) -> WordBpe:
-    """The tokenizer of this Python worker."""
+    """The tokenizer of this Python worker; its table of words is bounded arrays of some 15 MB."""
     if path not in _loaded:
         _loaded[path] = WordBpe(path)
     return _loaded[path]
