@@ -24,7 +24,6 @@ FIXED VALUES: the patterns below reproduce the cleaning and tokenising rules.
 #   reference words      [A-Za-z]+(?:'[A-Za-z]+)?
 #   bag-of-words tokens  (?u)\b\w+\b        TF-IDF tokens  (?u)\b\w\w+\b
 #   contractions         \b\w+'\w+\b        lower words  [a-z]+
-#   code-switch words    \b(yaar|acha|nahi|kya|hai|hain|magar|lekin|awam|hukumat)\b
 # Below, the same rules in the engine-neutral dialect (Unicode classes spelled out).
 
 # Characters Python treats as whitespace.

@@ -196,6 +196,6 @@ def marker_words(col, markers: Sequence[str]) -> Column:
 def coalesce_text(cols: Sequence) -> Column:
     """Join the given columns by a space (null -> ''), collapse whitespace, trim."""
     if not cols:
-        raise ValueError("No text columns found.")
+        raise ValueError("none of the configured text columns is present")
     parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]
     return strip_edges(F.regexp_replace(F.concat_ws(" ", *parts), P.WS_RUN, " "))

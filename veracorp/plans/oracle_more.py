@@ -137,7 +137,7 @@ SQL["P4_drop_null_rows"] = with_base() + "SELECT doc_id, label FROM raw WHERE te
 
 SQL["S14_parquet_sink"] = with_base() + "SELECT doc_id, label, md5(cleaned_text) AS cleaned_md5 FROM processed"
 
-from veracorp.plans.oracle import words as _words  # noqa: E402
+from veracorp.plans.oracle import words as _words, words2 as _words2  # noqa: E402
 
 SQL["T10_cleaning_samples"] = with_base(f"""
 s AS (SELECT doc_id, text, {_clean('text')} AS after FROM combined)""") + """
@@ -170,10 +170,22 @@ SQL["M10_polynomial_features"] = with_base(_NB) + """
 SELECT doc_id, CAST(d AS BIGINT) AS degree, CAST(CASE d WHEN 1 THEN 2 WHEN 2 THEN 5 ELSE 9 END AS BIGINT) AS width
 FROM train, (SELECT unnest([1, 2, 3]) AS d) g"""
 
-SQL["F13_concatenated_features"] = with_base(_NB, """
-vocab4k AS (SELECT term FROM tf_tr GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 4000)""") + """
-SELECT s.doc_id, v.n AS tfidf_dim, CAST(200 AS BIGINT) AS w2v_dim, v.n + 200 AS concat_dim
-FROM split s, (SELECT count(*) AS n FROM vocab4k) v"""
+SQL["M10_polynomial_values"] = with_base("""
+m AS (SELECT doc_id, ln(1 + length(cleaned_text)) AS x, ln(1 + len(string_split(cleaned_text, ' '))) AS y FROM processed),
+v AS (SELECT doc_id, 1 AS degree, [x, y] AS v FROM m
+      UNION ALL SELECT doc_id, 2, [x, x * x, y, x * y, y * y] FROM m
+      UNION ALL SELECT doc_id, 3, [x, x * x, x * x * x, y, x * y, x * x * y, y * y, x * y * y, y * y * y] FROM m),
+s AS (SELECT doc_id, degree, list_sort(list_transform(v, lambda e: round(e, 6))) AS v FROM v)""") + """
+SELECT doc_id, CAST(degree AS BIGINT) AS degree, CAST(unnest(generate_series(0, len(v) - 1)) AS BIGINT) AS place, unnest(v) AS value FROM s"""
+
+SQL["F13_concatenated_features"] = with_base(_NB, f"""
+vocab4k AS (SELECT term FROM tf_tr GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 4000),
+idf4k AS (SELECT term, ln((1.0 + (SELECT count(*) FROM train)) / (1.0 + count(*))) + 1.0 AS idf FROM tf_tr WHERE term IN (SELECT term FROM vocab4k) GROUP BY term),
+tf_all AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_words2('cleaned_text')}) AS term FROM split) GROUP BY ALL),
+w4k AS (SELECT doc_id, tf * idf AS w FROM tf_all JOIN idf4k USING (term)),
+sums AS (SELECT doc_id, count(*) AS entries, sum(w) / sqrt(sum(w * w)) AS total FROM w4k GROUP BY doc_id)""") + """
+SELECT s.doc_id, v.n AS tfidf_dim, CAST(200 AS BIGINT) AS w2v_dim, v.n + 200 AS concat_dim, coalesce(entries, 0) AS tfidf_entries, round(coalesce(total, 0.0), 6) AS tfidf_total
+FROM split s LEFT JOIN sums USING (doc_id), (SELECT count(*) AS n FROM vocab4k) v"""
 
 # --- feeds, posts, streams and sinks ------------------------------------------------------
 
@@ -215,7 +227,7 @@ SELECT {_SQ('text')} AS text, '{label}' AS label, '{source}' || key AS source, d
 SQL["S11_search_posts"] = _posts("query", "Fake", "X search: ", "search", "matched a misinformation search query")
 SQL["S12_timeline_posts"] = _posts("handle", "Satire", "X:@", "timeline", "posted by a satire account")
 
-SQL["S13_csv_sink_no_overwrite"] = with_base() + "SELECT count(*) AS rows_written, true AS refused_overwrite FROM combined"
+SQL["S13_csv_sink_no_overwrite"] = with_base() + "SELECT doc_id, label, md5(text) AS text_md5, true AS refused_overwrite FROM combined"
 
 SQL["L3_list_versions"] = with_base() + """
 SELECT 'processed/corpus/data' AS key, CAST(3 AS BIGINT) AS versions, count(*) AS row_count FROM combined

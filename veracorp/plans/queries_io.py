@@ -180,8 +180,8 @@ def q_s13(spark, sf):
         FS.write_table(df, f"{root}/dataset.csv")
     except Exception:  # noqa: BLE001  (AnalysisException: path already exists)
         refused = True
-    n = FS.read_table(spark, f"{root}/dataset.csv", "doc_id long, text string, label string").count()
-    return spark.createDataFrame([(n, refused)], "rows_written long, refused_overwrite boolean")
+    back = FS.read_table(spark, f"{root}/dataset.csv", "doc_id long, text string, label string")
+    return back.select("doc_id", "label", F.md5("text").alias("text_md5"), F.lit(refused).alias("refused_overwrite"))
 
 
 @query("S15_json_report")

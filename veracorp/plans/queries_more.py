@@ -266,3 +266,19 @@ def q_f1s(spark, sf):
     v = vocab.count()
     return FE.sparsity(tf.withColumnRenamed("tf", "weight"), n, v).select(
         "n_docs", "vocab_size", _L("nnz").alias("nnz"), round6("sparsity").alias("sparsity"))
+
+
+@query("M10_polynomial_values")
+def q_m10v(spark, sf):
+    """Degrees 1 to 3 over two measures of every document (logs of its characters and words): the expanded values."""
+    from pyspark.ml.feature import PolynomialExpansion
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    d = processed(spark, sf).select("doc_id", F.array(F.log1p(F.length("cleaned_text")), F.log1p(F.size(F.split("cleaned_text", " ")))).alias("xy"))
+    d = cut_lineage(d.withColumn("xy", array_to_vector("xy")))
+    out = None
+    for degree in (1, 2, 3):
+        x = PolynomialExpansion(degree=degree, inputCol="xy", outputCol="poly").transform(d)
+        part = x.select("doc_id", F.lit(degree).cast("long").alias("degree"),
+                        F.posexplode(F.sort_array(F.transform(vector_to_array("poly"), lambda v: F.round(v, 6)))).alias("place", "value"))
+        out = part if out is None else out.unionByName(part)
+    return out.select("doc_id", "degree", _L("place").alias("place"), "value")

@@ -137,11 +137,14 @@ def _families(spark, sf):
 
 @query("F13_concatenated_features")
 def q_f13(spark, sf):
+    """Widths of each part, and the TF-IDF entries as they stand at the front of the concatenation."""
     f = _families(spark, sf)
-    def size(c):
-        return F.size(vector_to_array(c)).cast("long")
-    return f["train"].unionByName(f["test"]).select("doc_id", size("tfidf").alias("tfidf_dim"),
-                                                    size("w2v").alias("w2v_dim"), size("concat").alias("concat_dim"))
+    both = f["train"].unionByName(f["test"])
+    sizes = both.select("doc_id", F.size(vector_to_array("tfidf")).alias("n"), F.size(vector_to_array("w2v")).alias("m"), vector_to_array("concat").alias("c"))
+    front = F.slice("c", 1, F.col("n"))
+    return sizes.select("doc_id", _L("n").alias("tfidf_dim"), _L("m").alias("w2v_dim"), _L(F.size("c")).alias("concat_dim"),
+                        _L(F.size(F.filter(front, lambda x: x != 0))).alias("tfidf_entries"),
+                        round6(F.aggregate(front, F.lit(0.0), lambda t, x: t + x)).alias("tfidf_total"))
 
 
 @query("F14_feature_family_comparison")
