@@ -120,3 +120,6 @@ SELECT run, stage, CASE WHEN stage = 'models' THEN 'skipped' WHEN run = 1 OR (ru
 FROM (SELECT count(*) AS n FROM combined), (SELECT unnest([1, 2, 3]) AS run), (SELECT unnest(['corpus', 'nlp', 'storage', 'ngram', 'models']) AS stage)"""
 
 SQL["L9_file_verification"] = "SELECT count(*) AS row_count, true AS intact, CAST(0 AS BIGINT) AS files_differing FROM documents"
+
+SQL["E1_apply_config_without_normaliser"] = with_base(f"c AS (SELECT doc_id, label, {treebank(clean('cleaned_text'))} AS t FROM processed)") + f"""
+SELECT doc_id, label, array_to_string({_kept('t')}, ' ') AS doc_text FROM c"""

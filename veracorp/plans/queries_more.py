@@ -127,6 +127,11 @@ def ablation_runs(spark, sf):
     return EX.run_ablation(spark, docs, path)
 
 
+@query("E1_apply_config_without_normaliser")
+def q_e1p(spark, sf):
+    return EX.apply_config(processed(spark, sf), L.ABLATION_GRID[1]).select("doc_id", "label", "doc_text")
+
+
 @query("E1_apply_config")
 def q_e1(spark, sf):
     cfg = L.ABLATION_GRID[4]          # custom stopwords, lemma rules, min length 3
