@@ -114,8 +114,9 @@ def pieces(docs: DataFrame, spec: Spec) -> DataFrame:
 
 
 def candidates(docs: DataFrame, spec: Spec) -> DataFrame:
-    """Pieces whose anchor occurs again, in another piece or in the same."""
-    found = pieces(docs, spec)
+    """Pieces whose anchor occurs again, in another piece or in the same.  Pieces are staged, so that
+    the texts are gone through once and the count reads two of their columns."""
+    found = stage(pieces(docs, spec), "all-pieces")
     shared = (found.groupBy("anchor").agg(F.count("*").alias("rows"), F.max("again").alias("again"))
               .where("rows > 1 OR again").select("anchor"))
     return found.join(shared, "anchor")
