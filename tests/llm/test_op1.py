@@ -91,3 +91,30 @@ def test_rare_toxic_words_enter_beside_a_frequent_one():
     for word, bad in (("moron", True), ("loweiru", True), ("word7", False)):
         bag = T.bags([f"word1 {word} word2.".encode()])
         assert (model.sentences(bag)[0] >= model.bias + 1) == bad, word
+
+
+def test_scores_against_a_plain_rescoring_sentence_by_sentence(spark):
+    """Noisy-or over sentence probabilities, feature by feature in Python, and a located sentence for every predicted text."""
+    rows = corpus(300)
+    model = T.fit([t.encode() for _, t, _ in rows], np.array([y for *_, y in rows]))
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    texts = [t for _, t, _ in corpus(60, seed=9)] + ["", "moron", "Word1 moron. scumbag! word2"]
+    got = {r.row.doc_id: r for r in T.score(docs_df(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        bag = T.bags([text.encode()])
+        keep, located = 1.0, []
+        for s in range(len(bag.start)):
+            z = model.bias + sum(weight.get(f, 0.0) for f, own in zip(bag.feature.tolist(), bag.sentence.tolist()) if own == s)
+            p = 1 / (1 + np.exp(-z))
+            keep *= 1 - p
+            located.append(p)
+        assert abs(got[i].score - (1 - keep)) < 1e-9
+        if got[i].score >= 0.5:
+            assert got[i].offending and abs(max(s.score for s in got[i].offending) - max(located)) < 1e-9
+        assert sum(p >= 0.5 for p in located) <= len(got[i].offending) <= max(1, sum(p >= 0.5 for p in located))
+
+
+def test_texts_of_weak_sentences_alone_report_the_strongest():
+    logits, first = np.array([-0.5, -0.2, -0.9, 3.0, -5.0]), np.array([0, 3, 5, 5])
+    score = T.noisy_or(logits, first)
+    assert score[0] > 0.5 and T._located(logits, score, first).tolist() == [False, True, False, True, False]

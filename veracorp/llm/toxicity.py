@@ -200,6 +200,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(texts, y)
 
 
+def _located(logits: np.ndarray, score: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which sentences are reported: those that score 0.5 or more, and of a text that reaches 0.5 by several weaker ones the strongest."""
+    bad = logits >= 0
+    for t in np.flatnonzero(score >= 0.5):
+        a, b = first[t], first[t + 1]
+        if b > a and not bad[a:b].any():
+            bad[a + logits[a:b].argmax()] = True
+    return bad
+
+
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -209,7 +219,7 @@ def _score(shared):
                 bag = bags(texts[lo:hi])
                 logits = model.sentences(bag)
                 score = noisy_or(logits, bag.first)
-                bad = logits >= 0
+                bad = _located(logits, score, bag.first)
                 spans = [[(len(t[:bag.start[s]].decode()), len(t[:bag.end[s]].decode()), float(_sigmoid(logits[s])))
                           for s in np.flatnonzero(bad[a:b]) + a]
                          for t, a, b in zip(texts[lo:hi], bag.first[:-1], bag.first[1:])]
@@ -224,7 +234,8 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Struct ``row`` (all columns of ``docs``), score, offending (spans of sentences that score 0.5 or more, in code points)."""
+    """Struct ``row`` (all columns of ``docs``), score, offending (spans in code points of the sentences that score 0.5 or more;
+    of a text that reaches 0.5 by weaker ones, the strongest)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*docs.columns).alias("row"), whole_text().alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
