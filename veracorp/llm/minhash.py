@@ -37,6 +37,7 @@ from veracorp.llm import hashing as H
 from veracorp.llm.common import documents, stage, whole_text
 
 ROWS, BANDS = 6, 45
+HOT_SHARE = 1000
 K = ROWS * BANDS
 BITS, PLANE_WORDS = 4, 4          # 256 of the K minima are packed
 SIGMAS = 6
@@ -204,6 +205,17 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "rid", F.coalesce("found", "comp").alias("comp"))
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (rid, comp) after new ``links`` (a, b): components run over the labels that the links join, so a
+    round costs what its own links cost, whatever was linked before."""
+    ends = links.join(labels.select(F.col("rid").alias("a"), F.col("comp").alias("ca")), "a").join(
+        labels.select(F.col("rid").alias("b"), F.col("comp").alias("cb")), "b")
+    edges = stage(ends.where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "contracted")
+    touched = edges.select(F.col("a").alias("rid")).unionByName(edges.select(F.col("b").alias("rid"))).distinct()
+    moved = components(touched, edges).select(F.col("rid").alias("comp"), F.col("comp").alias("into"))
+    return labels.join(moved, "comp", "left").select("rid", F.coalesce("into", "comp").alias("comp"))
+
+
 def _between(placed: DataFrame, reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links between rows of a bucket that lie in different components.  The join condition
     tests components, sizes, estimate, that this bucket is the first the pair shares, and
@@ -223,8 +235,15 @@ def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 4) ->
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     signed = stage(signatures(docs, width), "signatures")
     identity = ["id0", "id1", "n"]
-    classes = signed.where("n > 0").groupBy(*identity).agg(F.min("doc_id").alias("rid")).where("rid IS NOT NULL")
-    members = stage(signed.select("doc_id", *identity).join(classes, identity, "left"), "classes")
+    sized = signed.where("n > 0").groupBy(*identity).agg(F.min("doc_id").alias("rid"), F.count("*").alias("rows")).where("rid IS NOT NULL")
+    sized = stage(sized, "identities")
+    classes = sized.select(*identity, "rid")
+    # rows of a large exact group meet their class by a broadcast: at most HOT_SHARE sets have so many rows
+    hot = F.col("rows") >= max(2, -(-signed.count() // HOT_SHARE))
+    named = signed.select("doc_id", *identity)
+    large = F.broadcast(sized.where(hot).select(*identity, "rid"))
+    members = stage(named.join(large, identity).unionByName(
+        named.join(large.select(*identity), identity, "left_anti").join(sized.where(~hot).select(*identity, "rid"), identity, "left")), "classes")
     reps = stage(signed.where("n > 0").join(classes.select(F.col("rid").alias("doc_id")), "doc_id", "left_semi")
                  .dropDuplicates(["doc_id", "id0", "id1"]).select(F.col("doc_id").alias("rid"), "n", "bands", "planes"), "representatives")
     bucket = reps.select("rid", F.explode("bands").alias("key"))
@@ -237,7 +256,7 @@ def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 4) ->
         return facts.select(F.col("rid").alias(name), F.col("n").alias(f"n_{name}"), F.col("planes").alias(f"planes_{name}"))
 
     nodes = reps.select("rid").distinct()
-    links = tried = None
+    tried = None
     labels = nodes.select("rid", F.col("rid").alias("comp"))
     for turn in range(STAR_ROUNDS + 1):
         placed = rows.join(labels, "rid")
@@ -245,6 +264,9 @@ def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 4) ->
         open_keys = (placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                                                F.min(F.struct(rank.alias("rank"), "rid", "comp")).alias("lead"))
                      .where("low < high"))
+        open_keys = stage(open_keys, "open-buckets")
+        if open_keys.isEmpty():
+            break
         placed = placed.join(open_keys.select("key", F.col("lead.rid").alias("leader"), F.col("lead.comp").alias("leader_comp")), "key")
         if turn < STAR_ROUNDS:
             found = (placed.where(F.col("comp") != F.col("leader_comp"))
@@ -255,9 +277,8 @@ def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 4) ->
             sure = stage(confirm(sets, found, threshold), "links")
         else:
             sure = stage(_between(placed.select("key", "rid", "comp"), reps, sets, threshold), "links")
-        if sure.limit(1).count():
-            links = sure if links is None else links.unionByName(sure)
-            labels = stage(components(nodes, links), "components")
+        if not sure.isEmpty():
+            labels = stage(merged(labels, sure), "components")
     out = members.join(labels, "rid", "left")
     component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
