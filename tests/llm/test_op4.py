@@ -2,6 +2,9 @@ import hashlib
 import random
 from dataclasses import replace
 
+import numpy as np
+import pandas as pd
+
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import write_docs
 from veracorp.llm import suffix_dedup as S
@@ -73,3 +76,23 @@ def test_suffix_array_against_sorting():
     cases += [[rng.randrange(a) for _ in range(rng.randrange(1, 60))] for a in (1, 2, 3, 5, 30) for _ in range(80)]
     for t in cases:
         assert list(S.suffix_array(t)) == sorted(range(len(t)), key=lambda i: t[i:])
+
+
+def test_equal_windows_come_from_the_suffix_order_not_from_hashes(monkeypatch):
+    """A shard solved with a hash that gives every window the same value."""
+    rng = random.Random(3)
+    shared = [bytes(rng.choices(b"abc", k=130)) for _ in range(3)]
+    parts = [bytes(rng.choices(b"abcd", k=rng.randint(100, 260))) + rng.choice(shared) + bytes(rng.choices(b"ab", k=rng.randint(0, 40))) for _ in range(12)]
+    group = pd.DataFrame({"anchor": 1, "phash": range(12), "doc": range(12), "th": 0, "start": 0, "n": [len(p) - S.WIDTH + 1 for p in parts], "part": parts})
+
+    def windows(frame):
+        return {(p, lo + i): (r["doc"], r["start"] + i) for p, runs in zip(frame["phash"], frame["runs"]) for r in runs
+                for lo in [r["lo"]] for i in range(r["hi"] - r["lo"])}
+    want = {}
+    for d, p in enumerate(parts):
+        for i in range(len(p) - S.WIDTH + 1):
+            w = p[i:i + S.WIDTH]
+            want[d, i] = next((e, q.find(w)) for e, q in enumerate(parts) if w in q)
+    assert windows(S._solve(None, group)) == want
+    monkeypatch.setattr(S.H, "grams", lambda sums, k: np.zeros(len(sums) - k, np.uint64))
+    assert windows(S._solve(None, group)) == want

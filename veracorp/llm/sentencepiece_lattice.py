@@ -102,19 +102,19 @@ def _bpe(edges: DataFrame, pieces: Pieces) -> DataFrame:
     merges them.  The cuts between pieces are the bits of a number.  As a piece scores worse
     than the pieces it is made of, an edge that does not join two pieces when its turn
     comes never will."""
-    rows = edges.select("unit", "n", F.expr("""array_sort(transform(filter(edges, e -> e.l > 1),
-                            e -> named_struct('rank', -e.score, 's', e.s, 'e', e.s + e.l)))""").alias("steps"),
-                        F.expr("map_from_entries(transform(filter(edges, e -> e.l > 0), e -> struct(e.s * 64 + e.s + e.l, e.id)))").alias("ids"))
+    steps = """sort_array(transform(filter(edges, e -> e.l > 1), e -> named_struct('rank', -e.score, 's', e.s, 'e', e.s + e.l)))"""
+    known = "map_from_entries(transform(filter(edges, e -> e.l > 0), e -> struct(e.s * 64 + e.s + e.l, e.id)))"
     between = "(shiftleft(1L, e.e) - shiftleft(2L, e.s))"
     ends = "shiftright(m, e.s) & shiftright(m, e.e) & 1L"
-    fold = f"""aggregate(steps, shiftleft(2L, length(unit)) - 1L,
+    fold = f"""aggregate({steps}, shiftleft(2L, length(unit)) - 1L,
                (m, e) -> if(({ends}) = 1L AND bit_count(m & {between}) = 1, m & ~{between}, m))"""
-    rows = rows.select("unit", "n", "ids", F.expr(fold).alias("m"))
-    rows = rows.select("unit", "n", "ids", F.expr("filter(sequence(0, length(unit)), i -> (shiftright(m, i) & 1L) = 1L)").alias("b"))
     own = _BYTES.format(c="substring(unit, b[i] + 1, 1)", first=pieces.first_byte)
-    out = f"""flatten(transform(sequence(0, size(b) - 2), i -> transform(array(try_element_at(ids, b[i] * 64 + b[i + 1])),
-              x -> if(x IS NULL, {own}, array(x)))[0]))"""
-    return rows.select("unit", "n", F.expr(out).alias("ids"))
+    # values that a lambda uses are bound by a transform over one element: as columns they would be folded once per character
+    out = f"""transform(array(named_struct('m', {fold}, 'ids', {known})), z ->
+              transform(array(filter(sequence(0, length(unit)), i -> (shiftright(z.m, i) & 1L) = 1L)), b ->
+              flatten(transform(sequence(0, size(b) - 2), i -> transform(array(try_element_at(z.ids, b[i] * 64 + b[i + 1])),
+              x -> if(x IS NULL, {own}, array(x)))[0])))[0])[0]"""
+    return edges.select("unit", "n", F.expr(out).alias("ids"))
 
 
 def _viterbi(edges: DataFrame, pieces: Pieces) -> DataFrame:

@@ -117,6 +117,19 @@ def suffix_array(text: list[int]) -> array:
     return order
 
 
+def _alike(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether neighbours in suffix order have a common prefix of WIDTH or more: byte by byte, no hash takes part."""
+    out = np.ones(len(a), bool)
+    left = np.arange(len(a))
+    for at in range(0, WIDTH, 20):      # neighbours that differ early leave early
+        step = np.arange(at, min(at + 20, WIDTH))
+        for lo in range(0, len(left), 1 << 16):
+            some = left[lo:lo + (1 << 16)]
+            out[some] = (data[a[some][:, None] + step] == data[b[some][:, None] + step]).all(axis=1)
+        left = left[out[left]]
+    return out
+
+
 def _groups_of_windows(runs: list[bytes]) -> list[np.ndarray]:
     """For each of the distinct strings, a number per window: equal windows, equal numbers."""
     sizes = np.array([len(r) for r in runs])
@@ -128,9 +141,8 @@ def _groups_of_windows(runs: list[bytes]) -> list[np.ndarray]:
     owner = np.repeat(np.arange(len(runs)), sizes + 1)[:len(data)]
     whole = np.arange(len(data)) - begin[owner] + WIDTH <= sizes[owner]        # a window starts here
     order = order[whole[order]]
-    windows = H.grams(H.prefix(data), WIDTH)
     number = np.zeros(len(data), np.int64)
-    number[order] = np.cumsum(np.concatenate([[False], windows[order[1:]] != windows[order[:-1]]]))
+    number[order] = np.cumsum(np.concatenate([[False], ~_alike(data, order[:-1], order[1:])]))
     return [number[a:a + n - WIDTH + 1] for a, n in zip(begin.tolist(), sizes.tolist())]
 
 
@@ -138,7 +150,8 @@ def _solve(key, group: pd.DataFrame) -> pd.DataFrame:
     """RUNS of one shard: for each piece, where its windows occur first.
 
     Windows whose hash is unique in the shard occur nowhere else.  The maximal runs of
-    the others, equal ones once, make the text whose suffixes are sorted."""
+    the others, equal ones once, make the text whose suffixes are sorted; there the common
+    prefixes of neighbours decide which windows are equal, so hashes that collide cost time only."""
     parts = group["part"].tolist()
     joined = b"\0".join(parts)
     sizes = np.array([len(p) for p in parts])
