@@ -66,28 +66,32 @@ class NGramModel:
                                                                         F.count(F.lit(1)).alias("n1p"))
         self.tok_stats = self.ngram_counts.groupBy("label", "tok").agg(F.sum("c").alias("uni"),
                                                                         F.count(F.lit(1)).alias("U"))
+        self.training_documents = train.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("training_documents"))
         self.class_stats = (self.tok_stats.groupBy("label")
                             .agg(F.count(F.lit(1)).alias("V"), F.sum("uni").alias("N"))
                             .join(self.ngram_counts.groupBy("label").agg(F.count(F.lit(1)).alias("unique_ngrams")),
                                   "label")
-                            .join(train.groupBy(F.col(label).alias("label"))
-                                  .agg(F.count(F.lit(1)).alias("training_documents")), "label"))
+                            .join(self.training_documents, "label"))
 
     def classes(self) -> list[str]:
         # the label domain is a handful of classes: a bounded list
-        return sorted(r["label"] for r in self.class_stats.select("label").collect())
+        return sorted(r["label"] for r in self.training_documents.select("label").collect())
 
     def model_tables(self) -> dict[str, DataFrame]:
         """The model as three wide tables, one row per n-gram, context and token: an array of counts per statistic, one
         entry per class in order.  With the classes known the aggregates are plain sums, combined map-side."""
         classes = self.classes()
 
-        def wide(counts: DataFrame, key: str, *values: str) -> DataFrame:
-            sums = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col(v))), F.lit(0)).alias(f"{v}{i}") for v in values for i, c in enumerate(classes)]
-            return counts.groupBy(key).agg(*sums).select(
-                key, *[F.array(*[F.col(f"{v}{i}") for i in range(len(classes))]).alias(v) for v in values])
-        return {"ngram": wide(self.ngram_counts, "ngram", "c"), "ctx": wide(self.ctx_counts, "ctx", "ctot", "n1p"),
-                "tok": wide(self.tok_stats, "tok", "uni", "U")}
+        def wide(key: str, **measures) -> DataFrame:
+            """``measures``: an aggregate of the n-gram rows of one class, by name."""
+            cells = [made(F.col("label") == c).alias(f"{name}{i}") for name, made in measures.items() for i, c in enumerate(classes)]
+            return self.ngram_counts.groupBy(key).agg(*cells).select(
+                key, *[F.array(*[F.col(f"{name}{i}") for i in range(len(classes))]).alias(name) for name in measures])
+
+        def total(of_class: Column) -> Column:
+            return F.sum(F.when(of_class, F.col("c")).otherwise(0))
+
+        return {"ngram": wide("ngram", c=total), "ctx": wide("ctx", ctot=total, n1p=F.count_if), "tok": wide("tok", uni=total, U=F.count_if)}
 
     def scored_ngrams(self, docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
         """(doc, label, ngram, m, counts...): every test n-gram against every class."""
@@ -117,7 +121,13 @@ class NGramModel:
             # the aggregate has dealt the rows by the key's hash already, so each bucket comes from one task
             (held.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", f"{root}/{key}")
              .format("parquet").saveAsTable(name))
-        meta = self.class_stats.withColumn("model_order", F.lit(self.n)).withColumn("buckets", F.lit(buckets))
+        # class statistics are sums over the token table, which holds every class
+        classes = self.classes()
+        sums = spark.table(_table_name(root, "tok")).agg(F.array(*[
+            F.struct(F.lit(c).alias("label"), F.count_if(F.col("uni")[i] > 0).alias("V"), F.coalesce(F.sum(F.col("uni")[i]), F.lit(0)).alias("N"),
+                     F.coalesce(F.sum(F.col("U")[i]), F.lit(0)).alias("unique_ngrams")) for i, c in enumerate(classes)]).alias("s"))
+        meta = (sums.select(F.explode("s").alias("s")).select("s.*").join(self.training_documents, "label")
+                .select("*", F.lit(self.n).alias("model_order"), F.lit(buckets).alias("buckets")))
         meta.coalesce(1).write.mode("overwrite").parquet(f"{root}/classes")       # a row per class, written last
 
     def probability(self, method: str = "kneser-ney", k: float = 1.0) -> Column:
@@ -173,6 +183,7 @@ class SavedNGramModel(NGramModel):
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.class_stats = spark.read.parquet(f"{root}/classes")
+        self.training_documents = self.class_stats
         self.n, buckets = self.class_stats.select("model_order", "buckets").first()
         for key, columns in self.KEYS.items():
             # the name belongs to this session; the files are those of the saved model
