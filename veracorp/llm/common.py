@@ -18,7 +18,16 @@ CRC32_SQL = """xor(4294967295::UBIGINT, list_reduce(
   lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, z: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))))"""
 
 
+# Bytes of an Arrow batch on its way to Python: texts are long, and 10,000 rows of them would fill a task's memory.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -41,6 +50,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     write's shuffle files go as soon as the table is there."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    bound_batches(spark)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracorp.llm import hashing as H
-from veracorp.llm.common import documents, whole_text
+from veracorp.llm.common import bound_batches, documents, whole_text
 
 SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 20_000_000
 MIN_DOCS, MIN_EXCESS = 3, 3.0
@@ -236,6 +236,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Struct ``row`` (all columns of ``docs``), score, offending (spans in code points of the sentences that score 0.5 or more;
     of a text that reaches 0.5 by weaker ones, the strongest)."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*docs.columns).alias("row"), whole_text().alias("text"))
     kind = rows.schema["row"].dataType.simpleString()

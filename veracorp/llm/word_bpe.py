@@ -142,9 +142,8 @@ class WordBpe:
         offset = np.empty(len(starts), np.int64)
         offset[order] = len(self.flat) + np.cumsum(counts[order]) - counts[order]
         self.flat = np.concatenate([self.flat, *flat])
-        known, place, size = np.concatenate([self.known, hashes]), np.concatenate([self.place, offset]), np.concatenate([self.size, counts])
-        by = np.argsort(known, kind="stable")
-        self.known, self.place, self.size = known[by], place[by], size[by]
+        at = np.searchsorted(self.known, hashes)      # both are in order
+        self.known, self.place, self.size = np.insert(self.known, at, hashes), np.insert(self.place, at, offset), np.insert(self.size, at, counts)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text as little-endian 32-bit numbers."""
