@@ -9,6 +9,7 @@ documents to those tables; one job scores every (document, class) pair.
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -151,7 +152,7 @@ class NGramModel:
                    id_col: str = "doc_id", per_doc: bool = True) -> DataFrame:      # G6
         s = self.scored_ngrams(docs, text, id_col)
         p = self.probability(method)
-        lp = F.when(p > 0, F.log(p)).otherwise(F.lit(float(__import__("math").log(LM_PROB_FLOOR))))
+        lp = F.when(p > 0, F.log(p)).otherwise(F.lit(math.log(LM_PROB_FLOOR)))
         s = s.withColumn("_lp", lp * F.col("m"))
         keys = [id_col, "label"] if per_doc else ["label"]
         return s.groupBy(*keys).agg(F.exp(-F.sum("_lp") / F.sum("m")).alias("perplexity"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracorp.functions import lexicon as L
@@ -67,8 +67,7 @@ def stopword_removal(sample: DataFrame, text: str = "cleaned_text") -> DataFrame
         out = part if out is None else out.unionByName(part)
     removed = out.select("stopword_list", F.explode("r").alias("w"))
     uniq = (removed.select("stopword_list", "w").distinct()
-            .withColumn("_rk", F.row_number().over(
-                __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("stopword_list").orderBy("w")))
+            .withColumn("_rk", F.row_number().over(Window.partitionBy("stopword_list").orderBy("w")))
             .where(F.col("_rk") <= 50)
             .groupBy("stopword_list").agg(F.array_join(F.sort_array(F.collect_list("w")), " ").alias("unique_removed")))
     rates = out.groupBy("stopword_list").agg(
