@@ -37,15 +37,16 @@ def lr_context(spark, sf, max_features=5000):
     s = cut_lineage(C.stratified_split(processed(spark, sf), test_size=0.2))
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     n_train = train.count()
-    w_train, idf = FE.tfidf(train, "cleaned_text", "sublinear", max_features, n_docs=n_train)
+    # dealt by document once, so that counting and weighing shuffle no postings; tokenised once
+    w_train, idf = FE.tfidf(train.repartition("doc_id"), "cleaned_text", "sublinear", max_features, n_docs=n_train, materialize=True)
     idf = cut_lineage(idf)
-    w_test, _ = FE.tfidf(test, "cleaned_text", "sublinear", vocab=idf)
+    w_test, _ = FE.tfidf(test.repartition("doc_id"), "cleaned_text", "sublinear", vocab=idf)
     index = cut_lineage(LN.vocabulary_index(idf))
     size = index.count()
     vtr = cut_lineage(LN.to_vectors(w_train, index, train, size))
     vte = cut_lineage(LN.to_vectors(w_test, index, test, size))
-    ltr = cut_lineage(w_train.join(F.broadcast(index), "term").select("doc_id", "idx", "weight"))
-    lte = cut_lineage(w_test.join(F.broadcast(index), "term").select("doc_id", "idx", "weight"))
+    ltr = w_train.join(F.broadcast(index), "term").select("doc_id", "idx", "weight")        # for ``_pca`` alone
+    lte = w_test.join(F.broadcast(index), "term").select("doc_id", "idx", "weight")
     classes = sorted(r["label"] for r in vtr.select("label").distinct().collect())   # label domain
     return {"train": vtr, "test": vte, "index": index, "idf": idf, "classes": classes, "size": size,
             "test_rows": test, "long_train": ltr, "long_test": lte}
@@ -132,7 +133,7 @@ def q_m17(spark, sf):
 
 
 def _pca(ctx):
-    return LN.pca_2d(ctx["long_train"], ctx["long_test"], ctx["train"].select("doc_id", "label"),
+    return LN.pca_2d(cut_lineage(ctx["long_train"]), cut_lineage(ctx["long_test"]), ctx["train"].select("doc_id", "label"),
                      ctx["test"].select("doc_id", "label"), ctx["size"])
 
 
