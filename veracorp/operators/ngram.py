@@ -57,7 +57,7 @@ class NGramModel:
     def __init__(self, train: DataFrame, n: int = 3, text: str = "text", label: str = "label",
                  materialize: bool = True):
         self.n = n
-        g = ngrams(train.withColumnRenamed(label, "label"), n, lm_tokens(text), keep=("label",))
+        self.occurrences = g = ngrams(train.withColumnRenamed(label, "label"), n, lm_tokens(text), keep=("label",)).select("label", "ngram")
         self.ngram_counts = _with_parts(g.groupBy("label", "ngram").agg(F.count(F.lit(1)).alias("c")), n)
         if materialize:
             self.ngram_counts = cut_lineage(self.ngram_counts)
@@ -113,12 +113,35 @@ class NGramModel:
         return g.select(id_col, "ngram", "ctx", "tok", "m", "cls.*", *counts)
 
     def save(self, root: str) -> None:
-        """Write the model for scoring: each wide table bucketed and sorted by its key, then the class statistics."""
+        """Write the model for scoring: each wide table bucketed and sorted by its key, then the class statistics.
+
+        The n-grams of the text are counted into the wide table at once, so they are shuffled a single time and staged
+        nowhere else; contexts and tokens come from that table."""
         spark = self.ngram_counts.sparkSession
         buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        for key, held in self.model_tables().items():
+        classes = range(len(self.classes()))
+
+        def wide(held: DataFrame, key: str, **measures) -> DataFrame:
+            """``measures``: an aggregate for the class at a place, by name."""
+            cells = [made(i).alias(f"{name}{i}") for name, made in measures.items() for i in classes]
+            return held.groupBy(key).agg(*cells).select(key, *[F.array(*[F.col(f"{name}{i}") for i in classes]).alias(name) for name in measures])
+
+        def count(i: int) -> Column:
+            return F.col("c")[i]
+
+        def ngram_table() -> DataFrame:
+            labels = self.classes()
+            return wide(self.occurrences, "ngram", c=lambda i: F.count_if(F.col("label") == labels[i]))
+
+        def part_table(key: str, total: str, distinct: str) -> DataFrame:
+            held = _with_parts(spark.table(_table_name(root, "ngram")), self.n)
+            return wide(held, key, **{total: lambda i: F.sum(count(i)), distinct: lambda i: F.count_if(count(i) > 0)})
+
+        tables = {"ngram": ngram_table, "ctx": lambda: part_table("ctx", "ctot", "n1p"), "tok": lambda: part_table("tok", "uni", "U")}
+        for key, table in tables.items():
             name = _table_name(root, key)
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+            held = table()
             # the aggregate has dealt the rows by the key's hash already, so each bucket comes from one task
             (held.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", f"{root}/{key}")
              .format("parquet").saveAsTable(name))

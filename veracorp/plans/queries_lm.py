@@ -42,7 +42,7 @@ def _saved_model(spark, sf, n=3):
     if not path_exists(spark, f"{root}/classes/_SUCCESS"):
         s = lm_split(spark, sf, C.lm_eval_rows).select("doc_id", "text", "label", "is_test")
         s.write.mode("overwrite").parquet(f"{root}/split")
-        NG.NGramModel(spark.read.parquet(f"{root}/split").where("NOT is_test"), n=n).save(root)
+        NG.NGramModel(spark.read.parquet(f"{root}/split").where("NOT is_test"), n=n, materialize=False).save(root)
     return NG.SavedNGramModel(spark, root), spark.read.parquet(f"{root}/split").where("is_test")
 
 
