@@ -1,10 +1,12 @@
 """Round 3: work that was done more than once, and fits that waited for one another."""
 
+import random
 import threading
 
 from pyspark.sql import functions as F
 
 from veracorp.functions import lexicon as L
+from veracorp.functions import text as T
 from veracorp.operators import experiments as EX
 from veracorp.operators import features as FE
 from veracorp.operators import keywords as KW
@@ -77,3 +79,20 @@ def test_keywords_without_hashes_in_tasks(spark, monkeypatch):
     few = rows()
     monkeypatch.setattr(KW, "IN_TASK", 3)
     assert rows() == few and few[2] == (2, ("abcdefghijklmnop2", "mnop2", "t"))
+
+
+def test_tokens_by_fewer_passes_are_those_of_every_rule(spark):
+    rng = random.Random(3)
+    bits = ["cannot", "Gimme", "gonna", "GOTTA", "lemme", "d'ye", "more'n", "wanna", "'tis", "'Twas", "don't", "we'll", "he's", "'", "''", '"', "``",
+            "...", ".", "?", "!", "--", "-", ":", ",", ";", "@", "(", "]", "<", "9", "a", "É", "é.", " ", "  ", "\n", "\t", "word", "not", "me", "na"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(0, 25))) for _ in range(3000)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    for rules, fast in ((T.TREEBANK_RULES, T.treebank_sentence_tokens), (T.treebank_rules_for_texts(), T.treebank_tokens)):
+        assert len(T._fewer_passes(rules)) < len(rules)
+        c = F.concat(F.lit(" "), F.col("t"), F.lit(" "))
+        for pat, rep in rules:
+            c = F.regexp_replace(c, pat, rep)
+        plain = F.filter(F.split(F.trim(c), T.P.WS_RUN), lambda x: x != "")
+        got = df.select("t", plain.alias("a"), fast(F.col("t")).alias("b"))
+        assert got.where(~F.col("a").eqNullSafe(F.col("b"))).take(3) == []
+        assert got.where(F.col("b").isNull()).count() == 1
