@@ -96,3 +96,20 @@ def test_tokens_by_fewer_passes_are_those_of_every_rule(spark):
         got = df.select("t", plain.alias("a"), fast(F.col("t")).alias("b"))
         assert got.where(~F.col("a").eqNullSafe(F.col("b"))).take(3) == []
         assert got.where(F.col("b").isNull()).count() == 1
+
+
+def test_runs_split_a_staged_table(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def split(df, **_):
+        assert "Aggregate" not in _plan(df) and "Join" not in _plan(df)
+        raise Seen
+
+    docs = spark.createDataFrame([(1, "a", "some words"), (2, "b", "other words")], "doc_id long, label string, cleaned_text string")
+    monkeypatch.setattr(EX.C, "stratified_split", split)
+    try:
+        EX.run_config(docs, L.ABLATION_GRID[0], ["s"])
+    except Seen:
+        return
+    raise AssertionError("the split was not reached")
