@@ -81,3 +81,18 @@ def test_wide_tables_are_plain_sums(spark):
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
     total = m.model_tables()["ngram"].agg(F.sum(F.aggregate("c", F.lit(0).cast("long"), lambda t, x: t + x))).first()[0]
     assert total == m.ngram_counts.agg(F.sum("c")).first()[0]
+
+
+def test_corpus_perplexity_scores_each_ngram_once(spark, monkeypatch):
+    train, test = split(spark)
+    test = test.unionByName(test.withColumn("doc_id", F.col("doc_id") + 10**6))     # every n-gram in two documents at least
+    model = NG.NGramModel(train, 2)
+    s = model.scored_ngrams(test)
+    lp = F.when(model.probability() > 0, F.log(model.probability())).otherwise(F.lit(math.log(NG.LM_PROB_FLOOR)))
+    want = {r.label: r.p for r in s.groupBy("label").agg(F.exp(-F.sum(lp * F.col("m")) / F.sum("m")).alias("p")).collect()}
+    scored = []
+    by = NG.NGramModel.scored_ngrams
+    monkeypatch.setattr(NG.NGramModel, "scored_ngrams", lambda *a, **k: (scored.append(by(*a, **k)), scored[-1])[1])
+    got = {r.label: r.perplexity for r in model.perplexity(test, per_doc=False).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[c], want[c], rel_tol=1e-9) for c in want)
+    assert scored[0].count() == s.select("ngram", "label").distinct().count() < s.count()

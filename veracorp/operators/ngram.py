@@ -94,10 +94,11 @@ class NGramModel:
 
         return {"ngram": wide("ngram", c=total), "ctx": wide("ctx", ctot=total, n1p=F.count_if), "tok": wide("tok", uni=total, U=F.count_if)}
 
-    def scored_ngrams(self, docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-        """(doc, label, ngram, m, counts...): every test n-gram against every class."""
-        g = ngrams(docs, self.n, lm_tokens(text), keep=(id_col,))
-        g = cut_lineage(_with_parts(g.groupBy(id_col, "ngram").agg(F.count(F.lit(1)).alias("m")), self.n))
+    def scored_ngrams(self, docs: DataFrame, text: str = "text", id_col: str | None = "doc_id") -> DataFrame:
+        """(doc, label, ngram, m, counts...): every test n-gram against every class; without ``id_col`` those of all documents together."""
+        keep = [id_col] if id_col else []
+        g = ngrams(docs, self.n, lm_tokens(text), keep=keep)
+        g = cut_lineage(_with_parts(g.groupBy(*keep, "ngram").agg(F.count(F.lit(1)).alias("m")), self.n))
         # When the held-out n-gram table is measured to be small, its keys are broadcast
         # to filter the model tables map-side (semi joins) before they are joined.
         small = measured_bytes(g)[1] <= BROADCAST_BYTES
@@ -110,7 +111,7 @@ class NGramModel:
         per_class = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("label", "V", "N", "unique_ngrams")]) for r in stats])
         g = g.select("*", F.posexplode(per_class).alias("_i", "cls"))
         counts = [F.coalesce(F.get(c, F.col("_i")), F.lit(0)).alias(c) for c in ("c", "ctot", "n1p", "uni", "U")]
-        return g.select(id_col, "ngram", "ctx", "tok", "m", "cls.*", *counts)
+        return g.select(*keep, "ngram", "ctx", "tok", "m", "cls.*", *counts)
 
     def save(self, root: str) -> None:
         """Write the model for scoring: each wide table bucketed and sorted by its key, then the class statistics.
@@ -173,7 +174,7 @@ class NGramModel:
 
     def perplexity(self, docs: DataFrame, method: str = "kneser-ney", text: str = "text",
                    id_col: str = "doc_id", per_doc: bool = True) -> DataFrame:      # G6
-        s = self.scored_ngrams(docs, text, id_col)
+        s = self.scored_ngrams(docs, text, id_col if per_doc else None)
         p = self.probability(method)
         lp = F.when(p > 0, F.log(p)).otherwise(F.lit(math.log(LM_PROB_FLOOR)))
         s = s.withColumn("_lp", lp * F.col("m"))
