@@ -103,3 +103,20 @@ def test_saved_index_answers_alike(spark, tmp_path):
     assert R.ImpactIndex.saved(spark, str(tmp_path))
     assert len(again.top_k(q, 5, plain=0).collect()) == 8 * 5
     assert sorted(map(tuple, index.top_k(q, 5).collect())) == sorted(map(tuple, again.top_k(q, 5).collect()))
+
+
+@pytest.mark.parametrize("plain", [10**9, 0])
+def test_a_task_sums_a_bounded_share_of_the_postings(spark, monkeypatch, plain):
+    index = R.ImpactIndex.build(cut_lineage(table(spark, corpus(150), "doc_id")))
+    asked = table(spark, questions(8), "query_id")
+    want = sorted((r.query_id, r["rank"], r.doc_id) for r in index.top_k(asked, 3, plain=plain).collect())
+    monkeypatch.setattr(R, "SUMMED", 100)
+    sizes, dealt = [], R._dealt
+    monkeypatch.setattr(R, "_dealt", lambda scored, *a: (sizes.append(a[0]), dealt(scored, *a))[1])
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in index.top_k(asked, 3, plain=plain).collect()) == want
+    assert sizes and set(sizes) == {index.full_product(asked)} and sizes[0] > 1000
+    scored = table(spark, questions(8), "query_id").select("query_id", F.length("term").alias("doc"), "weight")
+    sums = dealt(scored, 1000, "query_id", "doc").agg(F.sum("weight").alias("score"))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert "hashpartitioning(query_id" in plan and ", 10), REPARTITION_BY_NUM" in plan
