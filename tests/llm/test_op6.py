@@ -1,10 +1,14 @@
 import random
+import re
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import docs_df, write_docs
+from veracorp.llm import piece_units as U
 from veracorp.llm import sentencepiece_lattice as L
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -111,3 +115,45 @@ def test_query_returns_whole_documents_and_compares_them_with_their_text(spark,
     want = [(str(i), sp.encode((t or "").replace("▁", " ")), "▁" not in (t or "")) for i, t in rows]
     assert sorted((str(g.doc_id), g.ids, g.round_trip) for g in got) == sorted(want)
     assert all(g.n_pieces == len(g.ids) for g in got)
+
+
+def test_documents_are_encoded_where_they_are(spark, tmp_path, monkeypatch):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    monkeypatch.setattr(L, "FREQUENT", 3)
+    rng = random.Random(2)
+    rows = [(i, " ".join("".join(rng.choices("aehinrst.,7é", k=rng.randrange(1, 12))) for _ in range(60))) for i in range(50)]
+    query = L.op6_sentencepiece(spark, write_docs(spark, tmp_path, rows))
+    assert {r.doc_id: r.ids for r in query.collect()} == {i: sp.encode(t) for i, t in rows}
+    assert not re.search(r"Exchange hash|Exchange range|SortMergeJoin", query._jdf.queryExecution().executedPlan().toString())
+
+
+def test_units_are_cut_where_no_piece_holds_the_pair(spark):
+    texts = ["the cat, 12 cats. the", "the 日本 x=1", "", None, "a  b", "y" * 40 + ",the"]
+    units = {r.unit: r.n for r in L.vocabulary(docs_df(spark, list(enumerate(texts))), L.Pieces(PATH)).collect()}
+    assert units["▁the"] == 3 and units["▁cat"] == 1 and units["▁cats"] == 1 and units["2"] == 1 and units["1"] == 2
+    assert not any("," in u and len(u) > 1 for u in units) and max(map(len, units)) <= L.LONGEST
+
+
+def test_documents_in_many_chunks_and_without_rare_units(spark, monkeypatch):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    monkeypatch.setattr(U, "CHUNK", 40)
+    texts = [t or "" for t in HARD] + ["the the the"] * 5 + [f"rare{c} the" for c in "qwxz"]
+    pieces = L.Pieces(PATH)
+    table = U.known_units([(" the", sp.encode("the"))])
+
+    class Held:
+        value = table
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    rows = list(U.cutting(pieces.cut, L.LONGEST, Held, lambda words: sp.encode(words))([batch]))
+    assert sum(len(r) for r in rows if r.column("k").null_count == len(r) and len(r)) == len(texts)
+    assert len(rows) > 10
+    for far, own in zip(rows[::2], rows[1::2], strict=True):
+        assert far.column("k").to_pylist() == list(range(len(far)))
+        units = far.column("unit").to_pylist()
+        for text, code in zip(own.column("text").to_pylist(), own.column("code").to_pylist(), strict=True):
+            numbers = np.frombuffer(code, np.int32).tolist()
+            parts = [i if i >= 0 else units[-2 - i] for i in numbers[:-1]]
+            assert numbers[-1] == -1
+            back = "".join(p if isinstance(p, str) else sp.id_to_piece(p).replace("▁", " ") for p in parts)
+            assert back == (" " + text.replace("▁", " ") if text else "")
