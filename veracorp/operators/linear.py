@@ -29,15 +29,18 @@ from veracorp.operators.vectors import sparse_vector
 
 ELASTIC = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}
 TOL = 1e-4          # the reference solver's default stopping tolerance
+# Non-zero numbers in a partition of training rows.  A fit takes up to some thousand steps, each a job over all partitions:
+# where there is little in them, a step's time is that of its tasks' and stages' start.
+PART_NONZEROS = 4_000_000
 # Fits that run side by side.  An iteration is a short job, so one fit alone leaves the cluster waiting for the
 # driver; each keeps its own blocks of the training rows (in memory, else on disk), so they are few.
 FITS_AT_ONCE = 3
 
 
-def side_by_side(spark: SparkSession, run: Callable, items: Iterable) -> list:
-    """``run`` of every item, in order, FITS_AT_ONCE at a time; the first error ends it."""
+def side_by_side(spark: SparkSession, run: Callable, items: Iterable, at_once: int = FITS_AT_ONCE) -> list:
+    """``run`` of every item, in order, ``at_once`` at a time; the first error ends it."""
     items = list(items)
-    with ThreadPool(max(1, min(FITS_AT_ONCE, len(items)))) as pool:
+    with ThreadPool(max(1, min(at_once, len(items)))) as pool:
         return pool.map(inheritable_thread_target(spark)(run), items, chunksize=1)
 
 
@@ -74,11 +77,21 @@ class OneVsRest(dict):
         return ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=features, outputCol="scaled").transform(df)
 
 
+def _spread(df: DataFrame, features: str = "features") -> tuple[list[float], int, int]:
+    """Unweighted population standard deviation of every feature (a vector of max_features numbers), rows, non-zero numbers."""
+    r = df.agg(Summarizer.metrics("variance", "count", "numNonZeros").summary(F.col(features)).alias("s")).select("s.variance", "s.count", "s.numNonZeros").first()
+    n = max(r["count"], 1)
+    return [float(v * (n - 1) / n) ** 0.5 for v in r["variance"].toArray()], r["count"], int(r["numNonZeros"].toArray().sum())
+
+
 def population_std(df: DataFrame, features: str = "features") -> list[float]:
     """Unweighted population standard deviation of every feature (a vector of max_features numbers)."""
-    r = df.agg(Summarizer.metrics("variance", "count").summary(F.col(features)).alias("s")).select("s.variance", "s.count").first()
-    n = max(r["count"], 1)
-    return [float(v * (n - 1) / n) ** 0.5 for v in r["variance"].toArray()]
+    return _spread(df, features)[0]
+
+
+def packed(df: DataFrame, nonzeros: int) -> DataFrame:
+    """Training rows in as few partitions as hold about PART_NONZEROS each; never in more than there are."""
+    return df.coalesce(max(1, -(-nonzeros // PART_NONZEROS)))
 
 
 def _lean(model):
@@ -91,20 +104,32 @@ def _lean(model):
 def fit_ovr(train: DataFrame, classes: Sequence[str], regularization: str = "l2", C: float = 1.0,
             max_iter: int = 1000) -> OneVsRest:
     """One binary model per class, balanced weights, features scaled by their population std."""
-    n = train.count()
-    models = OneVsRest()
-    models.scale = population_std(train)
-    train = models.scaled(train)
+    return fit_ovr_each(train, classes, (regularization,), C, max_iter)[regularization]
+
+
+def fit_ovr_each(train: DataFrame, classes: Sequence[str], regularizations: Sequence[str], C: float = 1.0,
+                 max_iter: int = 1000) -> dict[str, OneVsRest]:
+    """``fit_ovr`` by regularization.  All fits stand in one queue, so that none waits for another regularization's slowest."""
+    scale, n, nonzeros = _spread(train)
+    models = {reg: OneVsRest() for reg in regularizations}
+    for m in models.values():
+        m.scale = scale
+    train = packed(models[regularizations[0]].scaled(train), nonzeros)
 
-    def fit(cls):         # a distributed job
+    def fit(item):         # a distributed job
+        reg, cls = item
         b = train.withColumn("y", (F.col("label") == cls).cast("double"))
         b = balanced_binary_weight(b, "y")
         lr = LogisticRegression(featuresCol="scaled", labelCol="y", weightCol="weight",
-                                regParam=1.0 / (C * n), elasticNetParam=ELASTIC[regularization],
+                                regParam=1.0 / (C * n), elasticNetParam=ELASTIC[reg],
                                 standardization=False, maxIter=max_iter, tol=TOL, family="binomial")
         return _lean(lr.fit(b))
 
-    models.update(zip(classes, side_by_side(train.sparkSession, fit, classes), strict=True))     # the label domain
+    items = [(reg, cls) for reg in regularizations for cls in classes]
+    # where the rows are a partition or two, a fit uses that many cores, and its blocks are small
+    at_once = max(FITS_AT_ONCE, train.sparkSession.sparkContext.defaultParallelism // train.rdd.getNumPartitions())
+    for (reg, cls), model in zip(items, side_by_side(train.sparkSession, fit, items, at_once), strict=True):     # the label domain
+        models[reg][cls] = model
     return models
 
 
@@ -145,7 +170,8 @@ def top_coefficients(models: dict, index: DataFrame, spark, top_n: int = 20) ->
 def fit_multinomial(train: DataFrame, C: float = 1.0, balanced: bool = True, standardize: bool = False,
                     max_iter: int = 1000, features: str = "features"):
     """Plain multinomial LR (M17): balanced weights n / (k n_c), l2 with regParam 1/(C n)."""
-    n = train.count()
+    _, n, nonzeros = _spread(train, features)
+    train = packed(train, nonzeros)
     if balanced:
         w = Window.partitionBy()
         c = train.groupBy("label").agg(F.count(F.lit(1)).alias("_nc"))

@@ -52,36 +52,41 @@ def lr_context(spark, sf, max_features=5000):
             "test_rows": test, "long_train": ltr, "long_test": lte}
 
 
-def _ovr_eval(ctx, reg):
-    models = LN.fit_ovr(ctx["train"], ctx["classes"], reg)
+def _ovr_eval(ctx, reg, models=None):
+    models = LN.fit_ovr(ctx["train"], ctx["classes"], reg) if models is None else models
     probs = cut_lineage(LN.ovr_probabilities(models, ctx["test"]))
     preds = LN.argmax_label(probs).join(ctx["test"].select("doc_id", F.col("label").alias("truth")), "doc_id")
     return models, probs, preds
 
 
-def _lr_comparison(spark, sf):
-    """l1 / l2 / elastic-net metrics as a stage table, reused by M14 and M16."""
+REGULARIZATIONS = ("l1", "l2", "elasticnet")
+
+
+def _lr_comparison(spark, sf, ctx=None):
+    """l1 / l2 / elastic-net metrics as a stage table, reused by M14 and M16, and the models, where they were fitted for it."""
     from veracorp.operators.lake import path_exists
     path = shared_dir(spark, "lrcmp-" + source_key(spark, sf), unique=False) + "/metrics"
+    models = {}
     if not path_exists(spark, path + "/_SUCCESS"):
-        _m4_compute(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        metrics, models = _m4_compute(ctx if ctx is not None else lr_context(spark, sf))
+        metrics.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), models
 
 
 @query("M4_lr_regularization_comparison")
 def q_m4(spark, sf):
-    return _lr_comparison(spark, sf)
+    return _lr_comparison(spark, sf)[0]
 
 
-def _m4_compute(spark, sf):
-    ctx = lr_context(spark, sf)
+def _m4_compute(ctx):
+    models = LN.fit_ovr_each(ctx["train"], ctx["classes"], REGULARIZATIONS)
     out = None
-    for reg in ("l1", "l2", "elasticnet"):
-        _, _, preds = _ovr_eval(ctx, reg)
+    for reg in REGULARIZATIONS:
+        _, _, preds = _ovr_eval(ctx, reg, models[reg])
         s = ME.summary_metrics(preds).withColumn("regularization", F.lit(reg))
         out = s if out is None else out.unionByName(s)
     return out.select("regularization", round6("accuracy").alias("accuracy"), round6("precision").alias("precision"),
-                      round6("recall").alias("recall"), round6("f1_score").alias("f1_score"))
+                      round6("recall").alias("recall"), round6("f1_score").alias("f1_score")), models
 
 
 @query("M5_lr_predictions")
@@ -117,7 +122,10 @@ def q_m8(spark, sf):
 
 @query("M14_best_lr")
 def q_m14(spark, sf):
-    m = _lr_comparison(spark, sf)
+    return _best_lr(_lr_comparison(spark, sf)[0])
+
+
+def _best_lr(m):
     return m.agg(F.max_by("regularization", F.struct("f1_score", F.negative(
         F.array_position(F.array(F.lit("l1"), F.lit("l2"), F.lit("elasticnet")), F.col("regularization")))))
         .alias("best_regularization"), F.max("f1_score").alias("best_f1_score"))
@@ -174,9 +182,10 @@ def q_m11(spark, sf):
 def q_m16(spark, sf):
     """Write the serving bundle (vocabulary/idf, coefficients, the ML pipeline, retrieval index, metadata) and list it."""
     ctx = lr_context(spark, sf)
-    best = q_m14(spark, sf).first()
+    metrics, fitted = _lr_comparison(spark, sf, ctx)
+    best = _best_lr(metrics).first()
     reg = best["best_regularization"]
-    models = LN.fit_ovr(ctx["train"], ctx["classes"], reg)
+    models = fitted[reg] if reg in fitted else LN.fit_ovr(ctx["train"], ctx["classes"], reg)
     root = shared_dir(spark, "bundle")
     SV.classifier_pipeline(ctx, models).write().overwrite().save(f"{root}/pipeline")
     INF.Classifier.fitted(ctx, models).save(root)
