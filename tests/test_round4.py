@@ -2,7 +2,11 @@
 
 from pyspark.ml.linalg import Vectors
 
+from veracorp import session as S
+from veracorp.functions import lexicon as L
+from veracorp.operators import experiments as EX
 from veracorp.operators import linear as LN
+from veracorp.operators.lake import path_exists
 from veracorp.session import cut_lineage
 
 
@@ -18,3 +22,19 @@ def test_fits_of_all_regularizations_stand_in_one_queue_over_packed_rows(spark,
     alone = LN.fit_ovr(train, ["a", "b"], "l1")
     assert all(abs(x - y) < 1e-6 for c in "ab" for x, y in zip(models["l1"][c].coefficients, alone[c].coefficients))
     assert LN.packed(train, 3 * LN.PART_NONZEROS + 1).rdd.getNumPartitions() == 4 and LN.packed(train, 10**9).rdd.getNumPartitions() == 12
+
+
+def test_a_run_stages_parquet_that_goes_when_it_ends(spark, monkeypatch):
+    roots, tables = [], []
+    monkeypatch.setattr(EX, "shared_dir", lambda *a, f=EX.shared_dir: (roots.append(f(*a)), roots[-1])[1])
+    monkeypatch.setattr(EX, "staged", lambda df, root=None, f=EX.staged: (tables.append(root), f(df, root))[1])
+    docs = spark.createDataFrame([(i, "ab"[i % 2], f"word{i % 2} common{i % 3} text") for i in range(30)], "doc_id long, label string, cleaned_text string")
+    run = EX.run_config(docs, L.ABLATION_GRID[0], ["s"])
+    assert run["params"]["train_size"] == "24" and len(roots) == 1 and not path_exists(spark, roots[0])
+    assert tables.count(roots[0]) == 3 and f"{roots[0]}/prepared" in tables
+
+
+def test_threads_leave_the_sessions_setting_as_it_was(spark):
+    before = spark.conf.get(S._CLEANUP, None)
+    LN.side_by_side(spark, lambda i: S.staged(spark.range(i).repartition(2)).count(), range(1, 7))
+    assert spark.conf.get(S._CLEANUP, None) == before
