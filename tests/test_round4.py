@@ -7,6 +7,8 @@ from veracorp.functions import lexicon as L
 from veracorp.operators import experiments as EX
 from veracorp.operators import linear as LN
 from veracorp.operators.lake import path_exists
+from veracorp.operators.ngram import NGramModel
+from veracorp.plans import stages as ST
 from veracorp.session import cut_lineage
 
 
@@ -24,6 +26,15 @@ def test_fits_of_all_regularizations_stand_in_one_queue_over_packed_rows(spark,
     assert LN.packed(train, 3 * LN.PART_NONZEROS + 1).rdd.getNumPartitions() == 4 and LN.packed(train, 10**9).rdd.getNumPartitions() == 12
 
 
+def corpus(spark, root, n):
+    """``n`` documents and labels as the driver's tables have them."""
+    words = ["alpha", "beta", "gamma", "delta", "the", "not"]
+    docs = [(i, f"{words[i % 6]} {words[i % 5]} text {i}", f"s{i % 3}") for i in range(n)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(n)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    return str(root)
+
+
 def test_a_run_stages_parquet_that_goes_when_it_ends(spark, monkeypatch):
     roots, tables = [], []
     monkeypatch.setattr(EX, "shared_dir", lambda *a, f=EX.shared_dir: (roots.append(f(*a)), roots[-1])[1])
@@ -38,3 +49,14 @@ def test_threads_leave_the_sessions_setting_as_it_was(spark):
     before = spark.conf.get(S._CLEANUP, None)
     LN.side_by_side(spark, lambda i: S.staged(spark.range(i).repartition(2)).count(), range(1, 7))
     assert spark.conf.get(S._CLEANUP, None) == before
+
+
+def test_stages_keep_only_their_tables(spark, tmp_path):
+    sf, root = corpus(spark, tmp_path / "sf", 90), str(tmp_path / "stages")
+    report = {r["stage"]: r["status"] for r in ST.run_stages(spark, sf, root, skip=("models",)).collect()}
+    assert report["ngram"] == "built" and not path_exists(spark, f"{root}/scratch")
+    docs = spark.createDataFrame([(1, "a", "x y x y"), (2, "b", "y")], "doc_id long, label string, text string")
+    model = NGramModel(docs, 2, root=str(tmp_path / "lm"))
+    stored = spark.read.parquet(str(tmp_path / "lm" / "*"))
+    assert sorted(stored.columns) == ["c", "label", "ngram"] and stored.count() == model.ngram_counts.count()
+    assert {(r["ngram"], r["ctx"], r["tok"]) for r in model.ngram_counts.where("label = 'b'").collect()} == {("<START> y", "<START>", "y"), ("y <END>", "y", "<END>")}
