@@ -8,6 +8,7 @@ from veracorp.operators import experiments as EX
 from veracorp.operators import linear as LN
 from veracorp.operators.lake import path_exists
 from veracorp.operators.ngram import NGramModel
+from veracorp.plans import queries_more as QM
 from veracorp.plans import stages as ST
 from veracorp.session import cut_lineage
 
@@ -35,6 +36,18 @@ def corpus(spark, root, n):
     return str(root)
 
 
+def test_stopword_classifiers_see_the_whole_corpus(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def run(docs, cfg, sources, variant, prepared):
+        seen.append((cfg["name"], docs.count(), prepared.count()))
+        return {"weighted_f1": 0.5}
+
+    monkeypatch.setattr(EX, "run_config", run)
+    assert QM.q_t19(spark, corpus(spark, tmp_path, 1300)).count() == 2
+    assert sorted(seen) == [("custom", 1300, 1300), ("default", 1300, 1300)]
+
+
 def test_a_run_stages_parquet_that_goes_when_it_ends(spark, monkeypatch):
     roots, tables = [], []
     monkeypatch.setattr(EX, "shared_dir", lambda *a, f=EX.shared_dir: (roots.append(f(*a)), roots[-1])[1])

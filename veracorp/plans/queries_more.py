@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from veracorp.functions import lexicon as L
 from veracorp.functions import text as T
-from veracorp.operators import corpus as C
 from veracorp.operators import experiments as EX
 from veracorp.operators import keywords as KW
+from veracorp.operators import linear as LN
 from veracorp.operators import normalize as NZ
 from veracorp.operators import sentences as SE
 from veracorp.operators import tokenizers as TK
@@ -19,7 +19,6 @@ from veracorp.session import cut_lineage, drop_folder, shared_dir, source_key, s
 from veracorp.sources.tables import table
 
 REGISTRY = {}
-STOPWORD_FIT_ROWS = 1200      # T19: rows on which the two classifiers are fitted and compared
 
 
 def query(name):
@@ -77,15 +76,17 @@ def q_t15(spark, sf):
 
 @query("T19_stopword_impact")
 def q_t19(spark, sf):
-    p = cut_lineage(processed(spark, sf).select("doc_id", "label", "cleaned_text"))
+    """Removal rates, and the classifiers of both lists fitted and compared on the whole corpus."""
+    p = staged(processed(spark, sf).select("doc_id", "label", "cleaned_text"))
     rates = TK.stopword_removal(p)
-    sample = cut_lineage(C.hash_sample(p, STOPWORD_FIT_ROWS))       # the classifier fit alone is on a sample
-    f1 = []
-    for name, custom in (("default", False), ("custom", True)):
-        prepared = sample.select("doc_id", "label",
-                                 TK.kept_text(T.treebank_tokens(F.col("cleaned_text")), custom).alias("doc_text"))
+
+    def run(item):
+        name, custom = item
+        prepared = p.select("doc_id", "label", TK.kept_text(T.treebank_tokens(F.col("cleaned_text")), custom).alias("doc_text"))
         cfg = {"name": name, "stopwords": name, "normalization": "none", "min_token_length": 1, "max_features": 3000}
-        f1.append((name, EX.run_config(sample, cfg, ["corpus"], variant="smooth", prepared=prepared)["weighted_f1"]))
+        return name, EX.run_config(p, cfg, ["corpus"], variant="smooth", prepared=prepared)["weighted_f1"]
+
+    f1 = LN.side_by_side(spark, run, (("default", False), ("custom", True)))
     delta = f1[1][1] - f1[0][1]
     f = spark.createDataFrame(f1, "stopword_list string, weighted_f1 double")
     return rates.join(f, "stopword_list").select(
